@@ -242,6 +242,6 @@ ORACLES = {
     "stream_first_seen": f"""
         select train_no, date_depart, origine, destination, cast(1 as bigint) as n
         from ({_availability()})""",
-    "lots_compacted": _availability(),
+    "lots_compacted": _punctuality,
     "snapshot_partition_read": f"select * from ({_punctuality}) where periode = '1998-07'",
 }

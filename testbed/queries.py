@@ -364,14 +364,15 @@ def stream_first_seen(spark, sf_dir):
 
 
 def lots_compacted(spark, sf_dir):
-    seen = availability(AS_OF)
-    typed = seen.typed(raw(spark, sf_dir, "availability"))
+    """Two lots folded into a partitioned snapshot, a third still on its own."""
+    typed = PUNCTUALITY.typed(raw(spark, sf_dir, "punctuality"))
     base = scratch(spark)
-    half = F.pmod(F.xxhash64("ingested_at"), F.lit(2))
-    for n in range(2):
-        append_lot(typed.where(half == n), seen, base, f"part-{n}")
-    compact(spark, seen, base, drop_lots=True)
-    return _silver(read_silver(spark, seen, base))
+    part = F.pmod(F.xxhash64(*PUNCTUALITY.key, "ingested_at"), F.lit(3))
+    for n in range(3):
+        append_lot(typed.where(part == n), PUNCTUALITY, base, f"part-{n}")
+        if n == 1:
+            compact(spark, PUNCTUALITY, base, drop_lots=True)
+    return _silver(read_silver(spark, PUNCTUALITY, base))
 
 
 def snapshot_partition_read(spark, sf_dir):

@@ -45,14 +45,14 @@ def first_seen(
     :func:`keep_one`).
 
     Streaming dedup has no map-side step, so a hot key would send all its copies
-    to one task.  A first pass on ``key`` plus a row-based spread number leaves at
-    most ``spread`` copies per key for the second pass.  ``spread=1`` skips the
-    first pass and its state, for sources known to be free of hot keys.
+    to one task.  A first pass on ``key`` plus a random spread number leaves at most
+    ``spread`` copies per key for the second pass.  ``spread=1`` skips the first pass
+    and its state, for sources known to be free of hot keys.
     """
     arrived = stream.withColumn("_arrival", F.current_timestamp()).withWatermark("_arrival", ttl)
     if spread > 1:
         arrived = (
-            arrived.withColumn("_spread", F.monotonically_increasing_id() % spread)
+            arrived.withColumn("_spread", F.floor(F.rand(seed=0) * spread))
             .dropDuplicatesWithinWatermark([*key, "_spread"])
             .drop("_spread")
         )
