@@ -152,7 +152,8 @@ ORACLES = {
     "message_keys_composite": f"""
         select train_no || '_' || date as key, count(*) as n
         from ({duck('availability')}) group by all""",
-    "page_records": duck("ridership"),
+    "page_records": f"""
+        select * from ({duck('ridership')}) union all select * from ({duck('ridership')})""",
     "required_fields_filter": f"""
         select * from ({duck('stations')})
         where codes_uic is not null and lat is not null and lon is not null""",

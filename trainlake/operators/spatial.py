@@ -21,8 +21,10 @@ class _Cells:
     def __init__(self, radius_km: float):
         self.height = radius_km * _MARGIN / _KM_PER_DEGREE
 
+    # Null-free by construction, lest the join adds null checks that evaluate all
+    # of this a second time; rows without a position are dropped before.
     def band(self, lat: Column) -> Column:
-        return F.floor(lat / self.height)
+        return F.coalesce(F.floor(lat / self.height), F.lit(0))
 
     def per_band(self, band: Column) -> Column:
         """How many cells go round the globe in a band."""
@@ -41,13 +43,7 @@ class _Cells:
         ).cast("bigint")
 
     def cell(self, lon: Column, cells: Column) -> Column:
-        return F.pmod(F.floor((lon + 180) / 360 * cells), cells)
-
-    def own(self, lat: Column, lon: Column) -> Column:
-        band = self.band(lat)
-        return F.struct(
-            band.alias("band"), self.cell(lon, self.per_band(band)).alias("cell")
-        )
+        return F.coalesce(F.pmod(F.floor((lon + 180) / 360 * cells), cells), F.lit(0))
 
     def around(self, lat: Column, lon: Column) -> Column:
         """Array of the up to nine cells a partner can lie in."""
@@ -94,9 +90,8 @@ def within_km(
 
     a = (
         left.where(lat1.isNotNull() & lon1.isNotNull())
-        .withColumn("_at", cells.own(lat1, lon1))
-        .withColumns({"_band": F.col("_at.band"), "_cell": F.col("_at.cell")})
-        .drop("_at")
+        .withColumn("_band", cells.band(lat1))
+        .withColumn("_cell", cells.cell(lon1, cells.per_band(F.col("_band"))))
     )
     b = right.where(lat2.isNotNull() & lon2.isNotNull())
     if how == "left_semi":

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from trainlake.dataset import DATASETS
 from trainlake.sources.pages import declared_totals
-from trainlake.sources.tables import read_silver
+from trainlake.sources.tables import has_rows
 
 
 class MissingData(Exception):
@@ -27,7 +27,7 @@ def audit_silver(
     One row is enough, so each check stops at the first row it finds.
     """
     wanted = sorted(DATASETS if names is None else names)
-    present = {n: not read_silver(spark, DATASETS[n], base).isEmpty() for n in wanted}
+    present = {n: has_rows(spark, DATASETS[n], base) for n in wanted}
     empty = [n for n, there in present.items() if not there]
     if empty:
         raise MissingData(f"no rows under {base} for: {', '.join(empty)}")

@@ -24,11 +24,11 @@ def regional_stations(
 def ridership_of(records: DataFrame, stations: DataFrame) -> DataFrame:
     """Ridership records of the given stations.
 
-    A semi join, so the keys need no prior ``distinct`` and nothing is copied.
-    Spark broadcasts the keys if they pass its own size check, and shuffles both
-    sides on the code otherwise.  Records without a code match nothing.
+    Spark broadcasts the distinct codes if they pass its own size check, and
+    shuffles both sides on the code otherwise.  Records without a code match
+    nothing.
     """
-    keys = stations.select(F.col("codes_uic").alias("code_uic_complet"))
+    keys = stations.select(F.col("codes_uic").alias("code_uic_complet")).distinct()
     return records.join(keys, "code_uic_complet", "left_semi").select(*records.columns)
 
 
