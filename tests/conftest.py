@@ -1,0 +1,42 @@
+import json
+import os
+import sys
+
+import pytest
+from pyspark.sql import SparkSession
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = (
+        SparkSession.builder.master("local[8]")
+        .appName("trainlake-tests")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def raw(spark):
+    """Records (dicts, or texts as they are) → the raw ``json_str`` DataFrame."""
+
+    def make(*records):
+        texts = [r if isinstance(r, str) else json.dumps(r, ensure_ascii=False) for r in records]
+        return spark.createDataFrame([(t,) for t in texts], "json_str STRING")
+
+    return make
+
+
+@pytest.fixture
+def plan():
+    """The text of a DataFrame's physical plan."""
+    return lambda df: df._jdf.queryExecution().executedPlan().toString()

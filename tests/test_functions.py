@@ -1,0 +1,187 @@
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from trainlake.functions import (
+    co2_saved_kg,
+    geo_cell,
+    haversine_km,
+    in_box,
+    ingest_stamp,
+    is_weekend,
+    message_key,
+    month_text,
+    not_negative,
+    od_pair,
+    parse_day,
+    pct_change,
+    percent,
+    title_case,
+    weekday_index,
+    whole_number,
+    year_text,
+)
+
+
+@pytest.fixture
+def value(spark):
+    one = spark.range(1)
+    return lambda column: one.select(column.alias("v")).first().v
+
+
+def text(v):
+    return F.lit(v).cast("string")
+
+
+def number(v):
+    return F.lit(v).cast("double")
+
+
+@pytest.mark.parametrize(
+    "name, expected",
+    [
+        ("SAINT-JEAN d'angély", "Saint-jean D'angély"),
+        ("bordeaux ST jean", "Bordeaux St Jean"),
+        ("", ""),
+        (None, None),
+    ],
+)
+def test_title_case(value, name, expected):
+    assert value(title_case(text(name))) == expected
+
+
+def test_od_pair(value):
+    assert value(od_pair(text("A"), text("B"))) == "A->B"
+    assert value(od_pair(text("A"), text(None))) is None
+
+
+@pytest.mark.parametrize(
+    "v, expected",
+    [(12.0, 12), (12.9, 12), (-12.9, -12), (1e30, None), (float("nan"), None), (None, None)],
+)
+def test_whole_number_truncates_and_never_throws(value, v, expected):
+    assert value(whole_number(number(v))) == expected
+
+
+def test_whole_number_of_32_bits(value):
+    assert value(whole_number(number(3e9), "int")) is None
+
+
+@pytest.mark.parametrize("v, expected", [(-1, 0), (0, 0), (7, 7), (None, 0)])
+def test_not_negative(value, v, expected):
+    assert value(not_negative(F.lit(v).cast("bigint"))) == expected
+
+
+def test_percent(value):
+    assert value(percent(F.lit(1), F.lit(3))) == 33.3
+    assert value(percent(F.lit(1), F.lit(0))) is None
+    assert value(percent(F.lit(1), F.lit(None).cast("int"))) is None
+    # Half up, on the decimal text.
+    assert value(percent(F.lit(1), F.lit(16))) == 6.3
+
+
+@pytest.mark.parametrize(
+    "new, old, expected", [(150, 100, 50.0), (0, 100, -100.0), (5, 0, None), (5, -1, None)]
+)
+def test_pct_change_needs_a_positive_base(value, new, old, expected):
+    assert value(pct_change(F.lit(new), F.lit(old))) == expected
+
+
+@pytest.mark.parametrize("bad", ["2025/01/02", "abc", "", "2025-13-01", "2025-02-30", None])
+def test_parse_day_gives_null_for_junk(value, bad):
+    assert value(parse_day(text(bad))) is None
+
+
+def test_parse_day(value):
+    assert str(value(parse_day(text("2024-02-29")))) == "2024-02-29"
+
+
+@pytest.mark.parametrize(
+    "day, index, legacy, weekend, legacy_weekend",
+    [
+        ("2024-01-06", 5, 5, True, True),
+        ("2024-01-07", 6, -1, True, False),
+        ("2024-01-08", 0, 0, False, False),
+        ("2024-01-12", 4, 4, False, False),
+    ],
+)
+def test_weekdays(value, day, index, legacy, weekend, legacy_weekend):
+    d = F.lit(day).cast("date")
+    assert value(weekday_index(d)) == index
+    assert value(weekday_index(d, legacy=True)) == legacy
+    assert value(is_weekend(d)) is weekend
+    assert value(is_weekend(d, legacy=True)) is legacy_weekend
+
+
+def test_year_and_month_stay_text(value):
+    assert value(year_text(text("2024-03"))) == "2024"
+    assert value(month_text(text("2024-03"))) == "03"
+
+
+def test_co2(value):
+    assert value(co2_saved_kg()) == 109.9
+    assert value(co2_saved_kg(100.0, 200.0, 0.0)) == 20.0
+    assert value(co2_saved_kg(number(100.0))) == 19.0  # 18.95, half up
+    assert value(co2_saved_kg(number(None))) is None
+
+
+def test_geo_cell(value):
+    assert value(geo_cell(number(44.8378), number(-0.5792))) == "44.84_-0.58"
+    assert value(geo_cell(number(45.0), number(-0.001))) == "45.0_0.0"
+    assert value(geo_cell(number(1.005), number(2.675))) == "1.01_2.68"
+
+
+@pytest.mark.parametrize(
+    "lat, lon, inside",
+    [
+        (41.0, -5.5, True),
+        (52.0, 10.0, True),
+        (52.0001, 0.0, False),
+        (45.0, -5.51, False),
+        (45.0, 0.0, True),
+        (None, 0.0, None),
+    ],
+)
+def test_box_edges_are_inside(value, lat, lon, inside):
+    assert value(in_box(number(lat), number(lon), (41, 52), (-5.5, 10))) is inside
+
+
+def test_haversine(value):
+    paris, bordeaux = (48.8566, 2.3522), (44.8378, -0.5792)
+    km = value(haversine_km(*(F.lit(c) for c in (*paris, *bordeaux))))
+    assert km == pytest.approx(499.5, abs=1.5)
+    assert value(haversine_km(*(F.lit(c) for c in (*paris, *paris)))) == 0.0
+    assert value(haversine_km(*(F.lit(c) for c in (0.0, 0.0, 0.0, 180.0)))) == pytest.approx(
+        20015.09, abs=0.01
+    )
+
+
+def test_message_key(value):
+    assert value(message_key(text("87"))) == "87"
+    assert value(message_key(text(None))) is None
+    assert value(message_key(text(""))) is None
+    assert value(message_key(F.lit(42))) == "42"
+    assert value(message_key(text("8501"), text("2024-01-07"))) == "8501_2024-01-07"
+    assert value(message_key(text("8501"), text(None))) == "8501_"
+
+
+def test_ingest_stamp_is_utc_in_any_session_zone(spark, value):
+    moment = F.expr("timestamp '2024-06-01 12:00:00 UTC'")
+    try:
+        for zone in ("UTC", "Europe/Paris", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            assert value(ingest_stamp(moment)) == "2024-06-01T12:00:00Z"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+@settings(max_examples=20, deadline=None)
+@given(
+    planned=st.integers(1, 10**6), cancelled=st.integers(0, 10**6), late=st.integers(0, 10**6)
+)
+def test_rates_stay_in_range_when_counters_do(spark, planned, cancelled, late):
+    cancelled = min(cancelled, planned)
+    late = min(late, planned - cancelled)
+    rate = percent(F.lit(planned - cancelled - late), F.lit(planned))
+    assert 0 <= spark.range(1).select(rate.alias("v")).first().v <= 100
