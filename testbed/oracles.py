@@ -237,6 +237,8 @@ ORACLES = {
         from ({_punctuality}) group by annee, mois""",
     "quarantine_reasons": f"""
         select reason, count(*) as n from ({_quarantined}) where reason is not null group by all""",
+    "quarantine_torn_records": f"""
+        select 'unreadable' as reason, count(*) as n from ({duck('ridership')})""",
     "stream_snapshot": _stations,
     "stream_snapshot_checked": _punctuality,
     "stream_append": _availability(order="ingested_at desc"),

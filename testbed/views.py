@@ -5,6 +5,8 @@ Spark and DuckDB.  On the Spark side the rows become JSON text, so every query
 starts where a real one does: at raw records.
 """
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -124,20 +126,26 @@ def duck(view: str) -> str:
     return _VIEWS[view].format(**_DUCK)
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A test table, spread over the cores if its file has too few splits for them.
+
+    The files here are single row groups, which one task would read and parse
+    alone.  A table of cluster size has splits enough and is left as it is.
+    """
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name == "lineitem" and df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores, df.columns[0])
+    return df
+
+
 def rows(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
     """The view as a flat DataFrame."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES}
-    return spark.sql(_over(_VIEWS[view].format(**_SPARK)), **tables)
-
-
-def _over(sql: str) -> str:
-    """Table names → parameters of ``spark.sql``, so no catalog entry is made."""
-    out = sql
-    for word in ("from", "join"):
-        for t in TABLES:
-            out = out.replace(f"{word} {t}", f"{word} {{{t}}}")
-    return out
+    # Table names become parameters of `spark.sql`: no catalog entry is made.
+    sql = re.sub(rf"\b(from|join) ({'|'.join(TABLES)})\b", r"\1 {\2}", _VIEWS[view].format(**_SPARK))
+    used = {t: table(spark, sf_dir, t) for t in TABLES if f"{{{t}}}" in sql}
+    return spark.sql(sql, **used)
 
 
 def wire(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:

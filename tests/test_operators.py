@@ -186,3 +186,31 @@ def test_within_km_plans_an_equi_join(spark, plan):
                 spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
             assert "Cartesian" not in text and "NestedLoop" not in text
             assert "SortMergeJoin" in text or "HashJoin" in text
+
+
+def test_a_crowded_cell_is_split(spark):
+    """A third of the points in one cell: the adaptive skew join divides them."""
+    left = spark.range(0, 60_000, 1, 8).select(
+        "id",
+        F.when(F.col("id") % 3 == 0, F.lit(45.0)).otherwise(41 + F.col("id") % 1000 / 100).alias("lat"),
+        F.when(F.col("id") % 3 == 0, F.lit(0.0)).otherwise(F.col("id") % 800 / 100).alias("lon"),
+    )
+    right = spark.createDataFrame([(1, 45.0, 0.01), (2, 48.0, 2.0)], "b INT, plat DOUBLE, plon DOUBLE")
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50k",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        counts = within_km(left, right, 5.0, ("lat", "lon")).groupBy("b").count()
+        assert counts.where("b = 1").first()["count"] >= 20_000
+        counts.collect()
+        final = counts._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+    assert "skew=true" in final

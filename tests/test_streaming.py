@@ -74,12 +74,13 @@ def test_replace_mode_shows_the_last_batch_only(spark, tmp_path):
     assert [r.code_uic for r in feed.silver().collect()] == ["c"]
 
 
-def test_batches_without_good_records_write_nothing(spark, tmp_path):
-    feed = Feed(spark, tmp_path, STATIONS)
+@pytest.mark.parametrize("mode", ["snapshot", "append"])
+def test_batches_without_good_records_write_nothing(spark, tmp_path, mode):
+    feed = Feed(spark, tmp_path, STATIONS, mode=mode)
     feed.land("{", "{}", "")
     feed.run()
     assert feed.batches == [] and feed.silver().count() == 0
-    assert not (tmp_path / "silver").exists()
+    assert not list((tmp_path / "silver").rglob("*.parquet"))
 
 
 @pytest.mark.parametrize("mode", ["snapshot", "append"])

@@ -17,7 +17,8 @@ def require(df: DataFrame, *columns: str) -> DataFrame:
 def first_rows(df: DataFrame, order: Iterable[str | Column], limit: int) -> DataFrame:
     """The first ``limit`` rows in ``order``.
 
-    Plans as a top-k: every task keeps ``limit`` rows, no global sort.  The order
-    should name enough columns to be total, else the choice is arbitrary on ties.
+    Plans as a top-k without a global sort: every task hands its first ``limit``
+    rows to the last one, so this is for reports, not for cutting a table in two.
+    The order should be total, else the choice is arbitrary on ties.
     """
     return df.orderBy(*order).limit(limit)

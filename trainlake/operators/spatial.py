@@ -1,65 +1,41 @@
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trainlake.functions.geo import EARTH_RADIUS_KM, haversine_km
 
 _KM_PER_DEGREE = math.pi * EARTH_RADIUS_KM / 180
-_MARGIN = 1.001  # cells a little wider than needed, against rounding at the edges
+_MARGIN = 1.001  # cells a little larger than needed, against rounding at the edges
 
 
-class _Cells:
+class _Grid:
     """Latitude bands as high as the radius, each cut into equal longitude cells.
 
     The cells of a band are at least as wide as the radius reaches in longitude
     at the highest latitude of the band and its neighbours, so two points within
     the radius are always in the same or adjacent cells — also across the
     antimeridian, and near the poles, where a band is one single cell.
+
+    The expressions are null-free by construction (rows without a position are
+    dropped before): the join would otherwise add null checks on its keys that
+    evaluate all of this a second time.
     """
 
     def __init__(self, radius_km: float):
         self.height = radius_km * _MARGIN / _KM_PER_DEGREE
 
-    # Null-free by construction, lest the join adds null checks that evaluate all
-    # of this a second time; rows without a position are dropped before.
-    def band(self, lat: Column) -> Column:
-        return F.coalesce(F.floor(lat / self.height), F.lit(0))
-
-    def per_band(self, band: Column) -> Column:
-        """How many cells go round the globe in a band."""
-        highest = (
-            F.greatest(F.abs(band - 1), F.abs(band), F.abs(band + 1), F.abs(band + 2)) * self.height
-        )
-        reach = F.asin(
-            F.least(
-                F.lit(1.0),
-                F.sin(F.radians(F.lit(self.height))) / F.cos(F.radians(highest)),
-            )
-        )
-        cells = F.floor(F.lit(360.0) / (F.degrees(reach) * _MARGIN))
-        return F.when(highest + self.height >= 90, F.lit(1)).otherwise(
-            F.greatest(cells, F.lit(1))
-        ).cast("bigint")
-
-    def cell(self, lon: Column, cells: Column) -> Column:
-        return F.coalesce(F.pmod(F.floor((lon + 180) / 360 * cells), cells), F.lit(0))
-
-    def around(self, lat: Column, lon: Column) -> Column:
-        """Array of the up to nine cells a partner can lie in."""
-
-        def row(step: int) -> Column:
-            band = self.band(lat) + step
-            cells = self.per_band(band)
-            here = self.cell(lon, cells)
-            neighbours = F.array_distinct(
-                F.array(F.pmod(here - 1, cells), here, F.pmod(here + 1, cells))
-            )
-            return F.transform(
-                neighbours, lambda c: F.struct(band.alias("band"), c.alias("cell"))
-            )
-
-        return F.concat(row(-1), row(0), row(1))
+    def band(self, lat: str) -> str:
+        return f"coalesce(floor(`{lat}` / {self.height!r}D), 0L)"
+
+    def cells(self, band: str) -> str:
+        """How many cells go round the globe: 360° / (height / cos(latitude))."""
+        edge = f"greatest(abs({band} - 1), abs({band} + 2)) * {self.height!r}D"
+        top = f"radians(least({edge} + {self.height!r}D, 90D))"
+        return f"greatest(floor(cos({top}) * {360 / self.height / _MARGIN!r}D), 1L)"
+
+    def cell(self, lon: str, cells: str) -> str:
+        return f"coalesce(pmod(floor((`{lon}` + 180D) / 360D * {cells}), {cells}), 0L)"
 
 
 def within_km(
@@ -78,36 +54,40 @@ def within_km(
 
     An equi-join on grid cells with the distance as residual condition, so it is
     a hash or sort-merge join, never a product.  Only ``right`` is copied into
-    neighbouring cells: put the smaller table there.  No broadcast is forced;
+    the neighbouring cells: put the smaller table there.  No broadcast is forced;
     Spark broadcasts by its own size check, and a crowded cell is split by the
     adaptive skew join.
     """
     if how not in ("inner", "left_semi"):
         raise ValueError(f"how must be 'inner' or 'left_semi', not {how!r}")
-    cells = _Cells(radius_km)
-    lat1, lon1 = (F.col(c) for c in left_at)
-    lat2, lon2 = (F.col(c) for c in right_at)
+    grid = _Grid(radius_km)
 
     a = (
-        left.where(lat1.isNotNull() & lon1.isNotNull())
-        .withColumn("_band", cells.band(lat1))
-        .withColumn("_cell", cells.cell(lon1, cells.per_band(F.col("_band"))))
+        left.dropna(subset=list(left_at))
+        .withColumn("_band", F.expr(grid.band(left_at[0])))
+        .withColumn("_cells", F.expr(grid.cells("_band")))
+        .withColumn("_cell", F.expr(grid.cell(left_at[1], "_cells")))
+        .drop("_cells")
     )
-    b = right.where(lat2.isNotNull() & lon2.isNotNull())
+    b = right.dropna(subset=list(right_at))
     if how == "left_semi":
         # Positions are all a semi join needs; copies of one add nothing.
-        b = b.select(lat2, lon2).distinct()
+        b = b.select(*right_at).distinct()
+    around = "explode(array_distinct(transform(array(-1L, 0L, 1L), d -> pmod(_own + d, _cells))))"
     b = (
-        b.withColumn("_at", F.explode(cells.around(lat2, lon2)))
-        .withColumns({"_band2": F.col("_at.band"), "_cell2": F.col("_at.cell")})
-        .drop("_at")
+        b.withColumn("_own", F.expr(grid.band(right_at[0])))
+        .withColumn("_band2", F.expr("explode(array(_own - 1, _own, _own + 1))"))
+        .withColumn("_cells", F.expr(grid.cells("_band2")))
+        .withColumn("_own", F.expr(grid.cell(right_at[1], "_cells")))
+        .withColumn("_cell2", F.expr(around))
+        .drop("_own", "_cells")
     )
 
-    distance = haversine_km(a[left_at[0]], a[left_at[1]], b[right_at[0]], b[right_at[1]])
+    (lat1, lon1), (lat2, lon2) = (a[c] for c in left_at), (b[c] for c in right_at)
+    distance = haversine_km(lat1, lon1, lat2, lon2)
     near = (
-        (F.col("_band") == F.col("_band2"))
-        & (F.col("_cell") == F.col("_cell2"))
-        & (F.abs(a[left_at[0]] - b[right_at[0]]) <= cells.height)
+        F.expr("_band = _band2 AND _cell = _cell2")
+        & (F.abs(lat1 - lat2) <= grid.height)
         & (distance <= radius_km)
     )
     joined = a.join(b, near, how)
