@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from testbed.views import AS_OF, raw, rows, wire
 from trainlake import schemas
+from trainlake.dataset import quarantine
 from trainlake.functions import (
     co2_saved_kg,
     geo_cell,
@@ -24,15 +25,22 @@ from trainlake.functions import (
     whole_number,
     year_text,
 )
-from trainlake.operators import first_seen, keep_one, parse_json, require, within_km
-from trainlake.plans import clean_availability, clean_punctuality, clean_ridership, clean_stations
-from trainlake.dataset import DATASETS, clean, quarantine
-from trainlake.plans import audit, extract, questions
+from trainlake.operators import keep_one, parse_json, require, within_km
+from trainlake.plans import (
+    audit,
+    clean_availability,
+    clean_punctuality,
+    clean_ridership,
+    clean_stations,
+    extract,
+    questions,
+)
 from trainlake.plans.availability import availability
 from trainlake.plans.punctuality import PUNCTUALITY
+from trainlake.plans.ridership import RIDERSHIP
 from trainlake.plans.stations import STATIONS
 from trainlake.sinks import append_lot, compact, kafka_messages, write_snapshot
-from trainlake.sources import read_pages, read_silver, text_batch, text_source
+from trainlake.sources import read_pages, read_silver, text_source
 from trainlake.streaming import AVAILABLE_NOW, refine_stream
 
 RADIUS_KM = 10.0
@@ -306,7 +314,7 @@ def quarantine_torn_records(spark, sf_dir):
     torn = raw(spark, sf_dir, "ridership").select(
         F.expr("substr(json_str, 1, length(json_str) div 2)").alias("json_str")
     )
-    found = quarantine(DATASETS["frequentation"], torn)
+    found = quarantine(RIDERSHIP, torn)
     return found.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -4,7 +4,7 @@ import datetime as dt
 
 import pytest
 
-from trainlake.dataset import DATASETS, clean, quarantine
+from trainlake.dataset import clean, quarantine
 from trainlake.plans import (
     clean_availability,
     clean_punctuality,
@@ -15,6 +15,7 @@ from trainlake.plans.availability import availability
 from trainlake.plans.punctuality import PUNCTUALITY
 from trainlake.plans.ridership import RIDERSHIP
 from trainlake.plans.stations import STATIONS
+from trainlake.plans.registry import DATASETS
 
 
 def station(code="87000001", lat=44.826, lon=-0.556, **more):

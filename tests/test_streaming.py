@@ -4,10 +4,11 @@ import pytest
 from pyspark.errors import StreamingQueryException
 
 from trainlake.__main__ import main
-from trainlake.dataset import DATASETS, clean
+from trainlake.dataset import clean
 from trainlake.plans.availability import availability
 from trainlake.plans.ridership import RIDERSHIP
 from trainlake.plans.stations import STATIONS
+from trainlake.plans.registry import DATASETS
 from trainlake.sources import read_silver, text_batch, text_source
 from trainlake.streaming import AVAILABLE_NOW, refine_all, refine_stream, wait_for_all
 

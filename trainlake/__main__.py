@@ -15,10 +15,10 @@ import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trainlake.dataset import DATASETS
 from trainlake.operators import parse_json
 from trainlake.plans import audit_silver
 from trainlake.plans.extract import MESSAGE_KEYS, regional_extract
+from trainlake.plans.registry import DATASETS
 from trainlake.sinks import compact, kafka_messages, write_kafka
 from trainlake.sources import kafka_sources, read_pages, text_source
 from trainlake.streaming import AVAILABLE_NOW, refine_all, wait_for_all

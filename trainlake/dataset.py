@@ -119,14 +119,3 @@ def quarantine(dataset: Dataset, raw: DataFrame) -> DataFrame:
     reasons += [(name, ~F.coalesce(rule, F.lit(False))) for name, rule in broken.items()]
     reason = F.coalesce(*(F.when(hit, F.lit(name)) for name, hit in reasons))
     return rows.select("json_str", reason.alias("reason")).where("reason IS NOT NULL")
-
-
-class _Registry(dict):
-    """Datasets by table name, filled by the plan modules."""
-
-    def add(self, dataset: Dataset) -> Dataset:
-        self[dataset.name] = dataset
-        return dataset
-
-
-DATASETS: dict[str, Dataset] = _Registry()

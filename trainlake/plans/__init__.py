@@ -2,11 +2,12 @@
 
 from trainlake.plans.audit import audit_silver, missing_datasets, page_completeness
 from trainlake.plans.availability import availability, clean_availability
-from trainlake.dataset import DATASETS, Dataset, clean, quarantine
+from trainlake.dataset import Dataset, clean, quarantine
 from trainlake.plans.extract import regional_extract
 from trainlake.plans.punctuality import clean_punctuality
 from trainlake.plans.ridership import clean_ridership
 from trainlake.plans.stations import clean_stations
+from trainlake.plans.registry import DATASETS
 
 __all__ = [
     "DATASETS",

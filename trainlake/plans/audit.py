@@ -5,7 +5,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trainlake.dataset import DATASETS
+from trainlake.plans.registry import DATASETS
 from trainlake.sources.pages import declared_totals
 from trainlake.sources.tables import has_rows
 

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from trainlake import schemas
 from trainlake.functions import month_text, percent, whole_number, year_text
-from trainlake.dataset import DATASETS, Dataset, clean
+from trainlake.dataset import Dataset, clean
 
 _COUNTERS = {
     "nb_train_prevu": "nb_train_prevu",
@@ -55,20 +55,18 @@ def _checks() -> dict[str, Column]:
     return {"impossible_rate": F.col("taux_regularite_pct").between(0, 100)}
 
 
-PUNCTUALITY = DATASETS.add(
-    Dataset(
-        name="regularite",
-        wire=schemas.PUNCTUALITY_WIRE,
-        silver=schemas.PUNCTUALITY_SILVER,
-        key=("periode", "gare_depart", "gare_arrivee"),
-        required=("periode", "gare_depart", "nb_train_prevu"),
-        fields=_fields,
-        derived=_derived,
-        rules=_rules,
-        checks=_checks,
-        partition_by=("periode",),
-        counters={w: "int" for w in _COUNTERS.values()},
-    )
+PUNCTUALITY = Dataset(
+    name="regularite",
+    wire=schemas.PUNCTUALITY_WIRE,
+    silver=schemas.PUNCTUALITY_SILVER,
+    key=("periode", "gare_depart", "gare_arrivee"),
+    required=("periode", "gare_depart", "nb_train_prevu"),
+    fields=_fields,
+    derived=_derived,
+    rules=_rules,
+    checks=_checks,
+    partition_by=("periode",),
+    counters={w: "int" for w in _COUNTERS.values()},
 )
 
 

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from trainlake import schemas
 from trainlake.functions import not_negative, pct_change, title_case, whole_number
-from trainlake.dataset import DATASETS, Dataset, clean
+from trainlake.dataset import Dataset, clean
 
 YEARS = (2024, 2023, 2022, 2019)
 
@@ -28,17 +28,15 @@ def _derived() -> dict[str, Column]:
     return {"evolution_pct_2019_2024": change}
 
 
-RIDERSHIP = DATASETS.add(
-    Dataset(
-        name="frequentation",
-        wire=schemas.RIDERSHIP_WIRE,
-        silver=schemas.RIDERSHIP_SILVER,
-        key=("code_uic",),
-        required=("nom_gare", "code_uic"),
-        fields=_fields,
-        derived=_derived,
-        counters={f"total_voyageurs_{y}": "bigint" for y in YEARS},
-    )
+RIDERSHIP = Dataset(
+    name="frequentation",
+    wire=schemas.RIDERSHIP_WIRE,
+    silver=schemas.RIDERSHIP_SILVER,
+    key=("code_uic",),
+    required=("nom_gare", "code_uic"),
+    fields=_fields,
+    derived=_derived,
+    counters={f"total_voyageurs_{y}": "bigint" for y in YEARS},
 )
 
 

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from trainlake import schemas
 from trainlake.functions import geo_cell, grid_degree, in_box, title_case
-from trainlake.dataset import DATASETS, Dataset, clean
+from trainlake.dataset import Dataset, clean
 
 
 def _fields() -> dict[str, Column]:
@@ -35,17 +35,15 @@ def _rules() -> dict[str, Column]:
     return {"outside_country": box}
 
 
-STATIONS = DATASETS.add(
-    Dataset(
-        name="gares",
-        wire=schemas.STATIONS_WIRE,
-        silver=schemas.STATIONS_SILVER,
-        key=("codes_uic",),
-        required=("latitude", "longitude", "codes_uic"),
-        fields=_fields,
-        derived=_derived,
-        rules=_rules,
-    )
+STATIONS = Dataset(
+    name="gares",
+    wire=schemas.STATIONS_WIRE,
+    silver=schemas.STATIONS_SILVER,
+    key=("codes_uic",),
+    required=("latitude", "longitude", "codes_uic"),
+    fields=_fields,
+    derived=_derived,
+    rules=_rules,
 )
 
 
