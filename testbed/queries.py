@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -323,6 +324,16 @@ def quarantine_torn_records(spark, sf_dir):
 WAVES = 3
 
 
+@contextmanager
+def _setting(spark: SparkSession, name: str, value: str):
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _land(records: DataFrame, base: str) -> list[str]:
     """Raw records as text files that arrive in waves, split by content hash."""
     wave = F.pmod(F.xxhash64("json_str"), F.lit(WAVES)).cast("int")
@@ -363,7 +374,10 @@ def stream_append(spark, sf_dir):
 def stream_first_seen(spark, sf_dir):
     """Keys that a stream with time-limited dedup lets through, with their count."""
     seen = availability(AS_OF)
-    base = _stream(spark, sf_dir, "availability", seen, mode="append", ttl="2 days")
+    # State is partitioned once and for all at the first start: one part per core.
+    cores = spark.sparkContext.defaultParallelism
+    with _setting(spark, "spark.sql.shuffle.partitions", str(cores)):
+        base = _stream(spark, sf_dir, "availability", seen, mode="append", ttl="2 days")
     lots = spark.read.schema(seen.silver).parquet(f"{base}/{seen.name}")
     return lots.groupBy(*seen.key).agg(F.count(F.lit(1)).alias("n"))
 

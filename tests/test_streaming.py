@@ -144,9 +144,12 @@ def test_all_streams_at_once(spark, tmp_path):
     }
     for name, record in records.items():
         (tmp_path / "landed" / name).mkdir(parents=True)
-        (tmp_path / "landed" / name / "0.json").write_text(json.dumps(record))
+        (tmp_path / "landed" / name / "0.json").write_text(json.dumps(record) + "\n{torn")
     main(["refine", "--landed", f"{tmp_path}/landed", "--silver", f"{tmp_path}/silver",
-          "--checkpoints", f"{tmp_path}/checkpoints"])
+          "--checkpoints", f"{tmp_path}/checkpoints", "--rejects", f"{tmp_path}/rejects"])
+    for name in records:
+        rejects = spark.read.parquet(f"{tmp_path}/rejects/{name}").collect()
+        assert [(r.json_str, r.reason) for r in rejects] == [("{torn", "unreadable")]
     main(["audit", "--silver", f"{tmp_path}/silver"])
     main(["compact", "--silver", f"{tmp_path}/silver", "--dataset", "tgvmax"])
     for name, dataset in DATASETS.items():

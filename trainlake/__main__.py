@@ -39,6 +39,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     refine.add_argument("--topics", type=_pairs, help="dataset=topic,dataset=topic,…")
     refine.add_argument("--landed", help="files below <landed>/<dataset>/ instead of Kafka")
     refine.add_argument("--every", help="trigger interval; without it, work off and stop")
+    refine.add_argument("--rejects", help="also collect defective records below this path")
     refine.add_argument("--keep", choices=("first", "last"), default="first")
 
     extract = jobs.add_parser("extract")
@@ -73,8 +74,15 @@ def refine(spark: SparkSession, args: argparse.Namespace) -> None:
         sources = kafka_sources(spark, args.servers, args.topics)
     else:
         sources = {name: text_source(spark, f"{args.landed}/{name}") for name in DATASETS}
-    trigger = args.every or AVAILABLE_NOW
-    wait_for_all(refine_all(sources, args.silver, args.checkpoints, keep=args.keep, trigger=trigger))
+    queries = refine_all(
+        sources,
+        args.silver,
+        args.checkpoints,
+        trigger=args.every or AVAILABLE_NOW,
+        rejects=args.rejects,
+        keep=args.keep,
+    )
+    wait_for_all(queries)
 
 
 def extract(spark: SparkSession, args: argparse.Namespace) -> None:
