@@ -121,6 +121,17 @@ def test_an_impossible_rate_still_claims_its_key(spark, raw, tmp_path):
     assert read_silver(spark, PUNCTUALITY, f"{tmp_path}/l", "last").count() == 1
 
 
+def test_text_partitions_keep_odd_values(spark, raw, plan, tmp_path):
+    periods = ["", "2024-03", "2024", "a/b=c d"]
+    months = [{"date": p, "gare_depart": "A", "nb_train_prevu": 5} for p in periods]
+    for _ in range(2):
+        write_snapshot(PUNCTUALITY.typed(raw(*months)), PUNCTUALITY, str(tmp_path))
+    df = read_silver(spark, PUNCTUALITY, str(tmp_path))
+    assert sorted(r.periode for r in df.collect()) == sorted(periods)
+    scan = plan(df.where("periode = '2024-03'"))
+    assert "PartitionFilters: [(coalesce(periode" in scan
+
+
 @pytest.mark.parametrize("adaptive", ["true", "false"])
 def test_partitioned_snapshot_prunes(spark, raw, plan, tmp_path, adaptive):
     spark.conf.set("spark.sql.adaptive.enabled", adaptive)
