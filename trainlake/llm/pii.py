@@ -140,8 +140,11 @@ def pii_digests(documents: DataFrame) -> DataFrame:
         return F.array_join(F.transform(which, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
     base = F.filter("spans", lambda s: s["kind"].isin(*BASE))
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in BASE]
-    return spans.select("doc_id", *counts, F.sha2(told(base), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"))
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return spans.select("doc_id", *map(count, BASE), F.sha2(told(base), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"))
 
 
 def redact(documents: DataFrame) -> DataFrame:
