@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trainlake.llm import bpe, packing, pii
+from trainlake.llm import bpe, packing, pii, substring
 from trainlake.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digests(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (op1_bpe, op4_packing, op5_pii)}
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.kept_digests(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {q.__name__: q for q in (op1_bpe, op4_packing, op5_pii, op9_substring_dedup)}
 
 ORACLES: dict[str, str] = {}
