@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trainlake.llm import bpe, packing, pii, substring
+from trainlake.llm import bpe, jaccard, packing, pii, substring
 from trainlake.llm.common import table
 
 
@@ -18,10 +18,14 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digests(table(spark, sf_dir, "documents"))
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.linked_groups(table(spark, sf_dir, "documents"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.kept_digests(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (op1_bpe, op4_packing, op5_pii, op9_substring_dedup)}
+QUERIES = {q.__name__: q for q in (op1_bpe, op4_packing, op5_pii, op6_ngram_jaccard, op9_substring_dedup)}
 
 ORACLES: dict[str, str] = {}
