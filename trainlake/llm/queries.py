@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trainlake.llm import bpe, jaccard, packing, pii, substring
+from trainlake.llm import bpe, jaccard, packing, pii, substring, toxicity
 from trainlake.llm.common import table
 
 
@@ -22,10 +22,14 @@ def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.linked_groups(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.kept_digests(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (op1_bpe, op4_packing, op5_pii, op6_ngram_jaccard, op9_substring_dedup)}
+QUERIES = {q.__name__: q for q in (op1_bpe, op4_packing, op5_pii, op6_ngram_jaccard, op7_toxicity, op9_substring_dedup)}
 
 ORACLES: dict[str, str] = {}
