@@ -67,24 +67,24 @@ _WORDS = r"""w as (select doc_id, list_filter(regexp_split_to_array(coalesce(tex
 
 _OP9 = f"""
 with {_WORDS},
-g as (select doc_id, unnest(range(1, len(words) - 18)) as at, words from w where len(words) >= 20),
-k as (select doc_id, at, md5(array_to_string(words[at:at + 19], ' ')) as k from g),
-l as (select doc_id, at, row_number() over (partition by k order by doc_id, at) > 1 as later from k),
-gone as (select distinct doc_id, unnest(range(at, at + 20)) as at from l where later),
-e as (select doc_id, unnest(range(1, len(words) + 1)) as at, unnest(words) as word from w where len(words) > 0),
-t as (select e.doc_id, count(gone.at) as n_removed, string_agg(word, ' ' order by e.at) filter (where gone.at is null) as kept
-      from e left join gone on e.doc_id = gone.doc_id and e.at = gone.at group by e.doc_id)
+g as (select doc_id, unnest(range(1, len(words) - 18)) as pos, words from w where len(words) >= 20),
+k as (select doc_id, pos, md5(array_to_string(words[pos:pos + 19], ' ')) as k from g),
+l as (select doc_id, pos, row_number() over (partition by k order by doc_id, pos) > 1 as later from k),
+gone as (select distinct doc_id, unnest(range(pos, pos + 20)) as pos from l where later),
+e as (select doc_id, unnest(range(1, len(words) + 1)) as pos, unnest(words) as word from w where len(words) > 0),
+t as (select e.doc_id, count(gone.pos) as n_removed, string_agg(word, ' ' order by e.pos) filter (where gone.pos is null) as kept
+      from e left join gone on e.doc_id = gone.doc_id and e.pos = gone.pos group by e.doc_id)
 select w.doc_id, cast(len(words) as bigint) as n_words, cast(coalesce(n_removed, 0) as bigint) as n_removed, sha256(coalesce(kept, '')) as kept_sha256
 from w left join t on w.doc_id = t.doc_id
 """
 
 _OP6 = f"""
 with recursive {_WORDS.replace("coalesce(text, '')", "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")},
-g as (select doc_id, words, unnest(range(1, greatest(len(words) - 3, 2))) as at from w where len(words) > 0),
-t as (select distinct doc_id, md5(array_to_string(words[at:at + 4], ' ')) as t from g),
+g as (select doc_id, words, unnest(range(1, greatest(len(words) - 3, 2))) as pos from w where len(words) > 0),
+t as (select distinct doc_id, md5(array_to_string(words[pos:pos + 4], ' ')) as t from g),
 n as (select doc_id, count(*) as n from t group by doc_id),
-both as (select a.doc_id as a, b.doc_id as b, count(*) as m from t a join t b on a.t = b.t and a.doc_id <> b.doc_id group by 1, 2),
-link as (select a, b from both join n x on a = x.doc_id join n y on b = y.doc_id where 100 * m >= 75 * (x.n + y.n - m)),
+met as (select a.doc_id as a, b.doc_id as b, count(*) as m from t a join t b on a.t = b.t and a.doc_id <> b.doc_id group by 1, 2),
+link as (select a, b from met join n x on a = x.doc_id join n y on b = y.doc_id where 100 * m >= 75 * (x.n + y.n - m)),
 reach(a, b) as (select a, b from link union select r.a, l.b from reach r join link l on r.b = l.a)
 select w.doc_id, cast(coalesce(n.n, 0) as bigint) as n_shingles, cast(least(w.doc_id, coalesce(min(reach.b), w.doc_id)) as bigint) as component_id
 from w left join n on w.doc_id = n.doc_id left join reach on w.doc_id = reach.a group by w.doc_id, n.n
@@ -97,9 +97,9 @@ with p as (select page_id, page_id // 1000 as volume,
              || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: ' || octet_length(encode(coalesce(html, ''))) || chr(13) || chr(10) || chr(13) || chr(10)
              || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) as body from pages),
 l as (select *, cast(octet_length(encode(body)) as bigint) as length from p),
-o as (select *, cast(coalesce(sum(length) over (partition by volume order by page_id rows between unbounded preceding and 1 preceding), 0) as bigint) as at from l),
+o as (select *, cast(coalesce(sum(length) over (partition by volume order by page_id rows between unbounded preceding and 1 preceding), 0) as bigint) as pos from l),
 s as (select *, case when volume % 3 = 1 and page_id % 1000 >= 900 then 'missing' when page_id % 97 = 5 and contains(body, 'e') then 'corrupt' end as state from o)
-select cast(volume as bigint) as volume, page_id as record_id, 0 as copy, at as offset, length, state from s where state is not null
+select cast(volume as bigint) as volume, page_id as record_id, 0 as copy, pos as "offset", length, state from s where state is not null
 """
 
 ORACLES: dict[str, str] = {"op6_ngram_jaccard": _OP6, "op8_exact_topk": _OP8, "op9_substring_dedup": _OP9, "op10_warc_fixity": _OP10}
