@@ -2,10 +2,11 @@
 
 from testbed.views import AS_OF, duck
 
+# Distance by the chord between unit vectors; NULL if a coordinate is, since NULL + … is.
 _KM = (
-    "12742.0e0 * asin(least(1.0e0, sqrt(pow(sin(radians({lat2} - {lat1}) / 2), 2)"
-    " + cos(radians({lat1})) * cos(radians({lat2}))"
-    " * pow(sin(radians({lon2} - {lon1}) / 2), 2))))"
+    "12742.0e0 * asin(sqrt(pow(cos(radians({lat1})) * cos(radians({lon1})) - cos(radians({lat2})) * cos(radians({lon2})), 2)"
+    " + pow(cos(radians({lat1})) * sin(radians({lon1})) - cos(radians({lat2})) * sin(radians({lon2})), 2)"
+    " + pow(sin(radians({lat1})) - sin(radians({lat2})), 2)) / 2)"
 )
 
 
@@ -110,13 +111,18 @@ def _pairs(points: str, radius: float = 10.0) -> str:
     from ({_stations}) s join ({duck(points)}) p on {km} <= {radius}"""
 
 
+# One place per name, the smallest; cleaned stations only: a place inside the country, and a code.
+_place = f"""
+    select 'GARE ' || trim(substr(nom, 6)) as name, lat, lon from ({duck('gare_stations')})
+    where lat between 41 and 52 and lon between -5.5 and 10
+    qualify row_number() over (partition by name order by lat, lon) = 1"""
 _ends = f"""
-    select t.*, coalesce({_km('a.latitude', 'a.longitude', 'b.latitude', 'b.longitude')}, 580.0e0)
-        as km
+    select t.*, case when a.name is null or b.name is null then 580.0e0
+        else {_km('a.lat', 'a.lon', 'b.lat', 'b.lon')} end as km
     from (select origine, destination, count(*) as n_trains from ({_availability()})
           group by all) t
-        left join ({duck('named_stations')}) a on a.nom_gare = origine
-        left join ({duck('named_stations')}) b on b.nom_gare = destination"""
+        left join ({_place}) a on a.name = origine
+        left join ({_place}) b on b.name = destination"""
 
 _reached = f"""
     select * from ({duck('points')}) p where exists (
@@ -163,9 +169,7 @@ ORACLES = {
     "regional_box": f"select nom, codes_uic, lat, lon from ({_regional})",
     "future_dates": f"""
         select cast(date as date) as date_depart, train_no, ingested_at from ({_upcoming})""",
-    "axis_date_filter_capped": f"""
-        select * from ({_upcoming}) where axe = 'ATLANTIQUE'
-        order by date, train_no, origine, destination, ingested_at limit 5000""",
+    "axis_date_filter": f"select * from ({_upcoming}) where axe = 'ATLANTIQUE'",
     "axes_date_filter": f"select * from ({_upcoming}) where axe in ('ATLANTIQUE', 'NORD')",
     "substring_filter": f"""
         select date, gare_depart, gare_arrivee, nb_train_prevu
@@ -192,7 +196,7 @@ ORACLES = {
     "keep_first_null_key": f"""
         select gare_arrivee, count(*) as n
         from (select * from ({_rated}) qualify {_first_copy}) group by all""",
-    "distinct_rows": f"select distinct origine, destination, axe from ({duck('availability')})",
+    "distinct_rows": f"select * from ({duck('availability')}) union select * from ({duck('availability')})",
     "clamp_and_change": f"""
         select *, {_change('v24', 'v19')} as change_pct from (
             select code_uic_complet, ingested_at, {_travellers('total_voyageurs_2024')} as v24,
@@ -220,8 +224,8 @@ ORACLES = {
         from ({_pairs('points')}) group by all""",
     "weekend_seats_by_od": f"""
         select od, count(*) as n_trains from ({_availability()})
-        where date_depart between date '{AS_OF}' and date '{AS_OF}' + 7
-          and est_weekend and est_disponible group by all""",
+        where date_depart in (date '1998-07-04', date '1998-07-05')
+          and est_disponible group by all""",
     "co2_by_od": f"""
         select origine, destination, n_trains, round(km, 3) as distance_km,
             round(km * 189.5 / 1000, 3) as co2_saved_kg from ({_ends})""",
@@ -239,6 +243,33 @@ ORACLES = {
         select reason, count(*) as n from ({_quarantined}) where reason is not null group by all""",
     "quarantine_torn_records": f"""
         select 'unreadable' as reason, count(*) as n from ({duck('ridership')})""",
+    "ingest_stamp": """
+        select event_id, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') as ingested_at from events""",
+    "regional_extract_records": f"""
+        select train_no || '_' || date as key, date, train_no, origine, destination,
+            cast(length(axe) as bigint) as n_axe, axe as axes, '1998-07-01T12:00:00Z' as ingested_at
+        from ({_upcoming}) where axe in ('ATLANTIQUE', 'NORD')""",
+    "regional_extract_counts": f"""
+        select dataset, count(*) as n from (
+            select 'gares' as dataset from ({_regional})
+            union all select 'frequentation' from ({duck('ridership')})
+                where code_uic_complet in (select codes_uic from ({_regional}))
+            union all select 'tgvmax' from ({_upcoming}) where axe = 'ATLANTIQUE'
+            union all select 'regularite' from ({duck('punctuality')}) where contains(gare_depart, 'BORDEAUX'))
+        group by all""",
+    "page_completeness": f"""
+        select right(code_uic_complet, 1) as pull, count(*) as expected,
+            count(*) filter (ingested_at < '2024-01-01T12' or right(code_uic_complet, 1) in ('0', '2', '4', '6', '8'))
+                as landed,
+            cast(0 as bigint) as torn, right(code_uic_complet, 1) in ('0', '2', '4', '6', '8') as complete
+        from ({duck('ridership')}) group by all""",
+    "static_points": duck("points"),
+    "refined_tables": f"""
+        select 'gares' as dataset, count(*) as n, count(*) as written from ({_stations})
+        union all select 'frequentation', count(*), count(*) from ({_ridership})
+        union all select 'tgvmax', count(*), count(*) from ({_availability(order='ingested_at desc')})
+        union all select 'regularite', count(*) filter (taux_regularite_pct between 0 and 100), count(*)
+            from (select * from ({_rated}) qualify {_first_copy})""",
     "stream_snapshot": _stations,
     "stream_snapshot_checked": _punctuality,
     "stream_append": _availability(order="ingested_at desc"),

@@ -3,6 +3,7 @@
 import tempfile
 import uuid
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from trainlake.functions import (
     geo_cell,
     grid_degree,
     in_box,
+    ingest_stamp,
     is_weekend,
     month_text,
     not_negative,
@@ -26,7 +28,7 @@ from trainlake.functions import (
     whole_number,
     year_text,
 )
-from trainlake.operators import keep_one, parse_json, require, within_km
+from trainlake.operators import distinct_records, keep_one, parse_json, require, within_km
 from trainlake.plans import (
     audit,
     clean_availability,
@@ -36,13 +38,15 @@ from trainlake.plans import (
     extract,
     questions,
 )
+from trainlake.functions.carbon import CAR_G_PER_KM, TRAIN_G_PER_KM
 from trainlake.plans.availability import availability
 from trainlake.plans.punctuality import PUNCTUALITY
+from trainlake.plans.registry import DATASETS
 from trainlake.plans.ridership import RIDERSHIP
 from trainlake.plans.stations import STATIONS
-from trainlake.sinks import append_lot, compact, kafka_messages, write_snapshot
-from trainlake.sources import read_pages, read_silver, text_source
-from trainlake.streaming import AVAILABLE_NOW, refine_stream
+from trainlake.sinks import append_lot, compact, kafka_messages, text_messages, write_snapshot
+from trainlake.sources import read_pages, read_silver, read_static, text_source
+from trainlake.streaming import AVAILABLE_NOW, refine_all, refine_stream, wait_for_all
 
 RADIUS_KM = 10.0
 
@@ -152,13 +156,13 @@ def future_dates(spark, sf_dir):
     return rows_.select("date_depart", "train_no", "ingested_at")
 
 
-def axis_date_filter_capped(spark, sf_dir):
+def axis_date_filter(spark, sf_dir):
     return extract.upcoming_on_axes(rows(spark, sf_dir, "availability"), as_of=AS_OF)
 
 
 def axes_date_filter(spark, sf_dir):
     return extract.upcoming_on_axes(
-        rows(spark, sf_dir, "availability"), ("ATLANTIQUE", "NORD"), AS_OF, limit=None
+        rows(spark, sf_dir, "availability"), ("ATLANTIQUE", "NORD"), AS_OF
     )
 
 
@@ -222,7 +226,9 @@ def keep_first_null_key(spark, sf_dir):
 
 
 def distinct_rows(spark, sf_dir):
-    return rows(spark, sf_dir, "availability").select("origine", "destination", "axe").dropDuplicates()
+    """Whole rows, of a feed in which each comes twice."""
+    feed = rows(spark, sf_dir, "availability")
+    return distinct_records(feed.unionByName(feed))
 
 
 # -- derived columns --------------------------------------------------------
@@ -286,9 +292,13 @@ def weekend_seats_by_od(spark, sf_dir):
 
 
 def co2_by_od(spark, sf_dir):
-    return questions.co2_by_connection(
-        availability_seen(spark, sf_dir), rows(spark, sf_dir, "named_stations")
-    )
+    """Over the cleaned stations, with the factors of a static table."""
+    path = scratch(spark)
+    factors = spark.createDataFrame([("car", CAR_G_PER_KM), ("train", TRAIN_G_PER_KM)], schemas.EMISSION_FACTORS)
+    factors.write.option("header", "true").csv(path)
+    car, train = questions.emission_factors(read_static(spark, path, schemas.EMISSION_FACTORS))
+    named = clean_stations(raw(spark, sf_dir, "gare_stations"))
+    return questions.co2_by_connection(availability_seen(spark, sf_dir), named, car, train)
 
 
 def bike_reach(spark, sf_dir):
@@ -319,9 +329,66 @@ def quarantine_torn_records(spark, sf_dir):
     return found.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
+# -- landing ----------------------------------------------------------------
+
+
+def ingest_stamps(spark, sf_dir):
+    """Event times as the stamps of messages."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return events.select("event_id", ingest_stamp(F.col("ts")).alias("ingested_at"))
+
+
+def _whole_records(spark, sf_dir):
+    """Availability records with fields that no schema names."""
+    record = rows(spark, sf_dir, "availability").select(F.struct("*", F.length("axe").alias("n_axe"), F.array("axe").alias("axes")).alias("r"))
+    return record.select(F.to_json("r").alias("json_str"))
+
+
+def regional_extract_records(spark, sf_dir):
+    """The region's availability messages; what the schema doesn't name travels with them."""
+    raws = {
+        "gares": raw(spark, sf_dir, "stations"), "frequentation": raw(spark, sf_dir, "ridership"),
+        "tgvmax": _whole_records(spark, sf_dir), "regularite": raw(spark, sf_dir, "punctuality"),
+    }
+    found = extract.regional_records(raws, AS_OF, axes=("ATLANTIQUE", "NORD"))["tgvmax"]
+    sent = text_messages(found, extract.MESSAGE_KEYS["tgvmax"], F.lit("1998-07-01 12:00:00").cast("timestamp"))
+    fields = "date STRING, train_no STRING, origine STRING, destination STRING, n_axe BIGINT, axes ARRAY<STRING>, ingested_at STRING"
+    return parse_json(sent.select("key", F.col("value").alias("json_str")), fields, "key").withColumn("axes", F.array_join("axes", ","))
+
+
+def regional_extract_counts(spark, sf_dir):
+    """Records of the region by dataset."""
+    views = {"gares": "stations", "frequentation": "ridership", "tgvmax": "availability", "regularite": "punctuality"}
+    found = extract.regional_records({n: raw(spark, sf_dir, v) for n, v in views.items()}, AS_OF)
+    named = [df.select(F.lit(n).alias("dataset")) for n, df in found.items()]
+    return reduce(DataFrame.unionByName, named).groupBy("dataset").agg(F.count(F.lit(1)).alias("n"))
+
+
+def page_completeness(spark, sf_dir):
+    """Ridership landed in pulls by postcode digit; one pull of two got half of its pages, twice."""
+    landed = scratch(spark)
+    records = wire(spark, sf_dir, "ridership").withColumn("pull", F.substring("code_uic_complet", -1, 1))
+    n = records.groupBy("pull").agg(F.count(F.lit(1)).alias("total_count"))
+    record = F.struct(*[c for c in records.columns if c != "pull"])
+    pages = records.join(n, "pull").select("pull", F.to_json(F.struct("total_count", F.array(record).alias("results"))).alias("value"), "ingested_at")
+    half = (F.col("pull").cast("int") % 2 == 1) & (F.col("ingested_at") > "2024-01-01T12")
+    kept = pages.where(~half).select("pull", "value")
+    kept.unionByName(kept.where("pull % 2 = 1")).write.partitionBy("pull").text(landed)
+    found = audit.page_completeness(spark, f"{landed}/*", multi_line=False)
+    return found.withColumn("pull", F.substring("pull", -1, 1))
+
+
+def static_points(spark, sf_dir):
+    """Points of interest from a CSV table with a declared schema."""
+    path = scratch(spark)
+    rows(spark, sf_dir, "points").write.option("header", "true").csv(path)
+    return read_static(spark, path, schemas.POINTS)
+
+
 # -- tables and streams -----------------------------------------------------
 
 WAVES = 3
+STATE_PARTS = 8
 
 
 @contextmanager
@@ -367,21 +434,44 @@ def stream_snapshot_checked(spark, sf_dir):
 
 def stream_append(spark, sf_dir):
     seen = availability(AS_OF)
-    base = _stream(spark, sf_dir, "availability", seen, keep="last")
-    return _silver(read_silver(spark, seen, base, keep="last"))
+    base = _stream(spark, sf_dir, "availability", seen)
+    return _silver(read_silver(spark, seen, base))
 
 
 def stream_first_seen(spark, sf_dir):
     """Keys that a stream with time-limited dedup lets through, with their count."""
-    seen = availability(AS_OF)
-    # State is partitioned once and for all at the first start: one part per core.
-    cores = spark.sparkContext.defaultParallelism
-    with _setting(spark, "spark.sql.shuffle.partitions", str(cores)):
+    seen = availability(AS_OF, keep="first")
+    # State is partitioned once and for all at the first start, so the number is stated.
+    with _setting(spark, "spark.sql.shuffle.partitions", str(STATE_PARTS)):
         base = _stream(spark, sf_dir, "availability", seen, mode="append", ttl="2 days")
     lots = spark.read.schema(seen.silver).parquet(f"{base}/{seen.name}")
     return lots.groupBy(*seen.key).agg(F.count(F.lit(1)).alias("n"))
 
 
+def refined_tables(spark, sf_dir):
+    """All four feeds refined at once, an empty batch after them; rows of each table, and what the audit says."""
+    base = scratch(spark)
+    views = {"gares": "stations", "frequentation": "ridership", "tgvmax": "availability", "regularite": "punctuality"}
+    datasets = {**DATASETS, "tgvmax": availability(AS_OF)}
+    counted = []
+    for wave in range(2):
+        for name, view in views.items():
+            records = raw(spark, sf_dir, view)
+            (records if wave == 0 else records.limit(0)).write.mode("append").text(f"{base}/landed/{name}")
+        sources = {n: text_source(spark, f"{base}/landed/{n}") for n in views}
+        wait_for_all(refine_all(
+            sources, f"{base}/silver", f"{base}/checkpoints", datasets, AVAILABLE_NOW,
+            on_batch=lambda name, _, n: counted.append((name, n)),
+        ))
+    written = spark.createDataFrame(counted, "dataset STRING, written LONG")
+    there = [
+        read_silver(spark, d, f"{base}/silver").select(F.lit(n).alias("dataset"))
+        for n, d in datasets.items()
+    ]
+    present = reduce(DataFrame.unionByName, there).groupBy("dataset").agg(F.count(F.lit(1)).alias("n"))
+    return present.join(written, "dataset")
+
+
 def lots_compacted(spark, sf_dir):
     """Two lots folded into a partitioned snapshot, a third still on its own."""
     typed = PUNCTUALITY.typed(raw(spark, sf_dir, "punctuality"))
@@ -419,7 +509,7 @@ QUERIES = {
     "country_box": country_box,
     "regional_box": regional_box,
     "future_dates": future_dates,
-    "axis_date_filter_capped": axis_date_filter_capped,
+    "axis_date_filter": axis_date_filter,
     "axes_date_filter": axes_date_filter,
     "substring_filter": substring_filter,
     "ridership_semi_join": ridership_semi_join,
@@ -443,6 +533,12 @@ QUERIES = {
     "punctuality_trend": punctuality_trend,
     "quarantine_reasons": quarantine_stations,
     "quarantine_torn_records": quarantine_torn_records,
+    "ingest_stamp": ingest_stamps,
+    "regional_extract_records": regional_extract_records,
+    "regional_extract_counts": regional_extract_counts,
+    "page_completeness": page_completeness,
+    "static_points": static_points,
+    "refined_tables": refined_tables,
     "stream_snapshot": stream_snapshot,
     "stream_snapshot_checked": stream_snapshot_checked,
     "stream_append": stream_append,

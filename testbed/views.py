@@ -113,6 +113,17 @@ _VIEWS = {
             41.0e0 + (p_partkey * 3571 % 11000) / 1000.0e0 as plat,
             -5.5e0 + (p_partkey * 9973 % 15500) / 1000.0e0 as plon
         from part""",
+    # Station records for names that occur in `availability` in another case, some twice at
+    # different places, some without a place; some of its stations are missing here.
+    "gare_stations": """
+        select 'gare  ' || cast(n_nationkey as {S}) as nom, 'GAR' as libellecourt,
+            '88' || lpad(cast(n_nationkey * 10 + twice as {S}), 6, '0') as codes_uic, 'A' as segment_drg,
+            '00000' as codeinsee,
+            case when n_nationkey % 7 = 5 then null else 43.0e0 + (n_nationkey * 37 % 80) / 10.0e0 + twice end as lat,
+            case when n_nationkey % 7 = 5 then null else -4.0e0 + (n_nationkey * 53 % 130) / 10.0e0 end as lon,
+            '2024-01-01T00:00:00Z' as ingested_at
+        from nation cross join (select 0 as twice union all select 1)
+        where n_nationkey % 9 <> 4 and (twice = 0 or n_nationkey % 4 = 1)""",
     # Names that occur in `availability`; some of its stations are missing here.
     "named_stations": """
         select 'GARE ' || cast(n_nationkey as {S}) as nom_gare,
@@ -127,16 +138,7 @@ def duck(view: str) -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table, spread over the cores if its file has too few splits for them.
-
-    The files here are single row groups, which one task would read and parse
-    alone.  A table of cluster size has splits enough and is left as it is.
-    """
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name == "lineitem" and df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores, df.columns[0])
-    return df
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def rows(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
@@ -151,7 +153,7 @@ def rows(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
 def wire(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
     """The view as wire records: stations carry their position as a struct."""
     df = rows(spark, sf_dir, view)
-    if view != "stations":
+    if view not in ("stations", "gare_stations"):
         return df
     position = F.when(F.col("lat").isNotNull(), F.struct("lat", "lon"))
     return df.withColumn("position_geographique", position).drop("lat", "lon")

@@ -8,6 +8,8 @@ from trainlake.operators import parse_json
 from trainlake.plans import extract, page_completeness
 from trainlake.plans.audit import missing_datasets
 from trainlake.sinks import kafka_messages, object_store_conf
+from trainlake.sinks import text_messages
+from trainlake.sources import unreadable_pages
 from trainlake.sources import declared_totals, kafka_source, read_pages, read_static
 
 
@@ -44,10 +46,10 @@ def test_upcoming_on_axes(spark):
     df = spark.createDataFrame(rows, "axe STRING, date STRING").withColumns(
         {c: F.lit("x") for c in ("train_no", "origine", "destination", "ingested_at")}
     )
-    found = extract.upcoming_on_axes(df, as_of="2024-01-10", limit=5).collect()
+    found = extract.upcoming_on_axes(df, as_of="2024-01-10").orderBy("date").limit(5).collect()
     assert [r.date for r in found] == [f"2024-01-{d}" for d in range(10, 15)]
-    assert extract.upcoming_on_axes(df, as_of="2024-01-10", limit=None).count() == 21
-    both = extract.upcoming_on_axes(df, ("ATLANTIQUE", "NORD"), "2024-01-10", None)
+    assert extract.upcoming_on_axes(df, as_of="2024-01-10").count() == 21
+    both = extract.upcoming_on_axes(df, ("ATLANTIQUE", "NORD"), "2024-01-10")
     assert both.count() == 22
     assert extract.upcoming_on_axes(df).count() == 0
 
@@ -156,12 +158,42 @@ def test_read_pages(spark, pages):
     path = pages(3, [{"a": 1, "deep": {"b": [1]}}, {"a": 2}], [{"a": 3}], [])
     found = [json.loads(r.json_str) for r in read_pages(spark, path).collect()]
     assert sorted(found, key=lambda r: r["a"]) == [{"a": 1, "deep": {"b": [1]}}, {"a": 2}, {"a": 3}]
-    assert declared_totals(spark, path).collect() == [(3, 3)]
+    assert declared_totals(spark, path).drop("pull").collect() == [(3, 3, 0)]
     assert page_completeness(spark, path).first().complete is True
 
 
 def test_incomplete_pages(spark, pages):
-    assert page_completeness(spark, pages(250, [{"a": 1}])).collect() == [(250, 1, False)]
+    assert page_completeness(spark, pages(250, [{"a": 1}])).drop("pull").collect() == [(250, 1, 0, False)]
+
+
+def test_copies_of_half_a_pull_are_not_a_whole_one(spark, pages):
+    path = pages(2, [{"a": 1}], [{"a": 1}])
+    assert page_completeness(spark, path).drop("pull").collect() == [(2, 1, 0, False)]
+
+
+def test_torn_pages_are_told(spark, pages, tmp_path):
+    path = pages(1, [{"a": 1}])
+    (tmp_path / "torn.json").write_text('{"total_count": 1, "results": [{"a"')
+    assert [json.loads(r.json_str) for r in read_pages(spark, path).collect()] == [{"a": 1}]
+    (torn,) = unreadable_pages(spark, path).collect()
+    assert torn.file.endswith("torn.json") and torn.page.startswith("{")
+    assert page_completeness(spark, path).first().complete is False
+
+
+def test_pulls_are_judged_each(spark, tmp_path):
+    for pull, total in (("a", 1), ("b", 2)):
+        (tmp_path / pull).mkdir()
+        (tmp_path / pull / "0.json").write_text(json.dumps({"total_count": total, "results": [{"a": 1}]}))
+    found = page_completeness(spark, f"{tmp_path}/*").collect()
+    assert {r.pull[-1]: r.complete for r in found} == {"a": True, "b": False}
+
+
+def test_records_travel_whole(spark, raw):
+    at = F.lit("2024-01-07 08:00:00").cast("timestamp")
+    given = {"codes_uic": "1", "n": 1.50, "big": 12345678901, "deep": {"b": [1, None]}, "nom": "Angoulême", "ingested_at": "old"}
+    (sent,) = text_messages(raw(given).withColumn("codes_uic", F.lit("1")), ["codes_uic"], at).collect()
+    assert sent.key == "1"
+    assert json.loads(sent.value) == {**given, "ingested_at": "2024-01-07T08:00:00Z"}
 
 
 def test_pages_one_per_line(spark, tmp_path):

@@ -147,6 +147,13 @@ def test_box_edges_are_inside(value, lat, lon, inside):
     assert value(in_box(number(lat), number(lon), (41, 52), (-5.5, 10))) is inside
 
 
+@pytest.mark.parametrize("missing", range(4))
+def test_haversine_of_an_unknown_position_is_null(value, missing):
+    at = [F.lit(c) for c in (48.0, 2.0, 44.0, -0.5)]
+    at[missing] = F.lit(None).cast("double")
+    assert value(haversine_km(*at)) is None
+
+
 def test_haversine(value):
     paris, bordeaux = (48.8566, 2.3522), (44.8378, -0.5792)
     km = value(haversine_km(*(F.lit(c) for c in (*paris, *bordeaux))))

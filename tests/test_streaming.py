@@ -1,10 +1,12 @@
 import json
+from dataclasses import replace
 
 import pytest
 from pyspark.errors import StreamingQueryException
 
 from trainlake.__main__ import main
 from trainlake.dataset import clean
+from trainlake.plans.audit import MissingData
 from trainlake.plans.availability import availability
 from trainlake.plans.ridership import RIDERSHIP
 from trainlake.plans.stations import STATIONS
@@ -37,8 +39,8 @@ class Feed:
             trigger=AVAILABLE_NOW, on_batch=lambda *b: self.batches.append(b), **self.options,
         ).awaitTermination()
 
-    def silver(self, keep="first"):
-        return read_silver(self.spark, self.dataset, self.base, keep)
+    def silver(self):
+        return read_silver(self.spark, self.dataset, self.base)
 
 
 def ridership(**numbers):
@@ -53,15 +55,15 @@ def ridership(**numbers):
     "keep, wanted", [("first", {"a": 1, "b": 1, "c": 2}), ("last", {"a": 3, "b": 1, "c": 2})]
 )
 def test_batches_with_restarts_lose_no_key(spark, tmp_path, mode, keep, wanted):
-    feed = Feed(spark, tmp_path, RIDERSHIP, mode=mode, keep=keep)
+    feed = Feed(spark, tmp_path, replace(RIDERSHIP, keep=keep), mode=mode)
     for batch in ({"a": 1, "b": 1}, {"a": 2, "c": 2}, {"a": 3}):
         feed.land(*ridership(**batch))
         feed.run()
-    assert {r.code_uic: r.voyageurs_2024 for r in feed.silver(keep).collect()} == wanted
+    assert {r.code_uic: r.voyageurs_2024 for r in feed.silver().collect()} == wanted
     # The stream ends where a batch over the same files does.
     batch = clean(RIDERSHIP, text_batch(spark, str(feed.landed)), keep)
     columns = [c for c in batch.columns if c != "processed_at"]
-    stream = feed.silver(keep).select(columns)
+    stream = feed.silver().select(columns)
     assert sorted(stream.collect()) == sorted(batch.select(columns).collect())
     rows = {"snapshot": [2, 3, 3], "append": [2, 2, 1]}[mode]
     assert feed.batches == [("frequentation", n, r) for n, r in enumerate(rows)]
@@ -116,7 +118,7 @@ def seat(n, stamp):
 
 
 def test_copies_are_dropped_within_their_time_to_live(spark, tmp_path):
-    feed = Feed(spark, tmp_path, SEEN, mode="append", ttl="1 day")
+    feed = Feed(spark, tmp_path, replace(SEEN, keep="first"), mode="append", ttl="1 day")
     feed.land(*[seat(n, 0) for n in range(3)], *[seat(0, k) for k in range(200)])
     feed.run()
     feed.land(seat(0, 5), seat(3, 5))
@@ -128,7 +130,7 @@ def test_copies_are_dropped_within_their_time_to_live(spark, tmp_path):
 
 
 def test_ttl_is_for_first_reports_in_append_mode(spark, tmp_path):
-    feed = Feed(spark, tmp_path, SEEN, ttl="1 day", keep="last")
+    feed = Feed(spark, tmp_path, SEEN, ttl="1 day")
     with pytest.raises(ValueError):
         feed.run()
     with pytest.raises(ValueError):
@@ -177,7 +179,7 @@ def test_one_failing_stream_stops_the_others(spark, tmp_path):
 
 def test_extract_job(spark, tmp_path):
     pages = {
-        "gares": [{"codes_uic": "1", "position_geographique": {"lat": 45, "lon": 0}},
+        "gares": [{"codes_uic": "1", "uic_extra": {"a": [1, None]}, "position_geographique": {"lat": 45, "lon": 0}},
                   {"codes_uic": "2", "position_geographique": {"lat": 50, "lon": 0}}],
         "frequentation": [{"code_uic_complet": "1"}, {"code_uic_complet": "2"}],
         "tgvmax": [{"axe": "ATLANTIQUE", "date": "2024-02-01"}],
@@ -191,7 +193,35 @@ def test_extract_job(spark, tmp_path):
           "--as-of", "2024-01-01"])
     for name in pages:
         (line,) = text_batch(spark, f"{tmp_path}/out/{name}").collect()
-        assert json.loads(line.json_str)["ingested_at"]
+        record = json.loads(line.json_str)
+        assert record.pop("ingested_at") and record == pages[name][0]
+
+
+def test_extract_cuts_nothing_and_stops_on_gaps(spark, tmp_path):
+    trains = [{"axe": "ATLANTIQUE", "date": "2024-02-01", "train_no": str(n)} for n in range(6000)]
+    pages = {"gares": [], "frequentation": [], "tgvmax": trains, "regularite": []}
+    for name, results in pages.items():
+        (tmp_path / "pages" / name).mkdir(parents=True)
+        (tmp_path / "pages" / name / "0.json").write_text(json.dumps({"total_count": len(results), "results": results}))
+    argv = ["extract", "--pages", f"{tmp_path}/pages", "--as-of", "2024-01-01", "--rejects", f"{tmp_path}/rejects"]
+    main([*argv, "--out", f"{tmp_path}/out"])
+    assert text_batch(spark, f"{tmp_path}/out/tgvmax").count() == 6000
+    (tmp_path / "pages" / "tgvmax" / "1.json").write_text('{"total_count": 6000, "resul')
+    with pytest.raises(MissingData, match="1 torn"):
+        main([*argv, "--out", f"{tmp_path}/again"])
+    main([*argv, "--out", f"{tmp_path}/again", "--incomplete"])
+    assert text_batch(spark, f"{tmp_path}/again/tgvmax").count() == 6000
+
+
+def test_a_backlog_comes_in_several_batches(spark, tmp_path):
+    feed = Feed(spark, tmp_path, RIDERSHIP)
+    for n in range(3):
+        feed.land(*ridership(**{f"k{n}": n}))
+    refine_stream(
+        text_source(spark, str(feed.landed), maxFilesPerTrigger="1"), RIDERSHIP, feed.base, feed.checkpoint,
+        trigger=AVAILABLE_NOW, on_batch=lambda *b: feed.batches.append(b),
+    ).awaitTermination()
+    assert len(feed.batches) == 3 and feed.silver().count() == 3
 
 
 @pytest.mark.parametrize(
@@ -199,6 +229,7 @@ def test_extract_job(spark, tmp_path):
     [
         ["refine", "--silver", "s", "--checkpoints", "c"],
         ["refine", "--silver", "s", "--checkpoints", "c", "--servers", "h:1"],
+        ["refine", "--silver", "s", "--checkpoints", "c", "--landed", "l", "--mode", "replace", "--option", "maxFilesPerTrigger=1"],
         ["extract", "--pages", "p", "--servers", "h:1", "--topics", "a=b", "--out", "o"],
     ],
 )

@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from trainlake.plans.ridership import RIDERSHIP
 from trainlake.plans.stations import STATIONS
 from trainlake.sinks import append_lot, compact, write_snapshot
 from trainlake.sources import Table, read_silver
+from trainlake.sources.tables import ConcurrentWrite
 
 SEEN = availability("2024-01-01")
 
@@ -22,8 +25,12 @@ def ridership(raw, **numbers):
     return RIDERSHIP.typed(raw(*records))
 
 
+LAST = replace(RIDERSHIP, keep="last")
+KEEPING = {"first": RIDERSHIP, "last": LAST}
+
+
 def found(spark, base, keep="first"):
-    rows = read_silver(spark, RIDERSHIP, base, keep).collect()
+    rows = read_silver(spark, KEEPING[keep], base).collect()
     assert len({r.code_uic for r in rows}) == len(rows)
     return {r.code_uic: r.voyageurs_2024 for r in rows}
 
@@ -41,7 +48,7 @@ def seats(raw, *days, flag="OUI"):
 def test_snapshot_merges(spark, raw, tmp_path, keep, wanted):
     base = str(tmp_path)
     for batch in ({"a": 1, "b": 1}, {"a": 2, "c": 2}, {"a": 3}, {"a": 3}):
-        rows = write_snapshot(ridership(raw, **batch), RIDERSHIP, base, keep)
+        rows = write_snapshot(ridership(raw, **batch), KEEPING[keep], base)
     assert found(spark, base) == wanted and rows == 3
 
 
@@ -52,12 +59,41 @@ def test_snapshot_can_replace(spark, raw, tmp_path):
     assert found(spark, base) == {"c": 2}
 
 
-def test_snapshot_versions_are_retained_then_dropped(spark, raw, tmp_path):
+def test_a_reader_survives_ten_versions_and_compaction_drops_by_age(spark, raw, tmp_path):
+    base = str(tmp_path)
+    write_snapshot(ridership(raw, a=0, z=0), LAST, base)
+    reader = read_silver(spark, LAST, base)
+    for n in range(1, 11):
+        write_snapshot(ridership(raw, a=n), LAST, base)
+    assert {r.voyageurs_2024 for r in reader.collect()} == {0}
+    table = Table(spark, LAST, base)
+    compact(spark, LAST, base, drop_after_hours=1)
+    assert len(table._committed("v")) == 11
+    compact(spark, LAST, base, drop_after_hours=0)
+    assert table._committed("v") == ["00000010"] and found(spark, base, "last") == {"a": 10, "z": 0}
+
+
+def test_of_two_writers_one_fails(spark, raw, tmp_path):
     base = str(tmp_path)
-    for n in range(1, 6):
-        write_snapshot(ridership(raw, a=n), RIDERSHIP, base, "last", retain=2)
-    table = Table(spark, RIDERSHIP, base)
-    assert table.version() == 4 and table._committed("v") == ["00000003", "00000004"]
+    write_snapshot(ridership(raw, a=1), RIDERSHIP, base)
+    Table(spark, RIDERSHIP, base).claim(1, "one")
+    with pytest.raises(ConcurrentWrite, match="one"):
+        write_snapshot(ridership(raw, b=1), RIDERSHIP, base)
+    # the holder itself may come again, as after a crash
+    write_snapshot(ridership(raw, c=1), RIDERSHIP, base, owner="one")
+    write_snapshot(ridership(raw, d=1), RIDERSHIP, base)
+    assert set(found(spark, base)) == {"a", "c", "d"}
+
+
+def test_tables_need_no_marker_of_the_committer(spark, raw, tmp_path):
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        write_snapshot(ridership(raw, a=1), RIDERSHIP, str(tmp_path))
+        append_lot(ridership(raw, b=1), RIDERSHIP, str(tmp_path), "x")
+    finally:
+        hadoop.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+    assert set(found(spark, str(tmp_path))) == {"a", "b"}
 
 
 def test_a_reader_keeps_its_version(spark, raw, tmp_path):
@@ -73,7 +109,6 @@ def test_a_half_written_version_is_ignored_and_replaced(spark, raw, tmp_path):
     write_snapshot(ridership(raw, a=1), RIDERSHIP, base)
     torn = tmp_path / "frequentation" / "v=00000001"
     ridership(raw, x=9).write.parquet(str(torn))
-    (torn / "_SUCCESS").unlink()
     assert found(spark, base) == {"a": 1}
     write_snapshot(ridership(raw, b=2), RIDERSHIP, base)
     assert found(spark, base) == {"a": 1, "b": 2}
@@ -86,15 +121,15 @@ def test_lots_are_settled_on_read_and_by_compaction(spark, raw, tmp_path, keep,
     base = str(tmp_path)
     lots = {"x0": {"a": 1, "b": 1}, "x1": {"a": 2, "c": 2}, "x2": {"a": 3}}
     for lot, batch in lots.items():
-        append_lot(ridership(raw, **batch), RIDERSHIP, base, lot, keep)
+        append_lot(ridership(raw, **batch), KEEPING[keep], base, lot)
     assert found(spark, base, keep) == wanted
-    assert compact(spark, RIDERSHIP, base, keep) == 3
+    assert compact(spark, KEEPING[keep], base) == 3
     # Both the version and the lots are there, then the version alone.
     assert found(spark, base, keep) == wanted
-    assert compact(spark, RIDERSHIP, base, keep, drop_lots=True) == 3
+    assert compact(spark, KEEPING[keep], base, drop_lots=True) == 3
     assert Table(spark, RIDERSHIP, base).lots() == []
     assert found(spark, base, keep) == wanted
-    append_lot(ridership(raw, d=4), RIDERSHIP, base, "x3", keep)
+    append_lot(ridership(raw, d=4), KEEPING[keep], base, "x3")
     assert found(spark, base, keep) == {**wanted, "d": 4}
 
 
@@ -118,7 +153,10 @@ def test_an_impossible_rate_still_claims_its_key(spark, raw, tmp_path):
         append_lot(batch, PUNCTUALITY, f"{tmp_path}/l", str(n))
     assert read_silver(spark, PUNCTUALITY, f"{tmp_path}/s").count() == 0
     assert read_silver(spark, PUNCTUALITY, f"{tmp_path}/l").count() == 0
-    assert read_silver(spark, PUNCTUALITY, f"{tmp_path}/l", "last").count() == 1
+    assert read_silver(spark, replace(PUNCTUALITY, keep="last"), f"{tmp_path}/l").count() == 1
+    for part in "sl":
+        with pytest.raises(MissingData):
+            audit_silver(spark, f"{tmp_path}/{part}", ["regularite"])
 
 
 def test_text_partitions_keep_odd_values(spark, raw, plan, tmp_path):

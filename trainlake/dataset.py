@@ -47,6 +47,8 @@ class Dataset:
     checks: Columns = _none
     order: tuple[str, ...] = ("ingested_at",)
     partition_by: tuple[str, ...] = ()
+    #: which report of a key a stored table holds: the ``first`` or the ``last``
+    keep: str = "first"
     #: wire field → integer type its value must fit
     counters: dict[str, str] = field(default_factory=dict)
 
@@ -69,10 +71,10 @@ class Dataset:
         checks = self.checks()
         return derived.where(all_of(checks.values())) if checks else derived
 
-    def keep_one(self, rows: DataFrame, keep: str = "first") -> DataFrame:
-        """One row per business key; only typed columns settle ties."""
+    def keep_one(self, rows: DataFrame, keep: str | None = None) -> DataFrame:
+        """One row per business key (``keep``: as declared); only typed columns settle ties."""
         ties = [c for c in self.fields() if c not in {*self.key, *self.order}]
-        return keep_one(rows, self.key, self.order, keep, ties)
+        return keep_one(rows, self.key, self.order, keep or self.keep, ties)
 
 
 def clean(

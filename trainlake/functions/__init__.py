@@ -16,7 +16,7 @@ from trainlake.functions.measures import (
     whole_number,
 )
 from trainlake.functions.messages import ingest_stamp, message_key
-from trainlake.functions.text import od_pair, title_case
+from trainlake.functions.text import name_key, od_pair, title_case
 
 __all__ = [
     "co2_saved_kg",
@@ -28,6 +28,7 @@ __all__ = [
     "is_weekend",
     "message_key",
     "month_text",
+    "name_key",
     "not_negative",
     "od_pair",
     "parse_day",

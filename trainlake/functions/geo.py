@@ -26,8 +26,9 @@ def geo_cell(lat: Column, lon: Column, digits: int = 2) -> Column:
 
 
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
-    """Great-circle distance on a sphere of 6371 km."""
+    """Great-circle distance on a sphere of 6371 km; NULL if any coordinate is."""
     a = F.pow(F.sin(F.radians(lat2 - lat1) / 2), 2) + F.cos(F.radians(lat1)) * F.cos(
         F.radians(lat2)
     ) * F.pow(F.sin(F.radians(lon2 - lon1) / 2), 2)
-    return F.asin(F.least(F.lit(1.0), F.sqrt(a))) * (2 * EARTH_RADIUS_KM)
+    # Rounding may push antipodes past 1; `least` would also turn NULL into 1.
+    return F.asin(F.sqrt(F.when(a > 1, F.lit(1.0)).otherwise(a))) * (2 * EARTH_RADIUS_KM)

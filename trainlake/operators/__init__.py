@@ -1,6 +1,6 @@
-from trainlake.operators.dedup import first_seen, keep_one
+from trainlake.operators.dedup import distinct_records, first_seen, keep_one
 from trainlake.operators.filters import first_rows, require
 from trainlake.operators.parse import parse_json
 from trainlake.operators.spatial import within_km
 
-__all__ = ["first_rows", "first_seen", "keep_one", "parse_json", "require", "within_km"]
+__all__ = ["distinct_records", "first_rows", "first_seen", "keep_one", "parse_json", "require", "within_km"]

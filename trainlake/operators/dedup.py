@@ -34,6 +34,11 @@ def keep_one(
     return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 
+def distinct_records(df: DataFrame) -> DataFrame:
+    """Whole rows once each, NULLs equal; copies are combined before the shuffle, so none can be hot."""
+    return df.dropDuplicates()
+
+
 def first_seen(
     stream: DataFrame, key: Sequence[str], ttl: str = "2 days", spread: int = 16
 ) -> DataFrame:

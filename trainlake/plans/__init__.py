@@ -1,6 +1,6 @@
 """What the library computes: the four cleaned tables and what is asked of them."""
 
-from trainlake.plans.audit import audit_silver, missing_datasets, page_completeness
+from trainlake.plans.audit import audit_silver, missing_datasets, page_completeness, require_complete
 from trainlake.plans.availability import availability, clean_availability
 from trainlake.dataset import Dataset, clean, quarantine
 from trainlake.plans.extract import regional_extract
@@ -21,6 +21,7 @@ __all__ = [
     "clean_stations",
     "missing_datasets",
     "page_completeness",
+    "require_complete",
     "quarantine",
     "regional_extract",
 ]

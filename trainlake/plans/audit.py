@@ -39,8 +39,20 @@ def audit_silver(
 
 
 def page_completeness(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """``expected``, ``landed`` and ``complete`` for one pull of landed pages."""
+    """Per pull (directory) of landed pages: ``pull, expected, landed, torn, complete``.
+
+    Complete: no page is torn, and as many different records landed as were declared.
+    """
     totals = declared_totals(spark, path, multi_line)
-    return totals.withColumn(
-        "complete", F.coalesce(F.col("landed") >= F.col("expected"), F.lit(False))
-    )
+    there = (F.col("landed") >= F.col("expected")) & (F.col("torn") == 0)
+    return totals.withColumn("complete", F.coalesce(there, F.lit(False)))
+
+
+def require_complete(spark: SparkSession, path: str, multi_line: bool = True) -> None:
+    """Raise if any pull under ``path`` has a gap, or if there is none; names one of them."""
+    pulls = page_completeness(spark, path, multi_line)
+    gap = pulls.where("not complete").orderBy("pull").first()
+    if gap is not None:
+        raise MissingData(f"{gap.pull}: {gap.landed} of {gap.expected} records, {gap.torn} torn pages")
+    if pulls.isEmpty():
+        raise MissingData(f"no pages under {path}")

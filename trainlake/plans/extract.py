@@ -1,14 +1,16 @@
 """Cutting a region's records out of national, landed data."""
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trainlake import schemas
+from trainlake.dataset import quarantine
 from trainlake.functions import in_box
-from trainlake.operators import first_rows
+from trainlake.operators import parse_json
+from trainlake.plans.registry import DATASETS
 
 
 def regional_stations(
@@ -36,12 +38,10 @@ def upcoming_on_axes(
     records: DataFrame,
     axes: Sequence[str] = (schemas.MAIN_AXIS,),
     as_of: date | str | None = None,
-    limit: int | None = schemas.AVAILABILITY_LIMIT,
 ) -> DataFrame:
-    """Availability records on some axes from ``as_of`` on (today in UTC if not given).
+    """All availability records on some axes from ``as_of`` on (today in UTC if not given).
 
-    ``limit`` bounds the report, in key order; ``None`` takes everything.  The date
-    is compared as text, as the wire has it.
+    The date is compared as text, as the wire has it.
     """
     if as_of is None:
         today = F.convert_timezone(
@@ -50,12 +50,7 @@ def upcoming_on_axes(
         start = F.date_format(today, "yyyy-MM-dd")
     else:
         start = F.lit(str(as_of))
-    wanted = records.where(F.col("axe").isin(*axes) & (F.col("date") >= start))
-    if limit is None:
-        return wanted
-    leading = ["date", "train_no", "origine", "destination", "ingested_at"]
-    rest = [c for c in records.columns if c not in leading]
-    return first_rows(wanted, [*leading, *rest], limit)
+    return records.where(F.col("axe").isin(*axes) & (F.col("date") >= start))
 
 
 def punctuality_from(records: DataFrame, part_of_name: str = schemas.MAIN_STATION) -> DataFrame:
@@ -70,18 +65,38 @@ def regional_extract(
     punctuality: DataFrame,
     as_of: date | str | None = None,
     axes: Sequence[str] = (schemas.MAIN_AXIS,),
-    limit: int | None = schemas.AVAILABILITY_LIMIT,
+    station: str = schemas.MAIN_STATION,
+    lat_range: tuple[float, float] = schemas.REGION_LAT,
+    lon_range: tuple[float, float] = schemas.REGION_LON,
 ) -> dict[str, DataFrame]:
     """The four record sets of the region, by dataset name (all lazy)."""
-    local = regional_stations(stations)
+    local = regional_stations(stations, lat_range, lon_range)
     return {
         "gares": local,
         "frequentation": ridership_of(ridership, local),
-        "tgvmax": upcoming_on_axes(availability, axes, as_of, limit),
-        "regularite": punctuality_from(punctuality),
+        "tgvmax": upcoming_on_axes(availability, axes, as_of),
+        "regularite": punctuality_from(punctuality, station),
     }
 
 
+def regional_records(
+    raw: Mapping[str, DataFrame], as_of: date | str | None = None, **region
+) -> dict[str, DataFrame]:
+    """``regional_extract`` on raw records: parsed for the filters only, ``json_str`` kept whole.
+
+    ``region`` takes the axes, the station and the box of :func:`regional_extract`.
+    """
+    names = ("gares", "frequentation", "tgvmax", "regularite")
+    parsed = (parse_json(raw[n], DATASETS[n].wire, "json_str") for n in names)
+    found = regional_extract(*parsed, as_of, **region)
+    return {n: df.select("json_str", *MESSAGE_KEYS[n]) for n, df in found.items()}
+
+
+def unparsed_records(raw: DataFrame, name: str) -> DataFrame:
+    """``json_str, reason`` of records that no filter can judge: unreadable, or a field of the wrong type."""
+    return quarantine(DATASETS[name], raw).where("reason IN ('unreadable', 'bad_field')")
+
+
 # The fields each dataset's message key is made of.
 MESSAGE_KEYS = {
     "gares": ("codes_uic",),

@@ -5,7 +5,7 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trainlake.functions import co2_saved_kg, haversine_km
+from trainlake.functions import co2_saved_kg, haversine_km, name_key
 from trainlake.functions.carbon import CAR_G_PER_KM, DEFAULT_TRIP_KM, TRAIN_G_PER_KM
 from trainlake.operators import within_km
 
@@ -42,11 +42,18 @@ def stations_near_points(
     )
 
 
-def weekend_seats(availability: DataFrame, as_of: date | str, days: int = 7) -> DataFrame:
-    """Connections with free seats on the weekend days within ``days`` of ``as_of``."""
-    start = date.fromisoformat(str(as_of))
-    soon = F.col("date_depart").between(F.lit(start), F.lit(start + timedelta(days=days)))
-    free = availability.where(soon & F.col("est_weekend") & F.col("est_disponible"))
+def this_weekend(as_of: date | str) -> tuple[date, date]:
+    """First and last day left of the running weekend, or of the next one on a working day."""
+    day = date.fromisoformat(str(as_of))
+    saturday = day + timedelta(days=5 - day.weekday())
+    return max(day, saturday), saturday + timedelta(days=1)
+
+
+def weekend_seats(availability: DataFrame, as_of: date | str) -> DataFrame:
+    """Connections with free seats on the Saturday and Sunday of ``this_weekend``."""
+    first, last = this_weekend(as_of)
+    soon = F.col("date_depart").between(F.lit(first), F.lit(last))
+    free = availability.where(soon & F.col("est_disponible"))
     return free.groupBy("od").agg(F.count(F.lit(1)).alias("n_trains"))
 
 
@@ -59,21 +66,31 @@ def co2_by_connection(
 ) -> DataFrame:
     """CO₂ saved per traveller on each connection, over the great-circle distance.
 
-    ``stations`` has ``nom_gare, latitude, longitude`` with one row per name.  An
-    unknown end gives the default distance.  Trains are counted per connection
-    first, so the joins see connections only, not trains.
+    ``stations`` has ``nom_gare, latitude, longitude``.  Names meet by ``name_key``,
+    as the feeds write them in different cases; of stations with one name the
+    smallest position counts, so no connection doubles.  An unknown end gives the
+    default distance.  Trains are counted per connection first, so the joins see
+    connections only, not trains.
     """
     trips = availability.groupBy("origine", "destination").agg(F.count(F.lit(1)).alias("n_trains"))
 
+    known = stations.where("latitude IS NOT NULL AND longitude IS NOT NULL")
+    places = known.groupBy(name_key(F.col("nom_gare")).alias("_name")).agg(
+        F.min(F.struct("latitude", "longitude")).alias("_at")
+    )
+
     def end(name: str) -> DataFrame:
-        return stations.select(
-            F.col("nom_gare").alias(name),
-            F.col("latitude").alias(f"_lat_{name}"),
-            F.col("longitude").alias(f"_lon_{name}"),
+        return places.select(
+            F.col("_name").alias(f"_key_{name}"),
+            F.col("_at.latitude").alias(f"_lat_{name}"),
+            F.col("_at.longitude").alias(f"_lon_{name}"),
         )
 
-    both = trips.join(end("origine"), "origine", "left").join(
-        end("destination"), "destination", "left"
+    def meets(name: str):
+        return name_key(F.col(name)) == F.col(f"_key_{name}")
+
+    both = trips.join(end("origine"), meets("origine"), "left").join(
+        end("destination"), meets("destination"), "left"
     )
     measured = haversine_km(
         F.col("_lat_origine"), F.col("_lon_origine"),
@@ -89,6 +106,15 @@ def co2_by_connection(
     )
 
 
+def emission_factors(table: DataFrame, car: str = "car", train: str = "train") -> tuple[float, float]:
+    """Grams per passenger-km by car and by train from a static table ``mode, g_per_km`` (two rows are read)."""
+    found = {
+        r["mode"]: r["g_per_km"]
+        for r in table.where(F.col("mode").isin(car, train)).groupBy("mode").agg(F.min("g_per_km").alias("g_per_km")).collect()
+    }
+    return found[car], found[train]
+
+
 def bike_reach(
     stations: DataFrame,
     cycle_points: DataFrame,

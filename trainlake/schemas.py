@@ -58,10 +58,8 @@ COUNTRY_LAT = (41.0, 52.0)
 COUNTRY_LON = (-5.5, 10.0)
 REGION_LAT = (43.0, 47.0)
 REGION_LON = (-2.0, 2.5)
-REGION_AXES = ("ATLANTIQUE", "SUD OUEST", "BORDEAUX")
 MAIN_AXIS = "ATLANTIQUE"
 MAIN_STATION = "BORDEAUX"
-AVAILABILITY_LIMIT = 5000
 
 # ---------------------------------------------------------------------------
 # Layouts of our own.

@@ -1,4 +1,4 @@
-from trainlake.sources.pages import declared_totals, read_pages
+from trainlake.sources.pages import declared_totals, read_pages, unreadable_pages
 from trainlake.sources.raw import kafka_source, kafka_sources, text_batch, text_source
 from trainlake.sources.tables import Table, read_silver, read_static
 
@@ -12,4 +12,5 @@ __all__ = [
     "read_static",
     "text_batch",
     "text_source",
+    "unreadable_pages",
 ]
