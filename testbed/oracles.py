@@ -113,9 +113,9 @@ def _pairs(points: str, radius: float = 10.0) -> str:
 
 # One place per name, the smallest; cleaned stations only: a place inside the country, and a code.
 _place = f"""
-    select 'GARE ' || trim(substr(nom, 6)) as name, lat, lon from ({duck('gare_stations')})
-    where lat between 41 and 52 and lon between -5.5 and 10
-    qualify row_number() over (partition by name order by lat, lon) = 1"""
+    select 'GARE ' || trim(substr(nom, 6)) as name, first(lat order by lat, lon) as lat, first(lon order by lat, lon) as lon
+    from ({duck('gare_stations')})
+    where lat between 41 and 52 and lon between -5.5 and 10 group by 1"""
 _ends = f"""
     select t.*, case when a.name is null or b.name is null then 580.0e0
         else {_km('a.lat', 'a.lon', 'b.lat', 'b.lon')} end as km
