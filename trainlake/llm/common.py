@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Text characters per slice of an Arrow batch; bounds the memory of vectorised steps.
 SLICE_BYTES = 4 << 20
@@ -42,7 +43,7 @@ def slots(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def map_arrow(df: DataFrame, step: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, step: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: StructType | str) -> DataFrame:
     """``step`` over slices of Arrow batches of at most ``SLICE_BYTES`` of data (or one row)."""
 
     def run(batches):
@@ -54,13 +55,12 @@ def map_arrow(df: DataFrame, step: Callable[[pa.RecordBatch], Iterator[pa.Record
 
 
 def sliced(batch: pa.RecordBatch, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch by the bytes of its first binary or text column."""
-    sizes = None
+    """Slices of a batch by the bytes of its binary and text columns."""
+    sizes = np.zeros(batch.num_rows, np.int64)
     for column in batch.columns:
-        if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
-            sizes = np.diff(np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, column.offset * 4))
-            break
-    if sizes is None or batch.num_rows < 2 or int(sizes.sum()) <= most:
+        if batch.num_rows and (pa.types.is_string(column.type) or pa.types.is_binary(column.type)):
+            sizes += np.diff(np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, column.offset * 4))
+    if batch.num_rows < 2 or int(sizes.sum()) <= most:
         yield batch
         return
     step = np.cumsum(sizes, dtype=np.int64) // most

@@ -3,7 +3,8 @@
 Sets with a Jaccard similarity of ``t`` or more share a token among the first
 ``n - ceil(t n) + 1`` of each, under *every* total order of the tokens.  So a pair is a
 candidate only if it shares a prefix token under the first order, and then under each
-further one, before its sets are compared.  All orders put frequent tokens last (by a
+further one, before its sets are compared.  The further filters take prefixes longer by a tenth of the
+set and ask for that many shared tokens, which similar sets have for the same reason.  All orders put frequent tokens last (by a
 fixed-size table of counts) and break ties by hashes of their own.
 
 Equal sets are one class from the start.  Inside the list of a prefix token, members are
@@ -48,6 +49,11 @@ def _prefix(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1 if n else 0
 
 
+def _more(n: int) -> int:
+    """Tokens that prefixes for the further orders are longer by, and that similar sets then share at least."""
+    return -(-n // 10)
+
+
 def _ordered(tokens: np.ndarray, classes: np.ndarray, order: int) -> np.ndarray:
     """Tokens by frequency class, then by a hash of the order's own."""
     return tokens[np.lexsort((mixed(tokens, 300 + order), class_of(tokens, classes)))]
@@ -107,7 +113,7 @@ class JaccardJoin:
 
     def _postings(self, table) -> DataFrame:
         """``token, rep, n`` for prefix tokens that some other class may have in its prefix too."""
-        prefixes = cut(self._prefixes(table))
+        prefixes = self._prefixes(table)
         twice = self.spark.sparkContext.broadcast(counted(prefixes.select("prefix"), lambda b: np.frombuffer(b"".join(b.column("prefix").to_pylist()), np.uint64)))
 
         def step(batch: pa.RecordBatch):
@@ -136,9 +142,8 @@ class JaccardJoin:
             batch = batch.filter(pa.array(wanted.value.holds(batch.column("doc_id").to_numpy().view(np.uint64))))
             if not batch.num_rows:
                 return
-            batch = pa.RecordBatch.from_arrays([pa.concat_arrays([c]) for c in batch.columns], batch.schema.names)
             sets = shingle_sets(batch, size)
-            others = [b"".join(_tagged(_ordered(s, table.value, o)[: _prefix(len(s), percent)], o) for o in range(1, FURTHER + 1)) for s in sets]
+            others = [np.array([_more(len(s))], "<u4").tobytes() + b"".join(_marks(_ordered(s, table.value, o)[: _prefix(len(s), percent) - 1 + _more(len(s))], o) for o in range(1, FURTHER + 1)) for s in sets]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), _cells(sets), pa.array(others, pa.binary())], ["rep", "tokens", "others"])
 
         return cut(map_arrow(self.rows, step, "rep LONG, tokens BINARY, others BINARY"))
@@ -153,8 +158,13 @@ class JaccardJoin:
             ok = [_share_all(x, y) for x, y in zip(batch.column("oa").to_pylist(), batch.column("ob").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-        passed = map_arrow(joined.select("oa", "ob", "a", "b"), agree, "a LONG, b LONG")
-        whole = sets.select("rep", "tokens")
+        passed = cut(map_arrow(joined.select("oa", "ob", "a", "b"), agree, "a LONG, b LONG"))
+        ends = self.spark.sparkContext.broadcast(members(passed.select(F.explode(F.array("a", "b")).alias("rep")), "rep"))
+
+        def only(batch: pa.RecordBatch):
+            yield batch.filter(pa.array(ends.value.holds(batch.column("rep").to_numpy().view(np.uint64))))
+
+        whole = map_arrow(sets.select("rep", "tokens"), only, "rep LONG, tokens BINARY")
         joined = passed.join(whole.select(F.col("rep").alias("a"), F.col("tokens").alias("ta")), "a").join(whole.select(F.col("rep").alias("b"), F.col("tokens").alias("tb")), "b")
 
         def compare(batch: pa.RecordBatch):
@@ -198,20 +208,22 @@ def _all(sets: list[np.ndarray]) -> np.ndarray:
     return np.concatenate(sets) if sets else np.empty(0, np.uint64)
 
 
-def _tagged(tokens: np.ndarray, order: int) -> bytes:
-    """Sorted 32-bit marks of a prefix, after their number: enough to refute a pair, never to lose one."""
-    marks = np.unique((mixed(tokens, 400 + order) >> np.uint64(32)).astype("<u4"))
+def _marks(tokens: np.ndarray, order: int) -> bytes:
+    """32-bit marks of a prefix, after their number: tokens may share one, so marks in common are never too few."""
+    marks = (mixed(tokens, 400 + order) >> np.uint64(32)).astype("<u4")
     return np.array([len(marks)], "<u4").tobytes() + marks.tobytes()
 
 
 def _share_all(x: bytes, y: bytes) -> bool:
+    """Whether two sets share enough marks under every further order; how many each asks for comes first."""
     x, y = np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")
-    i = j = 0
+    needed = min(int(x[0]), int(y[0]))
+    i = j = 2
     while i < len(x):
-        a, b = x[i + 1 : i + 1 + int(x[i])], y[j + 1 : j + 1 + int(y[j])]
-        if not len(np.intersect1d(a, b, assume_unique=True)):
+        a, b = x[i : i + int(x[i - 1])], y[j : j + int(y[j - 1])]
+        if int(np.isin(a, b).sum()) < needed:
             return False
-        i, j = i + 1 + len(a), j + 1 + len(b)
+        i, j = i + len(a) + 1, j + len(b) + 1
     return True
 
 

@@ -159,7 +159,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, salts: int = SALTS) -> Dat
     salted = cut(pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)).cast("int")))
     counted = salted.groupBy("length", "salt").count().toArrow().to_pydict()
     cells = np.zeros((capacity + 1, salts), np.int64)
-    cells[counted["length"], counted["salt"]] = counted["count"]
+    cells[np.array(counted["length"], np.int64), np.array(counted["salt"], np.int64)] = counted["count"]
     before = np.cumsum(cells, axis=1) - cells
     rows = sorted(plan({n: int(c) for n, c in enumerate(cells.sum(axis=1)) if c}, capacity))
     lengths, first_rank, first_sequence, each, at = (np.array(c, np.int64) for c in zip(*rows, strict=True)) if rows else (np.zeros(1, np.int64),) * 5

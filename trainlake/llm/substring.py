@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from trainlake.llm.common import map_arrow, rolled, slots, text_bytes, word_bounds, word_hashes
 from trainlake.llm.sketch import LOG_WIDTH, counted
@@ -184,7 +185,7 @@ def remove_repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:
         yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, pa.string()), pa.array(sizes, pa.int64())], ["row", "changed", "size"])
 
     rows = flagged(documents, row, window=window).select("text", "starts", "row")
-    schema = f"row {rows.schema['row'].dataType.simpleString()}, changed STRING, size LONG"
+    schema = StructType([rows.schema["row"], StructField("changed", StringType()), StructField("size", LongType())])
     done = map_arrow(rows, step, schema)
 
     def column(name):

@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from trainlake.llm.common import cut, map_arrow, texts
 
@@ -282,8 +283,7 @@ def scores(documents: DataFrame, labels: DataFrame, keep: tuple[Column, ...] = (
             made = pa.array([own.score(t) for t in batch.column("text").to_pylist()], pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, made], [*batch.schema.names, "score"])
 
-    out = rows.schema.simpleString()[len("struct<") : -1]
-    return rows.mapInArrow(run, f"{out},score:double").drop("text")
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("score", DoubleType())])).drop("text")
 
 
 def predictions(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
