@@ -41,4 +41,4 @@ def test_weekend_filter_reaches_the_scan_side_of_the_shuffle(spark, plan):
     text = plan(__spark_entry__.queries()["weekend_seats_by_od"](spark, SF_DIR))
     above, below = text.split("WindowGroupLimit", 1)
     assert "OUI" in above
-    assert "1998-07-05" in below and "1998-07-05" not in above
+    assert "1998-07-04" in below and "1998-07-04" not in above
