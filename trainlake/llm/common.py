@@ -30,12 +30,21 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def cut(df: DataFrame) -> DataFrame:
+def scratch(spark: SparkSession) -> str:
+    """The path of a new table in the shared folder."""
+    return f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write a table into the shared folder and read it back: computed once, lineage ends."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}"
+    path = path or scratch(df.sparkSession)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(df: DataFrame, path: str) -> None:
+    """Empty a table that ``cut`` has written, once nothing is left that could read it again."""
+    df.sparkSession.createDataFrame([], df.schema).write.mode("overwrite").parquet(path)
 
 
 def slots(spark: SparkSession) -> int:

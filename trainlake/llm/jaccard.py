@@ -3,7 +3,8 @@
 Sets with a Jaccard similarity of ``t`` or more share a token among the first
 ``n - ceil(t n) + 1`` of each, under *every* total order of the tokens.  So a pair is a
 candidate only if it shares a prefix token under the first order, and then under each
-further one, before its sets are compared.  The further filters take prefixes longer by a tenth of the
+further one, before its sets are compared.  A prefix token counts only where it can be the first the two
+share: the tokens after it in both orders must suffice for the similarity.  The further filters take prefixes longer by a tenth of the
 set and ask for that many shared tokens, which similar sets have for the same reason.  All orders put frequent tokens last (by a
 fixed-size table of counts) and break ties by hashes of their own.
 
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trainlake.llm.common import cut, map_arrow, mixed, rolled, text_bytes, texts, word_bounds, word_hashes
+from trainlake.llm.common import cut, map_arrow, mixed, release, rolled, scratch, text_bytes, texts, word_bounds, word_hashes
 from trainlake.llm.components import components
 from trainlake.llm.sketch import class_of, counted, frequency_classes, members
 
@@ -91,8 +92,8 @@ class JaccardJoin:
             self._classes = cut(digests.join(reps, ["n", "d1", "d2"], "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep")))
         return self._classes
 
-    def _prefixes(self, table) -> DataFrame:
-        """``rep, n, prefix``: the packed prefix of one document per class under the first order."""
+    def _prefixes(self, table, path: str) -> tuple[DataFrame, DataFrame]:
+        """The table written at ``path``, and ``rep, n, prefix``: the packed prefix of one document per class under the first order."""
         size, percent = self.size, self.percent
         copies = self.classes().where("doc_id <> rep").select("doc_id").distinct()
         copied = self.spark.sparkContext.broadcast(members(copies, "doc_id"))
@@ -106,65 +107,87 @@ class JaccardJoin:
             batch = pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), _cells(made), pa.array(unsure)], ["rep", "n", "prefix", "unsure"])
             yield batch.filter(pa.array(keep))
 
-        made = cut(map_arrow(self.rows, step, "rep LONG, n LONG, prefix BINARY, unsure BOOLEAN"))
+        made = cut(map_arrow(self.rows, step, "rep LONG, n LONG, prefix BINARY, unsure BOOLEAN"), path)
         sure = made.where("not unsure").drop("unsure")
         others = made.where("unsure").drop("unsure").join(copies.withColumnRenamed("doc_id", "rep"), "rep", "left_anti")
-        return sure.union(others)
+        return made, sure.union(others)
 
     def _postings(self, table) -> DataFrame:
-        """``token, rep, n`` for prefix tokens that some other class may have in its prefix too."""
-        prefixes = self._prefixes(table)
+        """``token, rep, n, rest`` (how many tokens of the set don't come before it) for prefix tokens that some other class may have in its prefix too."""
+        path = scratch(self.spark)
+        made, prefixes = self._prefixes(table, path)
         twice = self.spark.sparkContext.broadcast(counted(prefixes.select("prefix"), lambda b: np.frombuffer(b"".join(b.column("prefix").to_pylist()), np.uint64)))
 
         def step(batch: pa.RecordBatch):
             blobs = batch.column("prefix").to_pylist()
             tokens = np.frombuffer(b"".join(blobs), np.uint64)
-            row = np.repeat(np.arange(len(blobs)), [len(x) // 8 for x in blobs])
+            sizes = np.array([len(x) // 8 for x in blobs], np.int64)
+            row = np.repeat(np.arange(len(blobs)), sizes)
+            rest = batch.column("n").to_numpy()[row] - (np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes))
             keep = twice.value.holds(tokens)
-            tokens, row = tokens[keep], row[keep]
-            yield pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64)), batch.column("rep").take(pa.array(row)), batch.column("n").take(pa.array(row))], ["token", "rep", "n"])
+            tokens, row, rest = tokens[keep], pa.array(row[keep]), rest[keep]
+            yield pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64)), batch.column("rep").take(row), batch.column("n").take(row), pa.array(rest)], ["token", "rep", "n", "rest"])
 
-        return cut(map_arrow(prefixes.select("prefix", "rep", "n"), step, "token LONG, rep LONG, n LONG"))
+        postings = cut(map_arrow(prefixes.select("prefix", "rep", "n"), step, "token LONG, rep LONG, n LONG, rest LONG"))
+        release(made, path)
+        return postings
+
+    def _fits(self):
+        """Whether sizes, and the tokens left from a shared one on, allow the similarity: with ``o`` tokens in
+        common, ``100 o`` is at least ``percent`` of ``na + nb - o``."""
+        sizes = F.lit(100) * F.least("na", "nb") >= F.lit(self.percent) * F.greatest("na", "nb")
+        return sizes & (F.lit(100 + self.percent) * F.least("ra", "rb") >= F.lit(self.percent) * (F.col("na") + F.col("nb")))
 
     def _close(self, pairs: DataFrame) -> DataFrame:
-        """Pairs (a, na, b, nb) whose sizes allow the similarity, once each, smaller id first."""
-        fits = F.lit(100) * F.least("na", "nb") >= F.lit(self.percent) * F.greatest("na", "nb")
-        return pairs.where(fits & (F.col("a") != F.col("b"))).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        """Pairs (a, na, ra, b, nb, rb) that ``_fits``, once each, smaller id first."""
+        return pairs.where(self._fits() & (F.col("a") != F.col("b"))).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
-    def _sets(self, postings: DataFrame, table) -> DataFrame:
-        """``rep, n, tokens, others``: whole sets, and the prefixes under further orders, of all with a partner in some list."""
+    def _filters(self, postings: DataFrame, table) -> DataFrame:
+        """``rep, others``: the marks of the prefixes under further orders, of all classes with a partner in some list."""
         size, percent = self.size, self.percent
         shared = postings.groupBy("token").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select("token")
         partners = postings.join(shared, "token", "left_semi").select("rep").distinct()
-        wanted = self.spark.sparkContext.broadcast(members(partners, "rep"))
+        wanted = self._holding(partners)
 
         def step(batch: pa.RecordBatch):
-            batch = batch.filter(pa.array(wanted.value.holds(batch.column("doc_id").to_numpy().view(np.uint64))))
-            if not batch.num_rows:
-                return
+            batch = wanted(batch, "doc_id")
             sets = shingle_sets(batch, size)
-            others = [np.array([_more(len(s))], "<u4").tobytes() + b"".join(_marks(_ordered(s, table.value, o)[: _prefix(len(s), percent) - 1 + _more(len(s))], o) for o in range(1, FURTHER + 1)) for s in sets]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), _cells(sets), pa.array(others, pa.binary())], ["rep", "tokens", "others"])
+            others = [_marked([_ordered(s, table.value, o)[: _prefix(len(s), percent) - 1 + _more(len(s))] for o in range(1, FURTHER + 1)], len(s)) for s in sets]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(others, pa.binary())], ["rep", "others"])
+
+        return cut(map_arrow(self.rows, step, "rep LONG, others BINARY"))
+
+    def _holding(self, nodes: DataFrame):
+        """A function that keeps the rows of a batch whose id is (most likely) among ``nodes(rep)``."""
+        sketch = self.spark.sparkContext.broadcast(members(nodes, "rep"))
 
-        return cut(map_arrow(self.rows, step, "rep LONG, tokens BINARY, others BINARY"))
+        def only(batch: pa.RecordBatch, column: str = "rep") -> pa.RecordBatch:
+            return batch.filter(pa.array(sketch.value.holds(batch.column(column).to_numpy().view(np.uint64)), pa.bool_()))
 
-    def _verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        """Of candidate pairs (a, b) those that pass all further orders and then the comparison of whole sets."""
-        percent = self.percent
-        filters = sets.select("rep", "others")
-        joined = pairs.join(filters.select(F.col("rep").alias("a"), F.col("others").alias("oa")), "a").join(filters.select(F.col("rep").alias("b"), F.col("others").alias("ob")), "b")
+        return only
+
+    def _verified(self, pairs: DataFrame, filters: DataFrame) -> DataFrame:
+        """Of candidate pairs (a, b) those that pass all further orders and then the comparison of whole sets.
+
+        Marks and sets are cut down to the ids in the pairs before they are shuffled.
+        """
+        percent, size = self.percent, self.size
+        asked = self._holding(pairs.select(F.explode(F.array("a", "b")).alias("rep")))
+        own = map_arrow(filters, lambda batch: iter([asked(batch)]), "rep LONG, others BINARY")
+        joined = pairs.join(own.select(F.col("rep").alias("a"), F.col("others").alias("oa")), "a").join(own.select(F.col("rep").alias("b"), F.col("others").alias("ob")), "b")
 
         def agree(batch: pa.RecordBatch):
             ok = [_share_all(x, y) for x, y in zip(batch.column("oa").to_pylist(), batch.column("ob").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
         passed = cut(map_arrow(joined.select("oa", "ob", "a", "b"), agree, "a LONG, b LONG"))
-        ends = self.spark.sparkContext.broadcast(members(passed.select(F.explode(F.array("a", "b")).alias("rep")), "rep"))
+        left = self._holding(passed.select(F.explode(F.array("a", "b")).alias("rep")))
 
-        def only(batch: pa.RecordBatch):
-            yield batch.filter(pa.array(ends.value.holds(batch.column("rep").to_numpy().view(np.uint64))))
+        def sets(batch: pa.RecordBatch):
+            batch = left(batch, "doc_id")
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), _cells(shingle_sets(batch, size))], ["rep", "tokens"])
 
-        whole = map_arrow(sets.select("rep", "tokens"), only, "rep LONG, tokens BINARY")
+        whole = cut(map_arrow(self.rows, sets, "rep LONG, tokens BINARY"))
         joined = passed.join(whole.select(F.col("rep").alias("a"), F.col("tokens").alias("ta")), "a").join(whole.select(F.col("rep").alias("b"), F.col("tokens").alias("tb")), "b")
 
         def compare(batch: pa.RecordBatch):
@@ -182,23 +205,22 @@ class JaccardJoin:
         size = self.size
         table = self.spark.sparkContext.broadcast(frequency_classes(self.rows.select("text"), lambda b: _all(shingle_sets(b, size))))
         postings = self._postings(table)
-        sets = self._sets(postings, table)
+        filters = self._filters(postings, table)
         # each member of a list with its least and its greatest one
-        ends = postings.groupBy("token").agg(F.min(F.struct("rep", "n")).alias("lo"), F.max(F.struct("rep", "n")).alias("hi")).where("lo.rep < hi.rep")
-        star = postings.join(ends, "token").select(F.col("rep").alias("a"), F.col("n").alias("na"), F.explode(F.array("lo", "hi")).alias("p"))
-        star = cut(self._close(star.select("a", "na", F.col("p.rep").alias("b"), F.col("p.n").alias("nb"))))
-        links = cut(self._verified(star, sets))
+        ends = postings.groupBy("token").agg(F.min(F.struct("rep", "n", "rest")).alias("lo"), F.max(F.struct("rep", "n", "rest")).alias("hi")).where("lo.rep < hi.rep")
+        star = postings.join(ends, "token").select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("rest").alias("ra"), F.explode(F.array("lo", "hi")).alias("p"))
+        star = cut(self._close(star.select("a", "na", "ra", F.col("p.rep").alias("b"), F.col("p.n").alias("nb"), F.col("p.rest").alias("rb"))))
+        links = cut(self._verified(star, filters))
         found = cut(components(links))
         # lists that still hold several components: all but the largest against everything outside their own
-        placed = postings.join(found, F.col("rep") == F.col("node"), "left").select("token", "rep", "n", F.coalesce("component", "rep").alias("component"))
+        placed = postings.join(found, F.col("rep") == F.col("node"), "left").select("token", "rep", "n", "rest", F.coalesce("component", "rep").alias("component"))
         sizes = placed.groupBy("token", "component").agg(F.count("*").alias("many"))
         main = sizes.groupBy("token").agg(F.max_by("component", F.struct("many", "component")).alias("main"), F.count("*").alias("kinds")).where("kinds > 1").select("token", "main")
         open_ = cut(placed.join(main, "token"))
-        few = open_.where("component <> main").select("token", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-        all_ = open_.select("token", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-        fits = (F.lit(100) * F.least("na", "nb") >= F.lit(self.percent) * F.greatest("na", "nb")) & (F.col("ca") != F.col("cb"))
-        crossing = self._close(few.join(all_, "token").where(fits)).join(star, ["a", "b"], "left_anti")
-        more = self._verified(cut(crossing), sets)
+        few = open_.where("component <> main").select("token", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("rest").alias("ra"), F.col("component").alias("ca"))
+        all_ = open_.select("token", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("rest").alias("rb"), F.col("component").alias("cb"))
+        crossing = self._close(few.join(all_, (few["token"] == all_["token"]) & (F.col("ca") != F.col("cb")) & self._fits())).join(star, ["a", "b"], "left_anti")
+        more = self._verified(cut(crossing), filters)
         joined = components(links.union(more))
         grouped = self.classes().join(joined, F.col("rep") == F.col("node"), "left")
         return grouped.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
@@ -208,22 +230,27 @@ def _all(sets: list[np.ndarray]) -> np.ndarray:
     return np.concatenate(sets) if sets else np.empty(0, np.uint64)
 
 
-def _marks(tokens: np.ndarray, order: int) -> bytes:
-    """32-bit marks of a prefix, after their number: tokens may share one, so marks in common are never too few."""
-    marks = (mixed(tokens, 400 + order) >> np.uint64(32)).astype("<u4")
-    return np.array([len(marks)], "<u4").tobytes() + marks.tobytes()
+def _marked(prefixes: list[np.ndarray], n: int) -> bytes:
+    """How many tokens a set of ``n`` asks for, then for each order the number of tokens and their 16-bit marks.
+
+    Tokens may share a mark, so marks in common are never too few.
+    """
+    out = [np.array([_more(n)], "<u4").tobytes()]
+    for order, tokens in enumerate(prefixes):
+        out += [np.array([len(tokens)], "<u4").tobytes(), (mixed(tokens, 400 + order) >> np.uint64(48)).astype("<u2").tobytes()]
+    return b"".join(out)
 
 
 def _share_all(x: bytes, y: bytes) -> bool:
-    """Whether two sets share enough marks under every further order; how many each asks for comes first."""
-    x, y = np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")
-    needed = min(int(x[0]), int(y[0]))
-    i = j = 2
+    """Whether two sets share enough marks under every further order."""
+    needed = min(int.from_bytes(x[:4], "little"), int.from_bytes(y[:4], "little"))
+    i = j = 4
     while i < len(x):
-        a, b = x[i : i + int(x[i - 1])], y[j : j + int(y[j - 1])]
+        m, n = int.from_bytes(x[i : i + 4], "little"), int.from_bytes(y[j : j + 4], "little")
+        a, b = np.frombuffer(x, "<u2", m, i + 4), np.frombuffer(y, "<u2", n, j + 4)
         if int(np.isin(a, b).sum()) < needed:
             return False
-        i, j = i + len(a) + 1, j + len(b) + 1
+        i, j = i + 4 + 2 * m, j + 4 + 2 * n
     return True
 
 

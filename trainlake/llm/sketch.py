@@ -87,7 +87,7 @@ def counted(df: DataFrame, values_of: Callable[[pa.RecordBatch], np.ndarray], le
 
 
 #: Cells of the frequency table, and how many of them one part of it holds.
-LOG_CELLS, LOG_CELL_PART = 22, 16
+LOG_CELLS, LOG_CELL_PART = 23, 16
 
 
 def frequency_classes(df: DataFrame, tokens_of: Callable[[pa.RecordBatch], np.ndarray]) -> np.ndarray:
@@ -123,7 +123,7 @@ def frequency_classes(df: DataFrame, tokens_of: Callable[[pa.RecordBatch], np.nd
             yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([n.astype("<i8").tobytes()], pa.binary())], ["part", "n"])
 
     parts = df.mapInArrow(count, "part LONG, at BINARY, n BINARY").repartition(slots(df.sparkSession), "part").mapInArrow(total, "part LONG, n BINARY")
-    sums = np.zeros(cells, np.int64)
+    sums = np.zeros(cells, np.float32)
     for batch in parts.toArrow().to_batches():  # at most 8 bytes a cell
         for k, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             sums[k * part : (k + 1) * part] = np.frombuffer(n, "<i8")
