@@ -363,6 +363,18 @@ def test_repeated_rows_with_one_id_stay(spark):
     assert rows == [(0, 0), (1, 120), (1, 120)]  # the row without an id comes first
 
 
+def test_a_common_passage_does_not_fill_a_bucket(spark):
+    """Neither its occurrences nor the windows over its edges go by its few anchors."""
+    texts = [f"{words(5000 + i, 5)} {PASSAGE} {words(9000 + i, 5)}" for i in range(1500)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id LONG, text STRING").repartition(3)
+    sent = substring.sent_windows(df)
+    size = sum(F.length(c) for c in sent.columns if c != "bucket")
+    sizes = [r.n for r in sent.groupBy("bucket").agg(F.sum(size).alias("n")).collect()]
+    assert len(sizes) > 16 and max(sizes) < 0.1 * sum(sizes)
+    found = by_id(substring.kept_digests(df))
+    assert {i: (r.n_words, r.n_removed, r.kept_sha256) for i, r in found.items()} == brute_removed(texts)
+
+
 def test_sketch_never_counts_too_few(spark):
     r = random.Random(6)
     values = [r.randint(0, 400) for _ in range(900)]

@@ -4,11 +4,14 @@ Pass 1 counts, in a count-min sketch, one anchor for each window: the least of t
 its 11 runs of ten words.  Equal windows have equal anchors at different places, so the count
 of an anchor is never below that of a window that holds it.  Pass 2 sends only windows whose
 anchor is estimated repeated to an exact grouping by 128-bit keys of their words.  Within a
-slice of text a key is sent once, by its earliest place; the later places are settled there,
-so a passage in a third of all documents costs one entry a slice.
+slice of text a key is sent once, by its earliest place; the later places are settled there and
+travel by their document.  Keys are dealt out by themselves, not by their anchor, as windows over
+the edge of a common passage share its anchors.  So a passage in a third of all documents costs
+the bucket of each of its keys one entry a slice.
 """
 
 import hashlib
+import itertools
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from trainlake.llm.common import map_arrow, rolled, slots, text_bytes, word_bounds, word_hashes
+from trainlake.llm.common import map_arrow, mixed, rolled, slots, text_bytes, word_bounds, word_hashes
 from trainlake.llm.sketch import LOG_WIDTH, counted
 
 WINDOW, ANCHOR = 20, 10
@@ -62,12 +65,24 @@ def _packed(*arrays) -> list[bytes]:
     return [np.ascontiguousarray(a).tobytes() for a in arrays]
 
 
-def removed_windows(documents: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, log_width: int = LOG_WIDTH) -> DataFrame:
-    """``doc, mark, starts``: the windows (packed 32-bit starts) of each row that also start earlier."""
-    rows = _keyed(documents)
-    spark = documents.sparkSession
-    sketch = spark.sparkContext.broadcast(counted(rows.select("text"), lambda b: _anchors(b, window, anchor), 2, log_width))
-    buckets = GROUPS * slots(spark)
+def _changes(*columns) -> np.ndarray:
+    """Where sorted rows differ from the row before (the first one does)."""
+    new = np.zeros(len(columns[0]), bool)
+    new[:1] = True
+    for x in columns:
+        new[1:] |= x[1:] != x[:-1]
+    return new
+
+
+def _by_bucket(bucket) -> dict[int, slice]:
+    edges = np.r_[np.flatnonzero(_changes(bucket)), len(bucket)].tolist()
+    return {int(bucket[a]): slice(a, b) for a, b in zip(edges[:-1], edges[1:], strict=True)}
+
+
+def _sent(rows: DataFrame, sketch, window: int, anchor: int, buckets: int) -> DataFrame:
+    """Windows of repeated anchors, packed: those that open a key in their slice by a bucket of the
+    key, those settled inside the slice (runs of starts) by a bucket of their document."""
+    names = ["bucket", "k1", "k2", "doc", "mark", "start", "gone_doc", "gone_mark", "gone_many", "gone_start"]
 
     def send(batch: pa.RecordBatch):
         found = _windows(batch, window, anchor, (0, 1))
@@ -82,40 +97,69 @@ def removed_windows(documents: DataFrame, window: int = WINDOW, anchor: int = AN
         k1, k2 = rolled(hashes[0], window)[at], rolled(hashes[1], window, 1)[at]
         doc = batch.column("doc").to_numpy()[row]
         mark = batch.column("mark").to_numpy()[row]
-        bucket = (grams[place] >> np.uint64(20)) % np.uint64(buckets)
+        start = start.astype("<i4")
+        bucket = (k1 >> np.uint64(20)) % np.uint64(buckets)
         order = np.lexsort((start, doc, k2, k1))
         k1, k2, doc, mark, start, bucket = (x[order] for x in (k1, k2, doc, mark, start, bucket))
         later = _not_first(k1, k2, doc, start)
-        order = np.lexsort((start, mark, doc, bucket))
-        k1, k2, doc, mark, start, bucket, later = (x[order] for x in (k1, k2, doc, mark, start, bucket, later))
-        edges = np.r_[np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]), len(bucket)]
-        out = []
-        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-            open_, gone = a + np.flatnonzero(~later[a:b]), a + np.flatnonzero(later[a:b])
-            out.append((int(bucket[a]), *_packed(k1[open_], k2[open_], doc[open_], mark[open_], start[open_].astype("<i4"), doc[gone], mark[gone], start[gone].astype("<i4"))))
-        names = ["bucket", "k1", "k2", "doc", "mark", "start", "gone_doc", "gone_mark", "gone_start"]
+        gone = (doc[later], mark[later], start[later])
+        home = mixed(gone[0].view(np.uint64) ^ mixed(gone[1].view(np.uint64), 1)) % np.uint64(buckets)
+        order = np.lexsort((gone[2], gone[1], gone[0], home))
+        home, *gone = (x[order] for x in (home, *gone))
+        own = _changes(home, *gone)  # rows that repeat with one id and text: once
+        home, *gone = (x[own] for x in (home, *gone))
+        first = ~later
+        order = np.lexsort((start[first], mark[first], doc[first], bucket[first]))
+        bucket, k1, k2, doc, mark, start = (x[first][order] for x in (bucket, k1, k2, doc, mark, start))
+        own = _changes(bucket, doc, mark, start)
+        bucket, k1, k2, doc, mark, start = (x[own] for x in (bucket, k1, k2, doc, mark, start))
+        opened, settled = _by_bucket(bucket), _by_bucket(home)
+        none, out = slice(0, 0), []
+        for n in sorted(opened.keys() | settled.keys()):
+            o, g = opened.get(n, none), settled.get(n, none)
+            gone_doc, gone_mark, gone_start = (x[g] for x in gone)
+            run = np.flatnonzero(_changes(gone_doc, gone_mark))
+            many = np.diff(np.r_[run, len(gone_doc)]).astype("<i4")
+            out.append((n, *_packed(k1[o], k2[o], doc[o], mark[o], start[o], gone_doc[run], gone_mark[run], many, gone_start)))
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64() if n == "bucket" else pa.binary()) for n, c in zip(names, zip(*out, strict=True), strict=True)], names)
 
-    def settle(table: pa.Table) -> pa.Table:
-        def column(name, kind):
-            return np.frombuffer(b"".join(x for x in table.column(name).to_pylist()), kind)
+    return map_arrow(rows, send, ", ".join(f"{n} {'LONG' if n == 'bucket' else 'BINARY'}" for n in names))
 
-        k1, k2, doc, mark, start = column("k1", np.uint64), column("k2", np.uint64), column("doc", np.int64), column("mark", np.int64), column("start", "<i4")
-        order = np.lexsort((start, doc, k2, k1))
-        k1, k2, doc, mark, start = (x[order] for x in (k1, k2, doc, mark, start))
-        later = _not_first(k1, k2, doc, start)
-        doc = np.r_[doc[later], column("gone_doc", np.int64)]
-        mark = np.r_[mark[later], column("gone_mark", np.int64)]
-        start = np.r_[start[later], column("gone_start", "<i4")].astype("<i4")
-        order = np.lexsort((start, mark, doc))
-        doc, mark, start = doc[order], mark[order], start[order]
-        edges = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (mark[1:] != mark[:-1])]) if len(doc) else np.empty(0, np.int64)
-        ends = np.r_[edges[1:], len(doc)] if len(doc) else edges
-        blobs = [start[a:b].tobytes() for a, b in zip(edges.tolist(), ends.tolist(), strict=True)]
-        return pa.table({"doc": pa.array(doc[edges], pa.int64()), "mark": pa.array(mark[edges], pa.int64()), "starts": pa.array(blobs, pa.binary())})
-
-    sent = map_arrow(rows, send, "bucket LONG, k1 BINARY, k2 BINARY, doc BINARY, mark BINARY, start BINARY, gone_doc BINARY, gone_mark BINARY, gone_start BINARY")
-    return sent.groupBy("bucket").applyInArrow(settle, "doc LONG, mark LONG, starts BINARY")
+
+def _settled(table: pa.Table) -> pa.Table:
+    """``doc, mark, starts`` of one bucket: keys settled over all slices, and what slices have settled."""
+
+    def column(name, kind):
+        return np.frombuffer(b"".join(x for x in table.column(name).to_pylist()), kind)
+
+    def blobs(start, ends):
+        return [start[a:b].tobytes() for a, b in itertools.pairwise([0, *ends])]
+
+    k1, k2, doc, mark, start = column("k1", np.uint64), column("k2", np.uint64), column("doc", np.int64), column("mark", np.int64), column("start", "<i4")
+    order = np.lexsort((start, doc, k2, k1))
+    k1, k2, doc, mark, start = (x[order] for x in (k1, k2, doc, mark, start))
+    later = _not_first(k1, k2, doc, start)
+    doc, mark, start = doc[later], mark[later], start[later]
+    order = np.lexsort((start, mark, doc))
+    doc, mark, start = doc[order], mark[order], start[order]
+    edges = np.flatnonzero(_changes(doc, mark))
+    ends = np.r_[edges[1:], len(doc)].tolist() if len(doc) else []
+    starts = blobs(start, ends) + blobs(column("gone_start", "<i4"), np.cumsum(column("gone_many", "<i4"), dtype=np.int64).tolist())
+    doc, mark = np.r_[doc[edges], column("gone_doc", np.int64)], np.r_[mark[edges], column("gone_mark", np.int64)]
+    return pa.table({"doc": pa.array(doc, pa.int64()), "mark": pa.array(mark, pa.int64()), "starts": pa.array(starts, pa.binary())})
+
+
+def sent_windows(documents: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, log_width: int = LOG_WIDTH) -> DataFrame:
+    """What goes to the exact grouping, one row a slice and bucket."""
+    rows = _keyed(documents)
+    spark = documents.sparkSession
+    sketch = spark.sparkContext.broadcast(counted(rows.select("text"), lambda b: _anchors(b, window, anchor), 2, log_width))
+    return _sent(rows, sketch, window, anchor, GROUPS * slots(spark))
+
+
+def removed_windows(documents: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, log_width: int = LOG_WIDTH) -> DataFrame:
+    """``doc, mark, starts``: the windows (packed 32-bit starts) of each row that also start earlier."""
+    return sent_windows(documents, window, anchor, log_width).groupBy("bucket").applyInArrow(_settled, "doc LONG, mark LONG, starts BINARY")
 
 
 def _not_first(k1, k2, doc, start) -> np.ndarray:
