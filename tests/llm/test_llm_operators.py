@@ -416,6 +416,19 @@ def test_nearest_neighbours(points):
     assert hits >= 0.9 * 10 * len(found)
 
 
+def test_lone_vectors_get_all_their_neighbours(spark):
+    """Clusters of copies need one leaf; an outlier in a leaf of its own needs more."""
+    x = [[100.0, 0.0, 0.0]] * 200 + [[0.0, 100.0, 0.0]] * 200 + [[150.0, 0.0, 40.0]]
+    df = spark.createDataFrame(list(enumerate(x)), "vec_id LONG, embedding ARRAY<DOUBLE>")
+    index = vectors.TreeIndex(vectors.usable(df, zero=False), F.col("vec_id") % 10 == 0)
+    assert index.visits == 1
+    found = defaultdict(list)
+    for row in index.search().collect():
+        found[row.query_id].append(row["rank"])
+    assert sorted(found) == [*range(0, 401, 10)]
+    assert all(sorted(ranks) == list(range(1, 11)) for ranks in found.values())
+
+
 @pytest.mark.parametrize("lists", [1, 2, 3])
 def test_exact_products(points, lists):
     df, x = points

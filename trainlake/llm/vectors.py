@@ -138,7 +138,8 @@ def _draw(rows: DataFrame, n: int, most: int, seed: int) -> DataFrame:
 
 
 class TreeIndex:
-    """An index over all rows; ``visits`` leaves are looked at per query, as calibration found enough."""
+    """An index over all rows; ``visits`` leaves are looked at per query, as calibration found enough,
+    and more where these hold fewer than ``k`` rows besides the query."""
 
     def __init__(self, rows: DataFrame, queries: Column, k: int = 10, target: float = TARGET_RECALL):
         self.spark, self.k = rows.sparkSession, k
@@ -183,17 +184,22 @@ class TreeIndex:
     def search(self) -> DataFrame:
         """``query_id, rank, vec_id, score`` of the nearest found, in blocks of leaf rows and leaf queries."""
         k, visits, shared = self.k, self.visits, self.shared
+        many = {r["leaf"]: r["count"] for r in self.rows.groupBy("leaf").count().collect()}  # one row a leaf, as below
 
         def visit(batch: pa.RecordBatch):
             leaves = []
             for q in _matrix(batch.column("x")):
-                order = shared.value.best_first(q)
-                leaves.append([leaf for _, leaf in zip(range(visits), order, strict=False)])
+                own, held = [], 0
+                for leaf in shared.value.best_first(q):
+                    if len(own) >= visits and held > k:
+                        break
+                    own.append(leaf)
+                    held += many.get(leaf, 0)
+                leaves.append(own)
             row = pa.array(np.repeat(np.arange(len(leaves)), [len(x) for x in leaves]))
             yield pa.RecordBatch.from_arrays([batch.column("vec_id").take(row), batch.column("x").take(row), pa.array([n for x in leaves for n in x], pa.int64())], ["query_id", "q", "leaf"])
 
         asked = map_arrow(self.queries.select("vec_id", "x"), visit, "query_id LONG, q BINARY, leaf LONG")
-        many = {r["leaf"]: r["count"] for r in self.rows.groupBy("leaf").count().collect()}  # one row a leaf, as below
         asks = {r["leaf"]: r["count"] for r in asked.groupBy("leaf").count().collect()}
         blocks = self.spark.createDataFrame([(n, -(-c // BLOCK_ROWS), -(-asks.get(n, 1) // BLOCK_QUERIES)) for n, c in many.items()] or [(0, 1, 1)], "leaf LONG, parts LONG, turns LONG")
         blocks = F.broadcast(blocks)
