@@ -203,6 +203,15 @@ def test_pii(documents):
     assert masked[18].n_chars == len(masked[18].text) and pii.redact(documents).columns == documents.columns
 
 
+@pytest.mark.parametrize("after", ["", " BIC COBADEFF", " 2 days", " Bank", " A 1 B 2 C 3", " GB82 WEST 1234 5698 7654 32 X", ". X"])
+@pytest.mark.parametrize("iban", ["DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "NO9386011117947"])
+def test_ibans_before_other_words(iban, after):
+    text = f"XX11 IBAN {iban}{after}"
+    found = [text[s.start : s.end] for s in pii.find_spans(text) if s.kind == "iban"]
+    assert found == [iban] + ["GB82 WEST 1234 5698 7654 32"] * ("GB82" in after)
+    assert not any(s.kind == "iban" for s in pii.find_spans(f"IBAN {iban}x and {iban[:-1]}"))
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_emails_are_the_leftmost_matches(seed):
     r, pattern = random.Random(seed), re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")

@@ -32,7 +32,18 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}")
+_ALNUM = re.compile("[A-Za-z0-9]")
+#: Characters of an IBAN by country.
+_IBAN_SIZES = {
+    c: n
+    for n, codes in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH CR HR LI LV", 22: "BG BH DE GB GE IE ME RS VA",
+        23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+        28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for c in codes.split()
+}
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _NOT_DIGIT = re.compile("[^0-9]+")
 _WORD = re.compile(r"[^\W\d_]+")
@@ -63,6 +74,23 @@ def mod_97(iban: str) -> bool:
     return int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
 
 
+def _ibans(text: str):
+    """Parts that end a word, have their country's length (unknown countries: the longest of 15 to 34) and pass mod-97."""
+    m = _IBAN.search(text)
+    while m:
+        start, end = m.span()
+        own = _IBAN_SIZES.get(text[start : start + 2])
+        ends, size = [], 0
+        for at in range(start, end):
+            size += text[at] != " "
+            if (size == own if own else size >= 15) and text[at] != " " and not _ALNUM.match(text, at + 1):
+                ends.append(at + 1)
+        found = next((e for e in reversed(ends) if mod_97(text[start:e])), None)
+        if found:
+            yield start, found
+        m = _IBAN.search(text, found or start + 1)
+
+
 def _emails(text: str):
     free, at = 0, text.find("@")
     while at >= 0:
@@ -90,9 +118,8 @@ def _proposed(text: str):
     for m in _PHONE.finditer(text):
         if 9 <= len(_NOT_DIGIT.sub("", m[0])) <= 15:
             yield "phone", m.start(), m.end()
-    for m in _IBAN.finditer(text):
-        if mod_97(m[0]):
-            yield "iban", m.start(), m.end()
+    for a, b in _ibans(text):
+        yield "iban", a, b
     for m in _SSN.finditer(text):
         yield "ssn", m.start(), m.end()
 
