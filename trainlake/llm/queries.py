@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trainlake.llm import bpe, counts, jaccard, packing, pii, substring, toxicity, vectors, warc
+from trainlake.llm import bpe, counts, jaccard, mixing, packing, pii, substring, toxicity, vectors, warc
 from trainlake.llm.common import table
 
 
@@ -52,7 +52,12 @@ def op10_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.audit(warc.manifest(bodies), warc.manifest(replica))
 
 
-QUERIES = {q.__name__: q for q in (op1_bpe, op2_token_counts, op3_ann_tree, op4_packing, op5_pii, op6_ngram_jaccard, op7_toxicity, op8_exact_topk, op9_substring_dedup, op10_warc_fixity)}
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mix(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "source_size", "target", "taken", "source", "times")
+
+
+QUERIES = {q.__name__: q for q in (op1_bpe, op2_token_counts, op3_ann_tree, op4_packing, op5_pii, op6_ngram_jaccard, op7_toxicity, op8_exact_topk, op9_substring_dedup, op10_warc_fixity, op13_mixing)}
 
 _OP8 = """
 with v as (select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as x
