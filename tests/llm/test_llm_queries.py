@@ -14,7 +14,7 @@ SF_DIR = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def db():
     with duckdb.connect() as connection:
-        for t in ("documents", "embeddings", "pages"):
+        for t in ("documents", "embeddings", "pages", "benchmark"):
             connection.execute(f"create view {t} as select * from '{SF_DIR}/{t}.parquet'")
         yield connection
 
@@ -30,7 +30,7 @@ def test_query_equals_sql(spark, db, name):
 
 
 def test_there_is_one_query_per_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == [*range(1, 11), 13]
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == [*range(1, 12), 13]
 
 
 def test_pipeline_stages(spark):

@@ -117,9 +117,9 @@ def powers(base: int, n: int) -> np.ndarray:
     return out[:n]
 
 
-def word_bounds(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end byte of every word, and the first word of each row (one more at the end)."""
-    gap = _SPACE[raw]
+def word_bounds(raw: np.ndarray, offsets: np.ndarray, gaps: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end byte of every word (a run of bytes not among ``gaps``), and the first word of each row (one more at the end)."""
+    gap = gaps[raw]
     edge = np.zeros(len(raw) + 1, bool)
     edge[offsets] = True
     inside = ~gap

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trainlake.llm import bpe, counts, jaccard, mixing, packing, pii, substring, toxicity, vectors, warc
+from trainlake.llm import bpe, counts, jaccard, lexical, mixing, packing, pii, substring, toxicity, vectors, warc
 from trainlake.llm.common import table
 
 
@@ -52,12 +52,16 @@ def op10_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.audit(warc.manifest(bodies), warc.manifest(replica))
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mixing.mix(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "size", "source_size", "target", "taken", "source", "times")
 
 
-QUERIES = {q.__name__: q for q in (op1_bpe, op2_token_counts, op3_ann_tree, op4_packing, op5_pii, op6_ngram_jaccard, op7_toxicity, op8_exact_topk, op9_substring_dedup, op10_warc_fixity, op13_mixing)}
+QUERIES = {q.__name__: q for q in (op1_bpe, op2_token_counts, op3_ann_tree, op4_packing, op5_pii, op6_ngram_jaccard, op7_toxicity, op8_exact_topk, op9_substring_dedup, op10_warc_fixity, op11_lexical, op13_mixing)}
 
 _OP8 = """
 with v as (select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as x
@@ -107,4 +111,19 @@ s as (select *, case when volume % 3 = 1 and page_id % 1000 >= 900 then 'missing
 select cast(volume as bigint) as volume, page_id as record_id, 0 as copy, pos as "offset", length, state from s where state is not null
 """
 
-ORACLES: dict[str, str] = {"op6_ngram_jaccard": _OP6, "op8_exact_topk": _OP8, "op9_substring_dedup": _OP9, "op10_warc_fixity": _OP10}
+_TERMS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+_OP11 = f"""
+with d as (select doc_id, {_TERMS} as terms from documents where text is not null),
+s as (select cast(count(*) as bigint) as big_n, cast(sum(len(terms)) as bigint) as big_l from d where len(terms) > 0),
+p as (select doc_id, n, term, cast(count(*) as bigint) as tf from (select doc_id, cast(len(terms) as bigint) as n, unnest(terms) as term from d) group by doc_id, n, term),
+f as (select term, count(*) as df from p group by term),
+q as (select item_id, term, count(*) as repeats from (select item_id, unnest({_TERMS}) as term from benchmark) group by item_id, term),
+w as (select item_id, q.term, repeats * cast(floor(1000 * ln((2 * big_n + 2) / (2 * df + 1))) as bigint) as w from q join f on q.term = f.term, s),
+x as (select item_id, doc_id, cast(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * big_n) // big_l)))) as bigint) as score
+      from w join p on w.term = p.term, s group by item_id, doc_id),
+r as (select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id) as integer) as rank, doc_id, score from x where score > 0)
+select item_id, rank, doc_id, score from r where rank <= 10
+"""
+
+ORACLES: dict[str, str] = {"op11_lexical": _OP11, "op6_ngram_jaccard": _OP6, "op8_exact_topk": _OP8, "op9_substring_dedup": _OP9, "op10_warc_fixity": _OP10}
