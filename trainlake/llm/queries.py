@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trainlake.llm import bpe, counts, jaccard, lexical, mixing, packing, pii, substring, toxicity, vectors, warc
+from trainlake.llm import bpe, counts, jaccard, lexical, mixing, negatives, packing, pii, substring, toxicity, vectors, warc
 from trainlake.llm.common import table
 
 
@@ -56,12 +56,18 @@ def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.ranked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh row counts as of the next label."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
 def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mixing.mix(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "size", "source_size", "target", "taken", "source", "times")
 
 
-QUERIES = {q.__name__: q for q in (op1_bpe, op2_token_counts, op3_ann_tree, op4_packing, op5_pii, op6_ngram_jaccard, op7_toxicity, op8_exact_topk, op9_substring_dedup, op10_warc_fixity, op11_lexical, op13_mixing)}
+QUERIES = {q.__name__: q for q in (op1_bpe, op2_token_counts, op3_ann_tree, op4_packing, op5_pii, op6_ngram_jaccard, op7_toxicity, op8_exact_topk, op9_substring_dedup, op10_warc_fixity, op11_lexical, op12_hard_negatives, op13_mixing)}
 
 _OP8 = """
 with v as (select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as x
@@ -111,6 +117,18 @@ s as (select *, case when volume % 3 = 1 and page_id % 1000 >= 900 then 'missing
 select cast(volume as bigint) as volume, page_id as record_id, 0 as copy, pos as "offset", length, state from s where state is not null
 """
 
+_OP12 = """
+with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as x
+           from embeddings where embedding is not null and label is not null),
+s as (select a.vec_id as anchor_id, b.vec_id, a.label = b.label as same, cast(list_sum(list_transform(list_zip(a.x, b.x), lambda p: p[1] * p[2])) as bigint) as score
+      from v a join v b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
+p as (select anchor_id, vec_id as positive_id, score as positive_score from s where same qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select p.anchor_id, positive_id, cast(row_number() over w as integer) as rank, vec_id as negative_id, positive_score, score as negative_score
+from p join s on p.anchor_id = s.anchor_id and not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+window w as (partition by p.anchor_id, positive_id order by score desc, vec_id)
+qualify row_number() over w <= 10
+"""
+
 _TERMS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
 
 _OP11 = f"""
@@ -126,4 +144,4 @@ r as (select item_id, cast(row_number() over (partition by item_id order by scor
 select item_id, rank, doc_id, score from r where rank <= 10
 """
 
-ORACLES: dict[str, str] = {"op11_lexical": _OP11, "op6_ngram_jaccard": _OP6, "op8_exact_topk": _OP8, "op9_substring_dedup": _OP9, "op10_warc_fixity": _OP10}
+ORACLES: dict[str, str] = {"op11_lexical": _OP11, "op12_hard_negatives": _OP12, "op6_ngram_jaccard": _OP6, "op8_exact_topk": _OP8, "op9_substring_dedup": _OP9, "op10_warc_fixity": _OP10}
