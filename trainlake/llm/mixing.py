@@ -14,8 +14,9 @@ settled by a seeded hash of id and text, so reruns agree whatever the partitioni
 NULL text has no words; documents without words are taken with nothing.  Rows without an id
 take part like all others.  Repeated rows are documents of their own: which of two equal rows
 is taken can't be told.  An empty table gives an empty mix.  Texts are read once; a source or a
-length may hold any share of the rows: they are counted before each shuffle, and numbered in
-``bucket`` parts of about ``BUCKET`` rows at most.
+length may hold any share of the rows: they are counted before each shuffle, and the rows of a
+source and length are numbered in parts of about ``BUCKET``, as many as a table of ``2 ** LOG_CELLS``
+counts (of hashed sources and lengths) asks for.
 """
 
 import numpy as np
@@ -30,7 +31,7 @@ WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2
 #: Most words that are left to the dynamic programme.
 WINDOW = 1 << 16
 #: Rows that a part of one length holds at most, about.
-BUCKET = 1 << 18
+BUCKET, LOG_CELLS = 1024, 16
 SEED = 20240501
 _SOURCE = ("no_source", "of")
 
@@ -139,10 +140,11 @@ def mix(
 
     A document is taken whole, ``times`` times: ``taken`` is its size times that.
     """
-    rows = cut(word_sizes(documents, seed, keep))
-    buckets = max(1, -(-rows.count() // bucket))
-    part = F.pmod(F.xxhash64("draw"), F.lit(buckets))
-    counted = cut(rows.groupBy(*_SOURCE, "size", part.alias("part")).agg(F.count("*").alias("n")))
+    sized = cut(word_sizes(documents, seed, keep))
+    cell = F.pmod(F.xxhash64(*_SOURCE, "size"), F.lit(1 << LOG_CELLS)).alias("cell")
+    crowds = cut(sized.groupBy(cell).agg(F.ceil(F.count("*") / bucket).alias("parts")))  # one row a cell at most
+    rows = sized.select(cell, "*").join(F.broadcast(crowds), "cell").withColumn("part", F.pmod(F.xxhash64("draw"), F.col("parts"))).drop("cell", "parts")
+    counted = cut(rows.groupBy(*_SOURCE, "size", "part").agg(F.count("*").alias("n")))
     targets = cut(source_targets(counted.select(*_SOURCE, (F.col("size") * F.col("n")).alias("size")), weights, share, most))
     passes = F.least(F.lit(most), F.floor(F.try_divide(F.col("target"), F.col("source_size")))).cast("long")
     targets = targets.select(*_SOURCE, "source_size", "target", F.coalesce(passes, F.lit(0).cast("long")).alias("passes"))
@@ -162,11 +164,11 @@ def mix(
     chosen = F.least(F.col("n"), F.greatest(F.lit(0), F.coalesce("some", F.lit(0)) - F.coalesce(ahead, F.lit(0))))
     shares = counted.join(extra, [*_SOURCE, "size"], "left").select(*_SOURCE, "size", "part", F.coalesce("all", F.lit(0)).alias("all"), chosen.alias("chosen"))
     shares = cut(shares.join(targets, [*_SOURCE]))
-    placed = rows.withColumn("part", part).join(shares, [*_SOURCE, "size", "part"])
+    placed = rows.join(shares, [*_SOURCE, "size", "part"])
     rank = F.row_number().over(Window.partitionBy(*_SOURCE, "size", "part").orderBy("draw", "doc_id"))
     taken = placed.withColumn("times", F.col("passes") + F.col("all") + (rank <= F.col("chosen")).cast("long"))
     own = ("doc_id", "source", "size", "source_size", "target", "times")
-    kept = [c for c in rows.columns if c not in {"doc_id", "source", "size", "draw", *_SOURCE}]
+    kept = [c for c in sized.columns if c not in {"doc_id", "source", "size", "draw", *_SOURCE}]
     return taken.select(*own, (F.col("size") * F.col("times")).alias("taken"), *kept)
 
 
