@@ -1,0 +1,42 @@
+"""The driver contract without the optional parts."""
+
+import shutil
+import subprocess
+import sys
+from pathlib import Path
+
+import pytest
+
+import __spark_entry__
+from testbed.oracles import ORACLES
+from testbed.queries import QUERIES
+
+ROOT = Path(__spark_entry__.__file__).parent
+
+
+def registered(folder):
+    code = "import __spark_entry__ as e; print(sorted(e.queries())); print(sorted(e.oracle_sql()))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=folder, capture_output=True, text=True, check=True, env={"PATH": "/usr/bin:/bin"})
+    return [eval(line) for line in done.stdout.splitlines()]
+
+
+@pytest.mark.parametrize("pipeline", [True, False])
+def test_without_the_training_data_operators(tmp_path, pipeline):
+    """The rail queries are registered, also where only the pipeline's file was left behind."""
+    shutil.copytree(ROOT / "trainlake", tmp_path / "trainlake", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copytree(ROOT / "testbed", tmp_path / "testbed", ignore=shutil.ignore_patterns("__pycache__"))
+    shutil.copy(ROOT / "__spark_entry__.py", tmp_path)
+    if pipeline:
+        (tmp_path / "corpus_pipeline.py").write_text("from trainlake.llm import jaccard\n")
+    assert registered(tmp_path) == [sorted(QUERIES), sorted(ORACLES)]
+
+
+def test_errors_of_a_part_are_not_hidden(tmp_path):
+    shutil.copytree(ROOT / "trainlake", tmp_path / "trainlake", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copytree(ROOT / "testbed", tmp_path / "testbed", ignore=shutil.ignore_patterns("__pycache__"))
+    shutil.copy(ROOT / "__spark_entry__.py", tmp_path)
+    (tmp_path / "trainlake" / "llm").mkdir()
+    (tmp_path / "trainlake" / "llm" / "__init__.py").write_text("")
+    (tmp_path / "trainlake" / "llm" / "queries.py").write_text("import nothing_of_that_name\n")
+    with pytest.raises(subprocess.CalledProcessError):
+        registered(tmp_path)
