@@ -64,10 +64,14 @@ def map_arrow(df: DataFrame, step: Callable[[pa.RecordBatch], Iterator[pa.Record
 
 
 def sliced(batch: pa.RecordBatch, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch by the bytes of its binary and text columns."""
+    """Slices of a batch by the bytes of its binary and text columns, those inside structs too."""
     sizes = np.zeros(batch.num_rows, np.int64)
-    for column in batch.columns:
-        if batch.num_rows and (pa.types.is_string(column.type) or pa.types.is_binary(column.type)):
+    columns = list(batch.columns)
+    while columns:
+        column = columns.pop()
+        if pa.types.is_struct(column.type):
+            columns += column.flatten()
+        elif batch.num_rows and (pa.types.is_string(column.type) or pa.types.is_binary(column.type)):
             sizes += np.diff(np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, column.offset * 4))
     if batch.num_rows < 2 or int(sizes.sum()) <= most:
         yield batch

@@ -1,18 +1,26 @@
 """Toxicity by a learned lexicon: Levenshtein automata over its trie, context windows, a small classifier.
 
-The lexicon (whole words, and stems ``abcd*``) is learned from one half of the training rows:
-terms found in toxic texts in enough *different* contexts (so copies count once) and seldom in
-others.  A word scores by the heaviest entry it equals, begins with, or misspells: a Levenshtein
-automaton of the word is intersected with the trie of the lexicon's words.  Each hit is weighed
-by its window of neighbours: quotation marks around it, or a word that reports speech before it,
-make it quotation, which counts a fraction of abuse.  A logistic regression on five sums of these
-weights, fitted on the other half, gives the score.
+The lexicon (whole words, and stems ``abcd*``) is learned from one half of the training rows.
+A term is counted in *different* contexts, so copies count once.  It becomes an entry if most of
+its contexts are toxic, and if chance alone would hardly make them so: one rule, whatever the
+number of rows.  A stem also has to be seen with several different endings; of nested stems one
+is kept.  A word scores by the entry it equals, by a stem it begins with (which weighs less), or by the
+heaviest entry it misspells: a Levenshtein automaton of the word, which takes swapped letters
+for one edit, is intersected with the trie of the lexicon's words.  Words of 4 to 7 letters are found
+with one edit, longer ones with two; a word whose neighbours are as common in clean texts is not
+looked for.  Each hit is weighed by its window of neighbours: quotation marks around it, or a word that
+reports speech before it, make it quotation, which counts a fraction of abuse.  A logistic
+regression on five sums of these weights, fitted on the other half, gives the score.
+
+At most ``MAX_ROWS`` labelled rows are used for fitting; all else covers all rows.  A document that is
+labelled more than once counts as toxic if one label says so; NULL ids and labels are passed over.
+Repeated rows are scored each on its own.
 """
 
 import math
 import re
 import zlib
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,12 +29,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from trainlake.llm.common import cut, map_arrow, texts
+from trainlake.llm.common import cut, map_arrow, sliced, texts
 
-#: Most labelled rows used for fitting (drawn by a hash of the id), and most lexicon entries.
-MAX_ROWS, MAX_TERMS = 20_000, 5_000
-MIN_CONTEXTS, MIN_SHARE = 5, 0.8
-STEMS = range(4, 9)
+#: Most labelled rows used for fitting (drawn by a hash of the id).
+MAX_ROWS = 20_000
+#: Least share of toxic contexts of an entry (by equal amounts of text), and how probable chance may be.
+MIN_SHARE, CHANCE = 0.8, 1e-4
+#: Letters of stems, and the different words a stem has to begin.
+STEMS, ENDINGS = range(4, 9), 3
+#: What a stem and a misspelling count of the full weight.
+BY_STEM, MISSPELLED = 0.8, 0.7
 NEAR, QUOTED = 6, 0.3
 THRESHOLD = 0.7
 REPORTING = frozenset("said says wrote writes quoted quote called word term reported sagte schrieb zitat dit écrit mot dijo escribió palabra".split())
@@ -53,38 +65,48 @@ class Trie:
 
 
 class LevenshteinAutomaton:
-    """Accepts the words within ``most`` edits of ``word``; states are made deterministic when first met."""
+    """Accepts the words within ``most`` edits of ``word``; states are made deterministic when first met.
 
-    def __init__(self, word: str, most: int):
-        self.word, self.most = word, most
-        self.start = self._closed({(0, 0)})
+    A state holds positions (letters of the word, edits, whether the next letter closes a swap).  With
+    ``swaps``, two neighbouring letters in the other order are one edit.
+    """
+
+    def __init__(self, word: str, most: int, swaps: bool = False):
+        self.word, self.most, self.swaps = word, most, swaps
+        self.start = self._closed({(0, 0, False)})
         self._steps: dict[tuple, frozenset] = {}
 
     def _closed(self, states: set) -> frozenset:
         """With the positions that deletions lead to."""
         todo, seen = list(states), set(states)
         while todo:
-            i, e = todo.pop()
-            if i < len(self.word) and e < self.most and (i + 1, e + 1) not in seen:
-                seen.add((i + 1, e + 1))
-                todo.append((i + 1, e + 1))
+            i, e, swapped = todo.pop()
+            if not swapped and i < len(self.word) and e < self.most and (i + 1, e + 1, False) not in seen:
+                seen.add((i + 1, e + 1, False))
+                todo.append((i + 1, e + 1, False))
         return frozenset(seen)
 
     def step(self, states: frozenset, c: str) -> frozenset:
         if (known := self._steps.get((states, c))) is None:
             after = set()
-            for i, e in states:
+            for i, e, swapped in states:
+                if swapped:
+                    if self.word[i] == c:
+                        after.add((i + 2, e, False))
+                    continue
                 if i < len(self.word) and self.word[i] == c:
-                    after.add((i + 1, e))
+                    after.add((i + 1, e, False))
                 if e < self.most:
-                    after.add((i, e + 1))
+                    after.add((i, e + 1, False))
                     if i < len(self.word):
-                        after.add((i + 1, e + 1))
+                        after.add((i + 1, e + 1, False))
+                    if self.swaps and i + 1 < len(self.word) and self.word[i + 1] == c:
+                        after.add((i, e + 1, True))
             known = self._steps[states, c] = self._closed(after)
         return known
 
     def edits(self, states: frozenset) -> int | None:
-        return min((e for i, e in states if i == len(self.word)), default=None)
+        return min((e for i, e, swapped in states if i == len(self.word) and not swapped), default=None)
 
     def matches(self, trie: Trie) -> Iterator[tuple[str, int]]:
         """The words of a trie that are accepted, with their distance."""
@@ -103,41 +125,49 @@ def plain(token: str) -> str:
     return _EDGE.sub("", token)
 
 
-def terms_of(word: str) -> list[str]:
-    """The word itself, and its beginnings as stems."""
-    return [word] + [word[:n] + "*" for n in STEMS if n < len(word)]
+def edits_of(word: str) -> int:
+    """How many edits a misspelling of a word may have; none for words of up to three letters."""
+    return 0 if len(word) < 4 else 1 if len(word) < 8 else 2
+
+
+def _less(word: str, letters: int) -> set[str]:
+    """The word without any of its letters, up to so many: words within that many edits have one of these in common."""
+    out = new = {word}
+    for _ in range(letters):
+        new = {w[:i] + w[i + 1 :] for w in new for i in range(len(w))}
+        out = out | new
+    return out
 
 
 class Lexicon:
-    """Weights of entries; ``weight`` of any token, kept for tokens met before (up to a stated number)."""
+    """Weights of entries; ``weight`` of any token, kept for tokens met before (up to a stated number).
+
+    ``sought``: the whole words that are looked for misspelled, by default all.
+    """
 
     MOST = 400_000
 
-    def __init__(self, entries: dict[str, float]):
+    def __init__(self, entries: dict[str, float], sought: frozenset[str] | None = None):
         self.entries = entries
-        words = [w for w in entries if not w.endswith("*") and len(w) >= 5]
-        self.trie = Trie(words)
-        # one edit leaves the first or the last half of a word as it is
-        self.heads, self.tails = defaultdict(set), defaultdict(set)
-        for w in words:
-            around = (len(w) - 1, len(w), len(w) + 1)
-            self.heads[w[: len(w) // 2]].update(around)
-            self.tails[w[-(len(w) // 2) :]].update(around)
-        self.head_sizes, self.tail_sizes = sorted({len(h) for h in self.heads}), sorted({len(t) for t in self.tails})
+        self.sought = frozenset(w for w in entries if not w.endswith("*") and edits_of(w)) if sought is None else sought
+        self.trie = Trie(sorted(self.sought))
+        # by number of edits: lengths that neighbours have, and what they have in common with a word
+        self.around = {e: (range(min(map(len, own)) - e, max(map(len, own)) + e + 1), {d for w in own for d in _less(w, e)}) for e in (1, 2) if (own := [w for w in self.sought if edits_of(w) == e])}
         self.kept: dict[str, tuple[float, bool]] = {}
 
-    def _near(self, word: str) -> float:
-        n = len(word)
-        if not (any(n in self.heads.get(word[:k], ()) for k in self.head_sizes) or any(n in self.tails.get(word[-k:], ()) for k in self.tail_sizes)):
-            return 0.0
-        return max((self.entries[w] for w, _ in LevenshteinAutomaton(word, 1).matches(self.trie)), default=0.0)
+    def misspelled(self, word: str) -> list[str]:
+        """The entries of which the word is a misspelling."""
+        most = max((e for e, (sizes, common) in self.around.items() if len(word) in sizes and not common.isdisjoint(_less(word, e))), default=0)
+        if not most:
+            return []
+        return [w for w, e in LevenshteinAutomaton(word, most, swaps=True).matches(self.trie) if 0 < e <= edits_of(w)]
 
     def weight(self, token: str) -> tuple[float, bool]:
         """(weight, misspelled) of a lower-case token; 0 for tokens without an entry."""
         if (known := self.kept.get(token)) is None:
             word = plain(token)
-            exact = max((self.entries.get(t, 0.0) for t in terms_of(word)), default=0.0) if word else 0.0
-            known = (exact, False) if exact else ((near, True) if word and (near := self._near(word)) else (0.0, False))
+            exact = max([self.entries.get(word, 0.0), *(BY_STEM * self.entries.get(word[:n] + "*", 0.0) for n in STEMS if n < len(word))])
+            known = (exact, False) if exact else (max((self.entries[w] for w in self.misspelled(word)), default=0.0), True)
             if len(self.kept) >= self.MOST:
                 self.kept.clear()
             self.kept[token] = known
@@ -156,7 +186,7 @@ class Lexicon:
         quoted = near = 0.0
         for i in hits:
             w, misspelled = weight(tokens[i])
-            w *= 0.7 if misspelled else 1.0
+            w *= MISSPELLED if misspelled else 1.0
             if _quotation(tokens, i):
                 quoted += w
                 w *= QUOTED
@@ -164,7 +194,7 @@ class Lexicon:
             word = plain(tokens[i])
             abuse[word] = max(abuse.get(word, 0.0), w)
         each = sorted(abuse.values(), reverse=True)
-        return [each[0], sum(each[1:8]), math.log1p(len(each)), math.log1p(near), math.log1p(quoted)]
+        return [each[0], sum(each[1:]), math.log1p(len(each)), math.log1p(near), math.log1p(quoted)]
 
 
 def _quotation(tokens: list[str], i: int) -> bool:
@@ -195,28 +225,64 @@ def _training(documents: DataFrame, labels: DataFrame, most: int) -> DataFrame:
     return rows.select("text", "toxic", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(2)).cast("int").alias("half"))
 
 
-def _contexts(rows: DataFrame, wanted: frozenset | None) -> DataFrame:
-    """``term, n``: in how many different neighbourhoods each (wanted) term stands."""
+def _around(tokens: list[str], i: int) -> int:
+    """A hash of the words before and after."""
+    return hash_of([*(plain(t) for t in tokens[max(0, i - 1) : i]), "", *(plain(t) for t in tokens[i + 1 : i + 2])])
+
+
+def _counted(rows: DataFrame, entries_of) -> DataFrame:
+    """``term, n, o``: in how many different contexts of toxic and of other texts the terms of each word stand."""
+
+    def step(batch: pa.RecordBatch):
+        known: dict[str, list[str]] = {}
+        found: set[tuple[str, int, int]] = set()
+        for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
+            tokens = text.lower().split()
+            for i, token in enumerate(tokens):
+                if (terms := known.get(token)) is None:
+                    terms = known[token] = entries_of(plain(token))
+                if terms:
+                    around = _around(tokens, i)
+                    found.update((t, around, toxic) for t in terms)
+        columns = list(zip(*found, strict=True)) if found else ((), (), ())
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.int32()), strict=True)], ["term", "around", "toxic"])
+
+    each = map_arrow(rows.select("text", "toxic"), step, "term STRING, around LONG, toxic INT").distinct()
+    return each.groupBy("term").agg(F.sum("toxic").alias("n"), F.sum(1 - F.col("toxic")).alias("o"))
+
+
+def _with_stems(words: DataFrame) -> DataFrame:
+    """Words and the stems they begin with, each with ``n``, ``o`` and whether it is a word, or a stem with enough endings in toxic texts."""
+    stems = F.filter(F.transform(F.array(*map(F.lit, STEMS)), lambda k: F.when(F.length("term") > k, F.substring("term", F.lit(1), k))), lambda s: s.isNotNull())
+    each = words.select(F.explode(stems).alias("stem"), "term", "n", "o")
+    next_letter = F.when(F.col("n") > 0, F.substring("term", F.length("stem") + 1, F.lit(1)))
+    found = each.groupBy("stem").agg(F.sum("n").alias("n"), F.sum("o").alias("o"), F.sum((F.col("n") > 0).cast("int")).alias("endings"), F.count_distinct(next_letter).alias("letters"))
+    wide = (F.col("endings") >= ENDINGS) & (F.col("letters") > 1)
+    return words.select("term", "n", "o").union(found.where(wide).select(F.concat("stem", F.lit("*")), "n", "o"))
+
+
+def _one_sided(terms: DataFrame, toxic: int, other: int) -> DataFrame:
+    """The terms with enough of their contexts in toxic texts; ``toxic`` and ``other``: contexts of all words.
+
+    Chance is bounded by Chernoff's inequality for the toxic share of ``n + o`` contexts.
+    """
+    expected, n, o = toxic / (toxic + other), F.col("n"), F.col("o")
+    share = n / (n + o)
+    apart = n * F.log(share / expected) + F.when(o > 0, o * F.log((1 - share) / (1 - expected))).otherwise(0.0)
+    even = n / (n + o * (toxic / other))
+    return terms.where((n > 0) & (share > expected)).where((apart >= -math.log(CHANCE)) & (even >= MIN_SHARE))
 
-    def run(batches):
-        known: dict[str, tuple[str, ...]] = {}
-        for batch in batches:
-            found: set[tuple[str, int]] = set()
-            for text in batch.column("text").to_pylist():
-                tokens = text.lower().split()
-                for i, token in enumerate(tokens):
-                    terms = known.get(token)
-                    if terms is None:
-                        if len(known) > 400_000:
-                            known.clear()
-                        word = plain(token)
-                        terms = known[token] = tuple(t for t in terms_of(word) if wanted is None or t in wanted) if len(word) > 3 else ()
-                    if terms:
-                        around = hash_of([plain(t) for t in tokens[max(0, i - 1) : i]] + [""] + [plain(t) for t in tokens[i + 1 : i + 2]])
-                        found.update((t, around) for t in terms)
-            yield pa.RecordBatch.from_arrays([pa.array([t for t, _ in found], pa.string()), pa.array([h for _, h in found], pa.int64())], ["term", "around"])
-
-    return rows.select("text").mapInArrow(run, "term STRING, around LONG").distinct().groupBy("term").agg(F.count("*").alias("n"))
+
+def _single_stems(counts: dict[str, int]) -> set[str]:
+    """Of nested stems the shortest, but the longest of those with as many contexts."""
+    kept: dict[str, int] = {}
+    for stem in sorted((t[:-1] for t in counts if t.endswith("*")), key=lambda s: (len(s), s)):
+        n = counts[stem + "*"]
+        outer = next((stem[:k] for k in range(len(stem) - 1, 0, -1) if stem[:k] in kept), None)
+        if outer is None or kept[outer] == n:
+            kept.pop(outer, None)
+            kept[stem] = n
+    return {s + "*" for s in kept}
 
 
 def hash_of(words: list[str]) -> int:
@@ -230,26 +296,36 @@ def fit(documents: DataFrame, labels: DataFrame, most: int = MAX_ROWS) -> Model:
     if not (sizes[0, 1] and sizes[0, 0] and sizes[1, 1] and sizes[1, 0]):
         return Model(Lexicon({}), np.array([-35.0, 0, 0, 0, 0, 0]))
     first = rows.where("half = 0")
-    least = MIN_CONTEXTS if sizes[0, 1] >= 200 else 2
-    toxic = _contexts(first.where("toxic = 1"), None).where(F.col("n") >= least).orderBy(F.desc("n"), "term").limit(10 * MAX_TERMS)
-    counts = {r["term"]: r["n"] for r in toxic.collect()}
-    others = defaultdict(int, {r["term"]: r["n"] for r in _contexts(first.where("toxic = 0"), frozenset(counts)).collect()})
-    # contexts a text of either kind offers, so that the rarer label isn't at a disadvantage
-    scale = sizes[0, 0] / sizes[0, 1]
-    # a stem with many endings stands for its words
-    wide = {t for t in counts if t.endswith("*")}
-    counts = {t: n for t, n in counts.items() if t.endswith("*") or not any(t[:k] + "*" in wide and counts[t[:k] + "*"] >= 3 * n for k in STEMS)}
-    entries = {t: math.log((n + 0.1) / (others[t] / scale + 0.1)) for t, n in counts.items() if n / (n + others[t] / scale) >= MIN_SHARE}
-    lexicon = Lexicon(dict(sorted(entries.items(), key=lambda e: (-e[1], e[0]))[:MAX_TERMS]))
-    broadcast = documents.sparkSession.sparkContext.broadcast(lexicon.entries)
+    words = cut(_counted(first, lambda word: [word] if word else []))
+    toxic, other = words.agg(F.sum("n"), F.sum("o")).first()
+    if not toxic or not other:
+        return Model(Lexicon({}), np.array([-35.0, 0, 0, 0, 0, 0]))
+    # every entry stands in several contexts of the sampled rows: their number is bounded as these are
+    found = {r["term"]: (r["n"], r["o"]) for r in _one_sided(_with_stems(words), toxic, other).collect()}
+    stems = _single_stems({t: n for t, (n, _) in found.items()})
+    entries = {t: math.log((n + 0.1) / (o * toxic / other + 0.1)) for t, (n, o) in sorted(found.items()) if not t.endswith("*") or t in stems}
+    given = documents.sparkSession.sparkContext.broadcast(entries)
 
-    def run(batches):
-        own = Lexicon(broadcast.value)
-        for batch in batches:
-            made = np.array([own.features(t) for t in batch.column("text").to_pylist()]).reshape(batch.num_rows, 5)
-            yield pa.RecordBatch.from_arrays([*(pa.array(made[:, k]) for k in range(5)), batch.column("toxic")], [*(f"f{k}" for k in range(5)), "toxic"])
+    def neighbours():
+        held: list[Lexicon] = []
+
+        def of(word: str) -> list[str]:
+            if not held:
+                held.append(Lexicon(given.value))
+            return held[0].misspelled(word) if word not in held[0].entries else []
 
-    made = rows.where("half = 1").select("text", "toxic").mapInArrow(run, ", ".join(f"f{k} DOUBLE" for k in range(5)) + ", toxic INT").toArrow()
+        return of
+
+    doubtful = {r["term"] for r in _counted(first, neighbours()).collect() if r["o"] * toxic / other >= r["n"] + 0.5}
+    lexicon = Lexicon(entries, Lexicon(entries).sought - doubtful)
+    learned = documents.sparkSession.sparkContext.broadcast((entries, lexicon.sought))
+
+    def step(batch: pa.RecordBatch):
+        own = Lexicon(*learned.value)
+        made = np.array([own.features(t) for t in batch.column("text").to_pylist()]).reshape(batch.num_rows, 5)
+        yield pa.RecordBatch.from_arrays([*(pa.array(made[:, k]) for k in range(5)), batch.column("toxic")], [*(f"f{k}" for k in range(5)), "toxic"])
+
+    made = map_arrow(rows.where("half = 1").select("text", "toxic"), step, ", ".join(f"f{k} DOUBLE" for k in range(5)) + ", toxic INT").toArrow()
     x = np.stack([made.column(f"f{k}").to_numpy() for k in range(5)], axis=1)
     return Model(lexicon, logistic(x, made.column("toxic").to_numpy().astype(float)))
 
@@ -267,23 +343,28 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
     return w
 
 
-
-def scores(documents: DataFrame, labels: DataFrame, keep: tuple[Column, ...] = (), most: int = MAX_ROWS) -> DataFrame:
-    """``doc_id, held_out, score`` (0 to 1) of every whole text, with the columns to keep.
-
-    NULL text counts as empty; empty texts get the score of texts without hits.  No shuffle of the documents.
-    """
-    model = fit(documents, labels, most)
-    given = documents.sparkSession.sparkContext.broadcast((model.lexicon.entries, model.weights))
-    rows = texts(documents, held_out(F.col("doc_id").cast("long")).alias("held_out"), *keep)
+def _scored(rows: DataFrame, model: Model, text_of) -> DataFrame:
+    """The rows with a ``score``; ``text_of`` a batch gives the texts."""
+    given = rows.sparkSession.sparkContext.broadcast((model.lexicon.entries, model.lexicon.sought, model.weights))
 
     def run(batches):
-        own = Model(Lexicon(given.value[0]), given.value[1])
+        entries, sought, weights = given.value
+        own = Model(Lexicon(entries, sought), weights)
         for batch in batches:
-            made = pa.array([own.score(t) for t in batch.column("text").to_pylist()], pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, made], [*batch.schema.names, "score"])
+            for piece in sliced(batch):
+                made = pa.array([own.score(t or "") for t in text_of(piece).to_pylist()], pa.float64())
+                yield pa.RecordBatch.from_arrays([*piece.columns, made], [*piece.schema.names, "score"])
+
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("score", DoubleType())]))
 
-    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("score", DoubleType())])).drop("text")
+
+def scores(documents: DataFrame, labels: DataFrame, most: int = MAX_ROWS) -> DataFrame:
+    """``doc_id, held_out, score`` (0 to 1) of every whole text.
+
+    NULL text counts as empty; empty texts get the score of texts without hits.  No shuffle of the documents.
+    """
+    rows = texts(documents, held_out(F.col("doc_id").cast("long")).alias("held_out"))
+    return _scored(rows, fit(documents, labels, most), lambda batch: batch.column("text")).drop("text")
 
 
 def predictions(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -291,6 +372,8 @@ def predictions(documents: DataFrame, labels: DataFrame, threshold: float = THRE
 
 
 def keep_civil(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents scored below the threshold, with all their columns."""
-    row = F.struct(*[F.col(f"`{n}`") for n in documents.columns]).alias("row")
-    return scores(documents, labels, (row,)).where(F.col("score") < threshold).select("row.*")
+    """The documents scored below the threshold, with all their columns; each text is sent once."""
+    rows = documents.select(F.struct(*[F.col(f"`{n}`") for n in documents.columns]).alias("row"))
+    place = documents.columns.index("text")
+    found = _scored(rows, fit(documents, labels), lambda batch: batch.column("row").flatten()[place].cast(pa.string()))
+    return found.where(F.col("score") < threshold).select("row.*")
