@@ -1,3 +1,4 @@
+import json
 from dataclasses import replace
 
 import pytest
@@ -10,8 +11,9 @@ from trainlake.plans.punctuality import PUNCTUALITY
 from trainlake.plans.ridership import RIDERSHIP
 from trainlake.plans.stations import STATIONS
 from trainlake.sinks import append_lot, compact, write_snapshot
-from trainlake.sources import Table, read_silver
+from trainlake.sources import Table, read_silver, text_source
 from trainlake.sources.tables import ConcurrentWrite
+from trainlake.streaming import AVAILABLE_NOW, refine_stream
 
 SEEN = availability("2024-01-01")
 
@@ -193,6 +195,86 @@ def test_filters_on_the_key_pass_below_the_settling_of_lots(spark, raw, plan, tm
     assert df.count() == 1
 
 
+def months(raw, *periods, trains=5, station="A"):
+    return PUNCTUALITY.typed(raw(*[{"date": p, "gare_depart": station, "nb_train_prevu": trains, "ingested_at": "1"} for p in periods]))
+
+
+def folders(base, version):
+    return sorted(d.name for d in (base / "regularite" / f"v={version:08d}").iterdir() if d.is_dir())
+
+
+def kept(spark, base):
+    return sorted((r.periode, r.gare_depart, r.nb_train_prevu) for r in read_silver(spark, PUNCTUALITY, str(base)).collect())
+
+
+def test_a_batch_rewrites_only_the_partitions_it_touches(spark, raw, tmp_path):
+    write_snapshot(months(raw, "2024-01", "2024-02", "2024-03"), PUNCTUALITY, str(tmp_path))
+    # nothing of the other months is read: they could not be
+    for other in ("2024-01", "2024-03"):
+        for file in (tmp_path / "regularite" / "v=00000000" / f"periode={other}").glob("*.parquet"):
+            file.rename(file.with_suffix(".away"))
+    assert write_snapshot(months(raw, "2024-02", station="B"), PUNCTUALITY, str(tmp_path)) == 2
+    assert folders(tmp_path, 1) == ["periode=2024-02"]
+    assert write_snapshot(months(raw, "2024-04"), PUNCTUALITY, str(tmp_path)) == 1
+    assert folders(tmp_path, 2) == ["periode=2024-04"]
+    for file in tmp_path.rglob("*.away"):
+        file.rename(file.with_suffix(".parquet"))
+    assert kept(spark, tmp_path) == [("2024-01", "A", 5), ("2024-02", "A", 5), ("2024-02", "B", 5), ("2024-03", "A", 5), ("2024-04", "A", 5)]
+
+
+def test_merged_partitions_keep_odd_values_and_prune(spark, raw, plan, tmp_path):
+    periods = ["", "2024-03", "a/b=c d", "x%2Fy", "é{1}*[2]?"]
+    write_snapshot(months(raw, *periods), PUNCTUALITY, str(tmp_path))
+    for p in ("a/b=c d", "", "é{1}*[2]?"):
+        write_snapshot(months(raw, p, station="B"), PUNCTUALITY, str(tmp_path))
+    assert kept(spark, tmp_path) == sorted([(p, "A", 5) for p in periods] + [(p, "B", 5) for p in ("a/b=c d", "", "é{1}*[2]?")])
+    df = read_silver(spark, PUNCTUALITY, str(tmp_path)).where("periode = '2024-03'")
+    assert "PartitionFilters: [(coalesce(periode" in plan(df) and df.count() == 1
+    assert df.dtypes == read_silver(spark, PUNCTUALITY, str(tmp_path / "none")).dtypes
+
+
+def test_a_replayed_batch_is_not_written_again(spark, raw, tmp_path):
+    for batch, months_ in enumerate((("2024-01", "2024-02"), ("2024-02", "2024-03"))):
+        for _ in range(2):
+            rows = write_snapshot(months(raw, *months_), PUNCTUALITY, str(tmp_path), owner="query", batch=batch)
+            assert rows == 2
+    table = Table(spark, PUNCTUALITY, str(tmp_path))
+    assert table._committed("v") == ["00000000", "00000001"]
+    # the same rows from another writer: the next version, with the same content
+    before = kept(spark, tmp_path)
+    write_snapshot(months(raw, "2024-02", "2024-03"), PUNCTUALITY, str(tmp_path))
+    assert kept(spark, tmp_path) == before and table.version() == 2
+
+
+def test_folders_in_use_survive_the_removal_of_their_version(spark, raw, tmp_path):
+    base = str(tmp_path)
+    write_snapshot(months(raw, "2024-01", "2024-02"), PUNCTUALITY, base)
+    write_snapshot(months(raw, "2024-02", station="B"), PUNCTUALITY, base)
+    write_snapshot(months(raw, "2024-02", station="C"), PUNCTUALITY, base)
+    torn = tmp_path / "regularite" / "v=00000003" / "periode=2024-09"
+    torn.mkdir(parents=True)
+    before = kept(spark, tmp_path)
+    table = Table(spark, PUNCTUALITY, base)
+    table.drop_versions_older_than(0)
+    assert table._committed("v") == ["00000002"] and kept(spark, tmp_path) == before
+    assert folders(tmp_path, 0) == ["periode=2024-01"] and not (tmp_path / "regularite" / "v=00000001").exists()
+    assert torn.is_dir()  # a writer at work
+    write_snapshot(months(raw, "2024-01", station="B"), PUNCTUALITY, base)
+    table.drop_versions_older_than(0)
+    assert not (tmp_path / "regularite" / "v=00000000").exists() and folders(tmp_path, 2) == ["periode=2024-02"]
+    assert [k[:2] for k in kept(spark, tmp_path)] == [("2024-01", "A"), ("2024-01", "B"), ("2024-02", "A"), ("2024-02", "B"), ("2024-02", "C")]
+
+
+def test_a_stream_writes_the_partitions_of_its_batch(spark, tmp_path):
+    landed = tmp_path / "landed"
+    landed.mkdir()
+    for n, period in enumerate(("2024-01", "2024-02", "2024-02")):
+        (landed / f"{n}.json").write_text(json.dumps({"date": period, "gare_depart": str(n), "nb_train_prevu": 5}))
+        refine_stream(text_source(spark, str(landed)), PUNCTUALITY, str(tmp_path), str(tmp_path / "checkpoint"), trigger=AVAILABLE_NOW).awaitTermination()
+    assert [folders(tmp_path, n) for n in range(3)] == [["periode=2024-01"], ["periode=2024-02"], ["periode=2024-02"]]
+    assert [k[1] for k in kept(spark, tmp_path)] == ["0", "1", "2"]
+
+
 def test_missing_table_is_empty(spark, tmp_path):
     df = read_silver(spark, STATIONS, str(tmp_path))
     assert df.count() == 0

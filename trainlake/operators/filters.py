@@ -9,6 +9,11 @@ def all_of(conditions: Iterable[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
 
 
+def any_of(conditions: Iterable[Column]) -> Column:
+    """True where one of the conditions is; without conditions nowhere."""
+    return reduce(lambda a, b: a | b, conditions, F.lit(False))
+
+
 def require(df: DataFrame, *columns: str) -> DataFrame:
     """Rows in which all the named columns have a value."""
     return df.where(all_of(F.col(c).isNotNull() for c in columns))
