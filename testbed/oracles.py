@@ -111,6 +111,34 @@ def _pairs(points: str, radius: float = 10.0) -> str:
     from ({_stations}) s join ({duck(points)}) p on {km} <= {radius}"""
 
 
+def _vector(name: str, lat: str, lon: str) -> str:
+    return (
+        f"cos(radians({lat})) * cos(radians({lon})) as {name}x, cos(radians({lat})) * sin(radians({lon})) as {name}y, sin(radians({lat})) as {name}z"
+    )
+
+
+# Consecutive points of each route, ends and normal as vectors.
+_lines = f"""
+    select *, uy * vz - uz * vy as nx, uz * vx - ux * vz as ny, ux * vy - uy * vx as nz
+    from (select *, {_vector('u', 'from_lat', 'from_lon')}, {_vector('v', 'to_lat', 'to_lon')}
+        from (select route, plat as from_lat, plon as from_lon,
+                case when first_point and last_point then plat else next_lat end as to_lat,
+                case when first_point and last_point then plon else next_lon end as to_lon
+            from (select *, lead(plat) over w as next_lat, lead(plon) over w as next_lon,
+                    row_number() over w = 1 as first_point, lead(plat) over w is null as last_point
+                from ({duck('cycle_routes')}) window w as (partition by route order by plon, poi_id)))
+        where to_lat is not null)"""
+_LINE_KM = """6371.0e0 * case
+    when nx * nx + ny * ny + nz * nz > 1e-24
+        and px * (ny * uz - nz * uy) + py * (nz * ux - nx * uz) + pz * (nx * uy - ny * ux) >= 0
+        and px * (vy * nz - vz * ny) + py * (vz * nx - vx * nz) + pz * (vx * ny - vy * nx) >= 0
+    then asin(least(abs(px * nx + py * ny + pz * nz) / sqrt(nx * nx + ny * ny + nz * nz), 1))
+    else 2 * least(asin(sqrt((px - ux) * (px - ux) + (py - uy) * (py - uy) + (pz - uz) * (pz - uz)) / 2),
+        asin(sqrt((px - vx) * (px - vx) + (py - vy) * (py - vy) + (pz - vz) * (pz - vz)) / 2)) end"""
+_station_vectors = f"select codes_uic, {_vector('p', 'latitude', 'longitude')} from ({_stations})"
+_reachable_lines = f"select distinct l.* from ({_lines}) l join ({_station_vectors}) s on {_LINE_KM} <= 10.0"
+
+
 # One place per name, the smallest; cleaned stations only: a place inside the country, and a code.
 _place = f"""
     select 'GARE ' || trim(substr(nom, 6)) as name, first(lat order by lat, lon) as lat, first(lon order by lat, lon) as lon
@@ -222,6 +250,17 @@ ORACLES = {
         select codes_uic, nom_gare, count(*) as n_points, arg_min(poi_id, km) as nearest_poi_id,
             round(min(km), 3) as nearest_km
         from ({_pairs('points')}) group by all""",
+    "station_nearest_point": f"""
+        select codes_uic, cast(1 as integer) as rank, poi_id, round(km, 3) as distance_km
+        from (select codes_uic, poi_id, {_km('latitude', 'longitude', 'plat', 'plon')} as km from ({_stations}) s, ({duck('points')}) p)
+        qualify row_number() over (partition by codes_uic order by km, poi_id) = 1""",
+    "station_routes": f"""
+        select codes_uic, route, round(min({_LINE_KM}), 3) as distance_km
+        from ({_station_vectors}) s join ({_lines}) l on {_LINE_KM} <= 10.0 group by all""",
+    "bike_reach_by_route": f"""
+        select round(plat, 0) as zone_lat, round(plon, 0) + 0.0 as zone_lon, count(distinct poi_id) as n_points
+        from (select poi_id, plat, plon, {_vector('p', 'plat', 'plon')} from ({duck('points')})) p
+            join ({_reachable_lines}) l on {_LINE_KM} <= 20.0 group by all""",
     "weekend_seats_by_od": f"""
         select od, count(*) as n_trains from ({_availability()})
         where date_depart in (date '1998-07-04', date '1998-07-05')

@@ -1,7 +1,5 @@
 """The registered queries: every operator over whole tables."""
 
-import tempfile
-import uuid
 from contextlib import contextmanager
 from functools import reduce
 
@@ -28,7 +26,7 @@ from trainlake.functions import (
     whole_number,
     year_text,
 )
-from trainlake.operators import distinct_records, keep_one, parse_json, require, within_km
+from trainlake.operators import distinct_records, keep_one, parse_json, require, route_segments, within_km
 from trainlake.plans import (
     audit,
     clean_availability,
@@ -45,22 +43,13 @@ from trainlake.plans.registry import DATASETS
 from trainlake.plans.ridership import RIDERSHIP
 from trainlake.plans.stations import STATIONS
 from trainlake.sinks import append_lot, compact, kafka_messages, text_messages, write_snapshot
+from trainlake.shared import scratch
 from trainlake.sources import read_pages, read_silver, read_static, text_source
 from trainlake.streaming import AVAILABLE_NOW, refine_all, refine_stream, wait_for_all
 
 RADIUS_KM = 10.0
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new directory in the cluster's shared folder; local runs may do without."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if shared is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        return tempfile.mkdtemp(prefix="trainlake-")
-    return f"{shared.rstrip('/')}/trainlake-{uuid.uuid4().hex}"
-
-
 def _silver(df: DataFrame) -> DataFrame:
     """Without the time stamp of the run, which no two engines share."""
     return df.drop("processed_at")
@@ -287,6 +276,25 @@ def poi_within_10km(spark, sf_dir):
     )
 
 
+def station_nearest_point(spark, sf_dir):
+    return questions.nearest_points(stations(spark, sf_dir), rows(spark, sf_dir, "points"))
+
+
+def _segments(spark, sf_dir):
+    return route_segments(rows(spark, sf_dir, "cycle_routes"), ["route"], ["plon", "poi_id"])
+
+
+def station_routes(spark, sf_dir):
+    """Stations near a cycle route, though perhaps near none of its points."""
+    return questions.stations_near_routes(stations(spark, sf_dir), _segments(spark, sf_dir), RADIUS_KM)
+
+
+def bike_reach_by_route(spark, sf_dir):
+    return questions.bike_reach_by_route(
+        stations(spark, sf_dir), _segments(spark, sf_dir), rows(spark, sf_dir, "points"), RADIUS_KM, 2 * RADIUS_KM
+    )
+
+
 def weekend_seats_by_od(spark, sf_dir):
     return questions.weekend_seats(availability_seen(spark, sf_dir), AS_OF)
 
@@ -527,6 +535,9 @@ QUERIES = {
     "text_features": text_features,
     "geo_cell": geo_cells,
     "poi_within_10km": poi_within_10km,
+    "station_nearest_point": station_nearest_point,
+    "station_routes": station_routes,
+    "bike_reach_by_route": bike_reach_by_route,
     "weekend_seats_by_od": weekend_seats_by_od,
     "co2_by_od": co2_by_od,
     "bike_reach": bike_reach,

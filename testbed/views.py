@@ -113,6 +113,12 @@ _VIEWS = {
             41.0e0 + (p_partkey * 3571 % 11000) / 1000.0e0 as plat,
             -5.5e0 + (p_partkey * 9973 % 15500) / 1000.0e0 as plon
         from part""",
+    # Routes by degree of latitude: their points lie tens of kilometres apart.
+    "cycle_routes": """
+        select cast(cast(floor(plat) as int) as {S}) as route, poi_id, plat, plon
+        from (select p_partkey as poi_id, 41.0e0 + (p_partkey * 3571 % 11000) / 1000.0e0 as plat,
+                -5.5e0 + (p_partkey * 9973 % 15500) / 1000.0e0 as plon
+            from part)""",
     # Station records for names that occur in `availability` in another case, some twice at
     # different places, some without a place; some of its stations are missing here.
     "gare_stations": """

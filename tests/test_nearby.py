@@ -1,0 +1,192 @@
+"""Counts, nearest neighbours and lines against brute force, in crowds, at the poles and over the antimeridian."""
+
+import math
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from trainlake.operators import count_within_km, lines_near_places, nearest, nearest_within_km, places_near_lines, route_segments
+
+R = 6371.0
+
+
+def vector(lat, lon):
+    p, l = math.radians(lat), math.radians(lon)
+    return (math.cos(p) * math.cos(l), math.cos(p) * math.sin(l), math.sin(p))
+
+
+def apart(a, b):
+    return 2 * math.asin(min(1.0, math.dist(a, b) / 2))
+
+
+def km(a, b):
+    return R * apart(vector(*a), vector(*b))
+
+
+def crowded(seed, n):
+    """Positions in clusters of very different size, some over the antimeridian and around the poles."""
+    r = random.Random(seed)
+    centres = [(44.8, -0.6, 0.05), (44.9, -0.5, 0.002), (0.0, 179.98, 0.1), (-17.0, -179.99, 0.2), (89.9, 30.0, 0.3), (-89.95, 0.0, 0.2), (60.0, 10.0, 3.0)]
+    out = []
+    for _ in range(n):
+        lat, lon, spread = r.choice(centres)
+        lat = max(-90.0, min(90.0, lat + r.gauss(0, spread)))
+        lon = lon + r.gauss(0, spread) * (20 if abs(lat) > 85 else 1)
+        out.append((lat, (lon + 180) % 360 - 180))
+    return out + [(44.8, -0.6)] * 40 + [(0.0, 180.0), (0.0, -180.0), (90.0, 0.0), (-90.0, 77.0), (89.99, -120.0)]
+
+
+@pytest.fixture(scope="module")
+def places(spark):
+    at = crowded(1, 60)
+    rows = [(f"s{i}", *p) for i, p in enumerate(at)] + [("none", None, 1.0)]
+    return at, spark.createDataFrame(rows, "codes_uic STRING, latitude DOUBLE, longitude DOUBLE")
+
+
+@pytest.fixture(scope="module")
+def points(spark):
+    at = crowded(2, 1500)
+    return at, spark.createDataFrame([(i, *p) for i, p in enumerate(at)] + [(9999, 1.0, None)], "poi_id LONG, plat DOUBLE, plon DOUBLE")
+
+
+@pytest.mark.parametrize("radius", [10.0, 9000.0])
+def test_counts_equal_brute_force(places, points, radius):
+    found = {r.codes_uic: r.n_points for r in count_within_km(places[1], points[1], radius, ["codes_uic"]).collect()}
+    wanted = {f"s{i}": sum(km(p, q) <= radius for q in points[0]) for i, p in enumerate(places[0])}
+    assert found == {k: n for k, n in wanted.items() if n}
+
+
+@pytest.mark.parametrize(("radius", "k"), [(30.0, 3), (5000.0, 50)])
+def test_nearest_within(places, points, radius, k):
+    rows = nearest_within_km(places[1], points[1], radius, ["codes_uic"], "poi_id", k).collect()
+    found = {(r.codes_uic, r["rank"]): (r.poi_id, r.distance_km) for r in rows}
+    assert len(found) == len(rows)
+    many = 0
+    for i, p in enumerate(places[0]):
+        near = sorted((round(km(p, q), 7), j) for j, q in enumerate(points[0]) if km(p, q) <= radius)[:k]
+        many += len(near)
+        for rank, (d, j) in enumerate(near, 1):
+            got = found[f"s{i}", rank]
+            assert got[1] == pytest.approx(d, abs=1e-5) and (got[0] == j or km(p, points[0][got[0]]) == pytest.approx(d, abs=1e-5))
+    assert many == len(rows)
+
+
+def test_nearest_however_far(spark, places, points, k=4):
+    """Every place with a position finds its neighbours, on the other side of the globe too."""
+    few = points[1].where("poi_id % 250 = 7 OR poi_id IN (1540, 1541)")
+    at = {r.poi_id: (r.plat, r.plon) for r in few.collect()}
+    rows = nearest(places[1], few, ["codes_uic"], "poi_id", k, first_km=20.0).collect()
+    assert len(rows) == k * len(places[0])
+    for r in rows:
+        d = sorted(km(places[0][int(r.codes_uic[1:])], q) for q in at.values())
+        assert r.distance_km == pytest.approx(d[r["rank"] - 1], abs=1e-5)
+
+
+def test_nearest_with_too_few_points(spark, places):
+    two = spark.createDataFrame([(5, -44.8, 179.4), (3, -44.8, 179.4)], "poi_id LONG, plat DOUBLE, plon DOUBLE")
+    rows = nearest(places[1], two, ["codes_uic"], "poi_id", 3).collect()
+    assert len(rows) == 2 * len(places[0]) and all(r.poi_id == (3 if r["rank"] == 1 else 5) for r in rows)  # ties go to the smaller id
+    assert nearest(places[1], two.where("false"), ["codes_uic"], "poi_id").count() == 0
+    assert nearest(places[1].where("false"), two, ["codes_uic"], "poi_id").count() == 0
+
+
+def joined_rows(spark, df):
+    """Rows that the joins of a plan have put out, by its metrics."""
+    df.collect()
+    total, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+            continue
+        if "QueryStage" in name:
+            todo.append(node.plan())
+            continue
+        if "Join" in name and node.metrics().contains("numOutputRows"):
+            total += node.metrics().apply("numOutputRows").value()
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return total
+
+
+def test_a_crowd_is_counted_without_its_pairs(spark):
+    r = random.Random(5)
+    stations = spark.createDataFrame([(f"s{i}", 44.8 + r.gauss(0, 0.02), -0.6 + r.gauss(0, 0.02)) for i in range(200)], "codes_uic STRING, latitude DOUBLE, longitude DOUBLE")
+    points = spark.range(60_000).select(
+        F.col("id").alias("poi_id"), (44.8 + F.randn(1) * 0.05).alias("plat"), (-0.6 + F.randn(2) * 0.05).alias("plon")
+    )
+    points = spark.createDataFrame(points.collect(), points.schema)
+    counted = count_within_km(stations, points, 10.0, ["codes_uic"])
+    pairs = counted.agg(F.sum("n_points")).first()[0]
+    assert pairs > 5_000_000
+    assert joined_rows(spark, counted) < 0.3 * pairs
+    best = nearest_within_km(stations, points, 10.0, ["codes_uic"], "poi_id")
+    assert joined_rows(spark, best) < 0.05 * pairs and best.count() == 200
+
+
+# -- lines -------------------------------------------------------------------
+
+
+def cross(a, b):
+    return (a[1] * b[2] - a[2] * b[1], a[2] * b[0] - a[0] * b[2], a[0] * b[1] - a[1] * b[0])
+
+
+def dot(a, b):
+    return sum(x * y for x, y in zip(a, b, strict=True))
+
+
+def line_km(p, line):
+    """Least of many points along the arc, refined: no formula in common with the operator's."""
+    a, b, p = vector(*line[:2]), vector(*line[2:]), vector(*p)
+    whole = apart(a, b)
+    if whole < 1e-12:
+        return R * apart(p, a)
+
+    def at(t):
+        u, v = math.sin((1 - t) * whole) / math.sin(whole), math.sin(t * whole) / math.sin(whole)
+        return apart(p, tuple(u * x + v * y for x, y in zip(a, b, strict=True)))
+
+    best = min(range(401), key=lambda i: at(i / 400)) / 400
+    lo, hi = max(0.0, best - 1 / 400), min(1.0, best + 1 / 400)
+    for _ in range(80):
+        m, n = lo + (hi - lo) / 3, hi - (hi - lo) / 3
+        lo, hi = (lo, n) if at(m) <= at(n) else (m, hi)
+    return R * min(at((lo + hi) / 2), at(0.0), at(1.0))
+
+
+LINES = [
+    (44.0, -2.0, 45.0, 3.0), (44.8, -0.61, 44.8, -0.59), (0.1, 179.5, -0.2, -179.5), (85.0, 10.0, 85.0, -170.0), (-89.9, 0.0, -80.0, 90.0),
+    (44.8, -0.6, 44.8, -0.6), (60.0, 5.0, 60.0, 15.0), (10.0, -60.0, -30.0, 100.0), (90.0, 0.0, 44.8, -0.6), (5.0, 5.0, 5.0, 5.001),
+]
+
+
+@pytest.mark.parametrize("radius", [25.0, 700.0])
+def test_lines_equal_brute_force(spark, places, radius):
+    lines = spark.createDataFrame([(n, *line) for n, line in enumerate(LINES)] + [(99, None, 1.0, 2.0, 3.0)], "route INT, from_lat DOUBLE, from_lon DOUBLE, to_lat DOUBLE, to_lon DOUBLE")
+    rows = places_near_lines(places[1], lines, radius).collect()
+    found = {(r.codes_uic, r.route): r.distance_km for r in rows}
+    wanted = {(f"s{i}", n): line_km(p, line) for i, p in enumerate(places[0]) for n, line in enumerate(LINES)}
+    assert len(found) == len(rows) and set(found) == {k for k, d in wanted.items() if d <= radius}
+    assert all(found[k] == pytest.approx(wanted[k], abs=1e-4) for k in found)
+    semi = places_near_lines(places[1], lines, radius, how="left_semi")
+    assert semi.columns == places[1].columns and sorted(r.codes_uic for r in semi.collect()) == sorted({k for k, _ in found})
+    near = lines_near_places(lines, places[1], radius)
+    assert sorted(r.route for r in near.collect()) == sorted({n for _, n in found})
+
+
+def test_a_route_between_far_points_is_found(spark):
+    """Neither of its points is near; the line between them is."""
+    points = spark.createDataFrame([("r", 1, 44.0, -5.0), ("r", 2, 45.5, 4.0), ("alone", 1, 10.0, 10.0), ("r", 3, None, 1.0)], "route STRING, n INT, plat DOUBLE, plon DOUBLE")
+    lines = route_segments(points, ["route"], ["n"])
+    assert sorted((r.route, r.from_lat, r.to_lat) for r in lines.collect()) == [("alone", 10.0, 10.0), ("r", 44.0, 45.5)]
+    station = spark.createDataFrame([("x", 44.87, -0.5), ("y", 10.0, 10.05)], "codes_uic STRING, latitude DOUBLE, longitude DOUBLE")
+    found = {r.codes_uic: r for r in places_near_lines(station, lines, 20.0).collect()}
+    assert found["x"].route == "r" and 300 < km((44.87, -0.5), (44.0, -5.0)) and found["x"].distance_km < 20
+    assert found["y"].route == "alone"
+
+
+def test_lines_reject_unknown_joins(spark, places):
+    with pytest.raises(ValueError, match="how"):
+        places_near_lines(places[1], places[1], 1.0, how="cross")

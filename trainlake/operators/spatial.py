@@ -9,7 +9,7 @@ _KM_PER_DEGREE = math.pi * EARTH_RADIUS_KM / 180
 _MARGIN = 1.001  # cells a little larger than needed, against rounding at the edges
 
 
-class _Grid:
+class Grid:
     """Latitude bands as high as the radius, each cut into equal longitude cells.
 
     The cells of a band are at least as wide as the radius reaches in longitude
@@ -17,7 +17,7 @@ class _Grid:
     the radius are always in the same or adjacent cells — also across the
     antimeridian, and near the poles, where a band is one single cell.
 
-    The expressions are null-free by construction (rows without a position are
+    All arguments are SQL text.  The expressions are null-free by construction (rows without a position are
     dropped before): the join would otherwise add null checks on its keys that
     evaluate all of this a second time.
     """
@@ -26,7 +26,7 @@ class _Grid:
         self.height = radius_km * _MARGIN / _KM_PER_DEGREE
 
     def band(self, lat: str) -> str:
-        return f"coalesce(floor(`{lat}` / {self.height!r}D), 0L)"
+        return f"coalesce(floor({lat} / {self.height!r}D), 0L)"
 
     def cells(self, band: str) -> str:
         """How many cells go round the globe: 360° / (height / cos(latitude))."""
@@ -35,7 +35,7 @@ class _Grid:
         return f"greatest(floor(cos({top}) * {360 / self.height / _MARGIN!r}D), 1L)"
 
     def cell(self, lon: str, cells: str) -> str:
-        return f"coalesce(pmod(floor((`{lon}` + 180D) / 360D * {cells}), {cells}), 0L)"
+        return f"coalesce(pmod(floor(({lon} + 180D) / 360D * {cells}), {cells}), 0L)"
 
 
 def within_km(
@@ -60,13 +60,13 @@ def within_km(
     """
     if how not in ("inner", "left_semi"):
         raise ValueError(f"how must be 'inner' or 'left_semi', not {how!r}")
-    grid = _Grid(radius_km)
+    grid = Grid(radius_km)
 
     a = (
         left.dropna(subset=list(left_at))
-        .withColumn("_band", F.expr(grid.band(left_at[0])))
+        .withColumn("_band", F.expr(grid.band(f"`{left_at[0]}`")))
         .withColumn("_cells", F.expr(grid.cells("_band")))
-        .withColumn("_cell", F.expr(grid.cell(left_at[1], "_cells")))
+        .withColumn("_cell", F.expr(grid.cell(f"`{left_at[1]}`", "_cells")))
         .drop("_cells")
     )
     b = right.dropna(subset=list(right_at))
@@ -75,10 +75,10 @@ def within_km(
         b = b.select(*right_at).distinct()
     around = "explode(array_distinct(transform(array(-1L, 0L, 1L), d -> pmod(_own + d, _cells))))"
     b = (
-        b.withColumn("_own", F.expr(grid.band(right_at[0])))
+        b.withColumn("_own", F.expr(grid.band(f"`{right_at[0]}`")))
         .withColumn("_band2", F.expr("explode(array(_own - 1, _own, _own + 1))"))
         .withColumn("_cells", F.expr(grid.cells("_band2")))
-        .withColumn("_own", F.expr(grid.cell(right_at[1], "_cells")))
+        .withColumn("_own", F.expr(grid.cell(f"`{right_at[1]}`", "_cells")))
         .withColumn("_cell2", F.expr(around))
         .drop("_own", "_cells")
     )

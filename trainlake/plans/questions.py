@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from trainlake.functions import co2_saved_kg, haversine_km, name_key
 from trainlake.functions.carbon import CAR_G_PER_KM, DEFAULT_TRIP_KM, TRAIN_G_PER_KM
-from trainlake.operators import within_km
+from trainlake.operators.lines import ENDS
+from trainlake.operators import count_within_km, lines_near_places, nearest, nearest_within_km, places_near_lines, within_km
 
 
 def stations_with_ridership(stations: DataFrame, ridership: DataFrame) -> DataFrame:
@@ -25,21 +26,25 @@ def stations_near_points(
 ) -> DataFrame:
     """Stations with a point of interest in reach: how many, and the nearest one.
 
-    Points at the same position are counted together before the join, and the
-    matches of a station are combined before the shuffle.
+    No pair is formed where a box of points is wholly in reach.
     """
-    places = points.groupBy("plat", "plon").agg(
-        F.count(F.lit(1)).alias("n"), F.min("poi_id").alias("poi_id")
-    )
-    pairs = within_km(
-        stations.select("codes_uic", "nom_gare", "latitude", "longitude"), places, radius_km
-    )
-    best = F.min_by("poi_id", F.struct("distance_km", "poi_id"))
-    return pairs.groupBy("codes_uic", "nom_gare").agg(
-        F.sum("n").alias("n_points"),
-        best.alias("nearest_poi_id"),
-        F.round(F.min("distance_km"), 3).alias("nearest_km"),
-    )
+    known = stations.select("codes_uic", "nom_gare", "latitude", "longitude")
+    many = count_within_km(known, points, radius_km, ["codes_uic"])
+    best = nearest_within_km(known, points, radius_km, ["codes_uic"], "poi_id")
+    best = best.select("codes_uic", F.col("poi_id").alias("nearest_poi_id"), F.round("distance_km", 3).alias("nearest_km"))
+    return known.select("codes_uic", "nom_gare").join(many, "codes_uic").join(best, "codes_uic")
+
+
+def nearest_points(stations: DataFrame, points: DataFrame, k: int = 1) -> DataFrame:
+    """For every station its ``k`` nearest points of interest, however far."""
+    found = nearest(stations, points, ["codes_uic"], "poi_id", k)
+    return found.withColumn("distance_km", F.round("distance_km", 3))
+
+
+def stations_near_routes(stations: DataFrame, segments: DataFrame, radius_km: float = 10.0) -> DataFrame:
+    """Stations with a cycle route (``route`` and segments) in reach, with the distance to each such route."""
+    pairs = places_near_lines(stations.select("codes_uic", "latitude", "longitude"), segments, radius_km)
+    return pairs.groupBy("codes_uic", "route").agg(F.round(F.min("distance_km"), 3).alias("distance_km"))
 
 
 def this_weekend(as_of: date | str) -> tuple[date, date]:
@@ -140,6 +145,18 @@ def bike_reach(
     return reached.groupBy(*zone).agg(F.count(F.lit(1)).alias("n_points"))
 
 
+def bike_reach_by_route(
+    stations: DataFrame, segments: DataFrame, points: DataFrame,
+    station_km: float = 10.0, point_km: float = 10.0, zone_digits: int = 0,
+) -> DataFrame:
+    """As ``bike_reach``, with routes as lines: a point counts if a segment that passes within ``station_km``
+    of a station passes within ``point_km`` of it."""
+    reachable = lines_near_places(segments.select(*ENDS), stations, station_km)
+    reached = places_near_lines(points, reachable, point_km, at=("plat", "plon"), how="left_semi")
+    zone = [F.round(c, zone_digits).alias(z) for c, z in (("plat", "zone_lat"), ("plon", "zone_lon"))]
+    return reached.groupBy(*zone).agg(F.count(F.lit(1)).alias("n_points"))
+
+
 def punctuality_trend(punctuality: DataFrame) -> DataFrame:
     """Punctuality by month, weighted by trains (not an average of rounded rates)."""
     planned, cancelled, late = (
