@@ -8,25 +8,38 @@ share: the tokens after it in both orders must suffice for the similarity.  The
 set and ask for that many shared tokens, which similar sets have for the same reason.  All orders put frequent tokens last (by a
 fixed-size table of counts) and break ties by hashes of their own.
 
-Equal sets are one class from the start.  Inside the list of a prefix token, members are
-first compared with one pivot only; components of these links are then settled, and what
+Equal sets are one class from the start.  The list of a prefix token is sorted by the size of the sets;
+each member is compared with the ``BACK`` before it and with the first, which are all pairs of most
+lists.  For longer ones, components of these links are then settled, and what
 remains are pairs of *different* components, of which the smaller ones are compared with
 all others of the list.  So a large group of near copies costs its size, not its square,
-and no link between components is missed.
+and no link between components is missed.  Lists and classes that are hot by a fixed-size table of
+counts are dealt out in parts.
+
+Rows are told apart by id and text.  A class is named by its least id, or, if it has none or another class
+has it too, by its 64-bit digest.  Tables and filters that have served are given back.
 """
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trainlake.llm.common import cut, map_arrow, mixed, release, rolled, scratch, text_bytes, texts, word_bounds, word_hashes
+from trainlake.llm.common import cut, map_arrow, mixed, release, rolled, scratch, slots, text_bytes, word_bounds, word_hashes
 from trainlake.llm.components import components
-from trainlake.llm.sketch import class_of, counted, frequency_classes, members
+from trainlake.llm.sketch import LOG_WIDTH, class_of, counted, frequency_classes, members
 
 SHINGLE, PERCENT = 5, 75
 #: Orders after the first, used as filters on pairs.
 FURTHER = 2
+#: Members of a list that one is compared with besides the first; so lists of up to two more are done with.
+BACK = 3
+#: Cells of the tables of counts by which hot lists and classes are found, and rows of one part.
+LOG_HOT, PART = 16, 4096
+#: Size of the filters of classes that are not named by an id.
+LOG_ODD = 22
+#: Stands for a missing id.
+NO_ID = -(2**63)
 
 
 def shingle_sets(batch: pa.RecordBatch, size: int = SHINGLE) -> list[np.ndarray]:
@@ -64,59 +77,202 @@ def _cells(column: list[np.ndarray]) -> pa.Array:
     return pa.array([x.tobytes() for x in column], pa.binary())
 
 
+def _digests_of(sets: list[np.ndarray], which: int) -> np.ndarray:
+    return np.array([int(mixed(s, which).sum(dtype=np.uint64)) for s in sets], np.uint64).view(np.int64)
+
+
+def _named(doc: np.ndarray, d1: np.ndarray) -> np.ndarray:
+    """A hash of a row's id and its set."""
+    return mixed(doc.view(np.uint64) ^ mixed(d1.view(np.uint64), 71), 72)
+
+
+def _parts(rows: DataFrame, column: str) -> DataFrame:
+    """``cell, parts``: into how many parts the rows of each cell of a column are dealt; one row a cell at most."""
+    cells = 1 << LOG_HOT
+    counts = rows.groupBy(F.pmod(F.col(column), F.lit(cells)).alias("cell")).agg(F.count("*").alias("many"))
+    usual = rows.count() // cells
+    return cut(counts.select("cell", F.ceil(F.col("many") / max(PART, 4 * usual)).alias("parts")).where("parts > 1"))
+
+
+def _dealt(rows: DataFrame, column: str, by: Column, parts: DataFrame) -> DataFrame:
+    """The rows with their ``part``, and how many ``parts`` there are where they are."""
+    cell = F.pmod(F.col(column), F.lit(1 << LOG_HOT)).alias("cell")
+    dealt = rows.select(cell, "*").join(F.broadcast(parts), "cell", "left").withColumn("parts", F.coalesce("parts", F.lit(1).cast("long")))
+    return dealt.withColumn("part", F.pmod(by, F.col("parts"))).drop("cell")
+
+
+_LIST_ROWS = "kind INT, token LONG, a LONG, b LONG, n LONG, rest LONG"
+_PAIR, _OPEN, _FIRST = range(3)
+
+
+def _walk(batches, percent: int):
+    """Rows sorted by token, part, size and id → pairs of neighbours that fit, rows of lists left open, firsts of split lists."""
+    held = None
+    for batch in batches:
+        arrays = [batch.column(c).to_numpy() for c in ("token", "part", "rep", "n", "rest", "parts")]
+        if held is not None:
+            arrays = [np.concatenate(x) for x in zip(held, arrays, strict=True)]
+        token, part = arrays[:2]
+        if not len(token):
+            continue
+        # the last list may go on in the next batch
+        last = np.flatnonzero((token != token[-1]) | (part != part[-1]))
+        done = int(last[-1]) + 1 if len(last) else 0
+        held = [x[done:] for x in arrays]
+        if done:
+            yield _compared([x[:done] for x in arrays], percent)
+    if held is not None and len(held[0]):
+        yield _compared(held, percent)
+
+
+def _compared(arrays: list[np.ndarray], percent: int) -> pa.RecordBatch:
+    token, part, rep, n, rest, parts = arrays
+    new = np.r_[True, (token[1:] != token[:-1]) | (part[1:] != part[:-1])]
+    first = np.flatnonzero(new)
+    sizes = np.diff(np.r_[first, len(token)])
+    at = np.repeat(first, sizes)
+    place = np.arange(len(token)) - at
+    ones, others = [], []
+    for back in range(1, BACK + 1):
+        i = np.flatnonzero(place >= back)
+        ones.append(i - back)
+        others.append(i)
+    i = np.flatnonzero(place > BACK)
+    ones.append(at[i])
+    others.append(i)
+    a, b = np.concatenate(ones), np.concatenate(others)
+    fits = (100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b])) & ((100 + percent) * np.minimum(rest[a], rest[b]) >= percent * (n[a] + n[b])) & (rep[a] != rep[b])
+    a, b = rep[a[fits]], rep[b[fits]]
+    pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+    # a list in parts is open as a whole, and the firsts of its parts are compared next
+    rows = np.flatnonzero(np.repeat((sizes > BACK + 2) | (parts[first] > 1), sizes))
+    split = first[parts[first] > 1]
+    none = np.zeros(pairs.shape[1], np.int64)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(np.repeat([_PAIR, _OPEN, _FIRST], [len(none), len(rows), len(split)]).astype(np.int32)),
+            *(pa.array(np.concatenate(c)) for c in ((none, token[rows], token[split]), (pairs[0], rep[rows], rep[split]), (pairs[1], rep[rows], rep[split]), (none, n[rows], n[split]), (none, rest[rows], rest[split]))),
+        ],
+        ["kind", "token", "a", "b", "n", "rest"],
+    )
+
+
 class JaccardJoin:
-    """The join over ``documents(doc_id, text)``; ``links()`` and ``groups()`` share its written tables."""
+    """The join over ``documents(doc_id, text)``."""
 
     def __init__(self, documents: DataFrame, percent: int = PERCENT, size: int = SHINGLE):
-        self.rows, self.percent, self.size = texts(documents).where(F.col("doc_id").isNotNull()), percent, size
-        self.spark = documents.sparkSession
-        self._classes = None
-
-    def _digests(self) -> DataFrame:
-        """``doc_id, n, d1, d2``: the size of each set and 128 bits that stand for it."""
+        text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+        doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
+        self.rows = documents.select(doc.alias("doc"), F.xxhash64(text).alias("mark"), text.alias("text"))
+        self.percent, self.size, self.spark = percent, size, documents.sparkSession
+        self._shared: list = []
+        self._made: list[tuple[DataFrame, str]] = []
+        self.classes, self.odd = self._classed()
+
+    # -- tables and filters for a while ---
+
+    def _cut(self, df: DataFrame) -> DataFrame:
+        """A written table that ``_free`` gives back."""
+        path = scratch(self.spark)
+        made = cut(df, path)
+        self._made.append((made, path))
+        return made
+
+    def _share(self, value):
+        shared = self.spark.sparkContext.broadcast(value)
+        self._shared.append(shared)
+        return shared
+
+    def _free(self, *tables: DataFrame) -> None:
+        """Give back these written tables; only where nothing reads them any more."""
+        for made, path in [m for m in self._made if any(m[0] is t for t in tables)]:
+            release(made, path)
+        self._made = [m for m in self._made if not any(m[0] is t for t in tables)]
+
+    def _unshare(self, *but) -> None:
+        """Destroy the filters that are out, but those; only where all that used them is written."""
+        for shared in self._shared:
+            if not any(shared is b for b in but):
+                shared.destroy()
+        self._shared = list(but)
+
+    # -- classes of equal sets ---
+
+    def _classed(self):
+        """``doc, mark, n, d1, rep, node`` of each row, and the filter of the classes that are not named by an id.
+
+        ``rep`` is the least id of an equal set (``NO_ID`` if there is none); rows without words are classes of their own.
+        """
         size = self.size
 
         def step(batch: pa.RecordBatch):
             sets = shingle_sets(batch, size)
-            sums = [[int(mixed(s, k).sum(dtype=np.uint64)) for s in sets] for k in (31, 32)]
-            d = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in sums]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), *d], ["doc_id", "n", "d1", "d2"])
-
-        return map_arrow(self.rows, step, "doc_id LONG, n LONG, d1 LONG, d2 LONG")
-
-    def classes(self) -> DataFrame:
-        """``doc_id, n, rep``: the smallest id with an equal set (the own one for empty sets); computed once."""
-        if self._classes is None:
-            digests = cut(self._digests())
-            reps = digests.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep"))
-            self._classes = cut(digests.join(reps, ["n", "d1", "d2"], "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep")))
-        return self._classes
-
-    def _prefixes(self, table, path: str) -> tuple[DataFrame, DataFrame]:
-        """The table written at ``path``, and ``rep, n, prefix``: the packed prefix of one document per class under the first order."""
-        size, percent = self.size, self.percent
-        copies = self.classes().where("doc_id <> rep").select("doc_id").distinct()
-        copied = self.spark.sparkContext.broadcast(members(copies, "doc_id"))
+            d = [pa.array(_digests_of(sets, k)) for k in (31, 32)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("mark"), pa.array([len(s) for s in sets], pa.int64()), *d], ["doc", "mark", "n", "d1", "d2"])
+
+        digests = self._cut(map_arrow(self.rows, step, "doc LONG, mark LONG, n LONG, d1 LONG, d2 LONG"))
+        sets = digests.where("n > 0")
+        known = F.when(F.col("doc") != NO_ID, F.col("doc"))
+        reps = self._cut(sets.groupBy("n", "d1", "d2").agg(F.coalesce(F.min(known), F.lit(NO_ID)).alias("rep")))
+        several = reps.where(F.col("rep") != NO_ID).groupBy("rep").agg(F.count("*").alias("many")).where("many > 1").select("rep")
+        unnamed = reps.select("rep", "d1").join(several, "rep", "left_semi").union(reps.where(F.col("rep") == NO_ID).select("rep", "d1"))
+        unnamed = self._cut(unnamed)
+        odd = counted(unnamed, lambda b: _named(b.column("rep").to_numpy(), b.column("d1").to_numpy()), 1, LOG_ODD)
+        self.odd_ids = counted(unnamed, lambda b: b.column("rep").to_numpy().view(np.uint64), 1, LOG_ODD)
+        shared = self._share(odd)
+
+        def name(batch: pa.RecordBatch):
+            rep, d1 = batch.column("rep").to_numpy(), batch.column("d1").to_numpy()
+            node = np.where(shared.value.holds(_named(rep, d1)), d1, rep)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(node)], [*batch.schema.names, "node"])
+
+        # a hot class meets its name in parts
+        parts = _parts(sets, "d1")
+        names = reps.select(F.pmod("d1", F.lit(1 << LOG_HOT)).alias("cell"), "*").join(F.broadcast(parts), "cell", "left")
+        last = F.coalesce("parts", F.lit(1)) - 1
+        names = names.select("n", "d1", "d2", "rep", F.explode(F.sequence(F.lit(0).cast("long"), last.cast("long"))).alias("part"))
+        named = _dealt(sets, "d1", F.xxhash64(F.monotonically_increasing_id()), parts)
+        named = named.join(names, ["n", "d1", "d2", "part"]).select("doc", "mark", "n", "d1", "rep")
+        empty = digests.where("n = 0").select("doc", "mark", "n", "d1", F.col("doc").alias("rep"))
+        classes = cut(map_arrow(named.unionByName(empty), name, "doc LONG, mark LONG, n LONG, d1 LONG, rep LONG, node LONG"))
+        self._free(digests, reps, unnamed)
+        self._unshare()
+        return classes, odd
+
+    def _copied(self):
+        """The rows (by id and set) that stand not for their class, or more than once, and their filter."""
+        copies = self.classes.where("n > 0").groupBy("doc", "d1").agg(F.count("*").alias("many"), F.first("rep").alias("rep")).where("doc <> rep OR many > 1")
+        copies = self._cut(copies.select("doc", "d1", (F.col("doc") != F.col("rep")).alias("copy")))
+        return copies, counted(copies, lambda b: _named(b.column("doc").to_numpy(), b.column("d1").to_numpy()), 1, LOG_WIDTH - 2)
+
+    def _each(self, value_of, name: str, wanted=None) -> tuple[DataFrame, DataFrame]:
+        """``node, n, <name>``: ``value_of`` the sets of one row per class (of those wanted), and the written table behind it."""
+        size, odd, odd_ids, copied = self.size, *map(self._share, (self.odd, self.odd_ids, self.copied))
 
         def step(batch: pa.RecordBatch):
-            doc = batch.column("doc_id").to_numpy()
-            sets = shingle_sets(batch, size)
-            made = [_ordered(s, table.value, 0)[: _prefix(len(s), percent)] for s in sets]
-            unsure = copied.value.holds(doc.view(np.uint64))
+            if wanted is not None:
+                doc = batch.column("doc").to_numpy().view(np.uint64)
+                batch = batch.filter(pa.array(wanted.value.holds(doc) | odd_ids.value.holds(doc)))
+            doc, sets = batch.column("doc").to_numpy(), shingle_sets(batch, size)
+            d1 = _digests_of(sets, 31)
+            named = _named(doc, d1)
+            node = np.where(odd.value.holds(named), d1, doc)
             keep = np.array([len(s) > 0 for s in sets], bool)
-            batch = pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), _cells(made), pa.array(unsure)], ["rep", "n", "prefix", "unsure"])
-            yield batch.filter(pa.array(keep))
+            if wanted is not None:
+                keep &= wanted.value.holds(node.view(np.uint64))
+            values = pa.array([value_of(s) if k else b"" for s, k in zip(sets, keep.tolist(), strict=True)], pa.binary())
+            columns = [pa.array(doc), pa.array(d1), pa.array(node), pa.array([len(s) for s in sets], pa.int64()), values, pa.array(copied.value.holds(named))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc", "d1", "node", "n", name, "unsure"]).filter(pa.array(keep))
 
-        made = cut(map_arrow(self.rows, step, "rep LONG, n LONG, prefix BINARY, unsure BOOLEAN"), path)
-        sure = made.where("not unsure").drop("unsure")
-        others = made.where("unsure").drop("unsure").join(copies.withColumnRenamed("doc_id", "rep"), "rep", "left_anti")
-        return made, sure.union(others)
+        made = self._cut(map_arrow(self.rows.select("doc", "text"), step, f"doc LONG, d1 LONG, node LONG, n LONG, {name} BINARY, unsure BOOLEAN"))
+        unsure = made.where("unsure").dropDuplicates(["doc", "d1"]).join(self.copies.where("copy").select("doc", "d1"), ["doc", "d1"], "left_anti")
+        return made.where("not unsure").select("node", "n", name).union(unsure.select("node", "n", name)), made
 
     def _postings(self, table) -> DataFrame:
         """``token, rep, n, rest`` (how many tokens of the set don't come before it) for prefix tokens that some other class may have in its prefix too."""
-        path = scratch(self.spark)
-        made, prefixes = self._prefixes(table, path)
-        twice = self.spark.sparkContext.broadcast(counted(prefixes.select("prefix"), lambda b: np.frombuffer(b"".join(b.column("prefix").to_pylist()), np.uint64)))
+        percent = self.percent
+        prefixes, behind = self._each(lambda s: _ordered(s, table.value, 0)[: _prefix(len(s), percent)].tobytes(), "prefix")
+        twice = self._share(counted(prefixes.select("prefix"), lambda b: np.frombuffer(b"".join(b.column("prefix").to_pylist()), np.uint64)))
 
         def step(batch: pa.RecordBatch):
             blobs = batch.column("prefix").to_pylist()
@@ -126,104 +282,121 @@ class JaccardJoin:
             rest = batch.column("n").to_numpy()[row] - (np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes))
             keep = twice.value.holds(tokens)
             tokens, row, rest = tokens[keep], pa.array(row[keep]), rest[keep]
-            yield pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64)), batch.column("rep").take(row), batch.column("n").take(row), pa.array(rest)], ["token", "rep", "n", "rest"])
+            yield pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64)), batch.column("node").take(row), batch.column("n").take(row), pa.array(rest)], ["token", "rep", "n", "rest"])
 
-        postings = cut(map_arrow(prefixes.select("prefix", "rep", "n"), step, "token LONG, rep LONG, n LONG, rest LONG"))
-        release(made, path)
+        postings = self._cut(map_arrow(prefixes.select("prefix", "node", "n"), step, "token LONG, rep LONG, n LONG, rest LONG"))
+        self._free(behind)
+        self._unshare(table)
         return postings
 
+    def _lists(self, postings: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Pairs (a, b) of neighbours in the lists that fit, and the rows of lists that these don't settle.
+
+        They fit if sizes, and the tokens left from the shared one on, allow the similarity: with ``o`` tokens in
+        common, ``100 o`` is at least ``percent`` of ``na + nb - o``.
+        """
+        percent = self.percent
+
+        def compared(rows: DataFrame) -> DataFrame:
+            dealt = rows.repartition(slots(self.spark), "token", "part").sortWithinPartitions("token", "part", "n", "rep")
+            return self._cut(dealt.select("token", "part", "rep", "n", "rest", "parts").mapInArrow(lambda batches: _walk(batches, percent), _LIST_ROWS))
+
+        found = [compared(_dealt(postings, "token", F.xxhash64("rep"), _parts(postings, "token")))]
+        # the firsts of the parts of a list are a list again
+        found.append(compared(found[0].where(f"kind = {_FIRST}").select("token", F.lit(0).cast("long").alias("part"), F.col("a").alias("rep"), "n", "rest", F.lit(1).cast("long").alias("parts"))))
+        pairs = self._cut(found[0].where(f"kind = {_PAIR}").union(found[1].where(f"kind = {_PAIR}")).select("a", "b").distinct())
+        open_ = self._cut(found[0].where(f"kind = {_OPEN}").select("token", F.col("a").alias("rep"), "n", "rest"))
+        self._free(postings, *found)
+        return pairs, open_
+
     def _fits(self):
-        """Whether sizes, and the tokens left from a shared one on, allow the similarity: with ``o`` tokens in
-        common, ``100 o`` is at least ``percent`` of ``na + nb - o``."""
+        """As in ``_lists``, for columns ``na, ra, nb, rb``."""
         sizes = F.lit(100) * F.least("na", "nb") >= F.lit(self.percent) * F.greatest("na", "nb")
         return sizes & (F.lit(100 + self.percent) * F.least("ra", "rb") >= F.lit(self.percent) * (F.col("na") + F.col("nb")))
 
-    def _close(self, pairs: DataFrame) -> DataFrame:
-        """Pairs (a, na, ra, b, nb, rb) that ``_fits``, once each, smaller id first."""
-        return pairs.where(self._fits() & (F.col("a") != F.col("b"))).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    def _among(self, nodes: DataFrame):
+        """A filter that holds all of ``nodes(rep)``."""
+        return self._share(members(nodes, "rep"))
 
-    def _filters(self, postings: DataFrame, table) -> DataFrame:
-        """``rep, others``: the marks of the prefixes under further orders, of all classes with a partner in some list."""
-        size, percent = self.size, self.percent
-        shared = postings.groupBy("token").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select("token")
-        partners = postings.join(shared, "token", "left_semi").select("rep").distinct()
-        wanted = self._holding(partners)
+    def _marks(self, pairs: DataFrame, open_: DataFrame, table) -> DataFrame:
+        """``node, n, marks``: those of the prefixes under further orders, of all classes that may be in a pair."""
+        percent = self.percent
+        wanted = self._among(pairs.select(F.explode(F.array("a", "b")).alias("rep")).union(open_.select("rep")))
 
-        def step(batch: pa.RecordBatch):
-            batch = wanted(batch, "doc_id")
-            sets = shingle_sets(batch, size)
-            others = [_marked([_ordered(s, table.value, o)[: _prefix(len(s), percent) - 1 + _more(len(s))] for o in range(1, FURTHER + 1)], len(s)) for s in sets]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(others, pa.binary())], ["rep", "others"])
-
-        return cut(map_arrow(self.rows, step, "rep LONG, others BINARY"))
+        def marks(s: np.ndarray) -> bytes:
+            return _marked([_ordered(s, table.value, o)[: _prefix(len(s), percent) - 1 + _more(len(s))] for o in range(1, FURTHER + 1)], len(s))
 
-    def _holding(self, nodes: DataFrame):
-        """A function that keeps the rows of a batch whose id is (most likely) among ``nodes(rep)``."""
-        sketch = self.spark.sparkContext.broadcast(members(nodes, "rep"))
+        return self._each(marks, "marks", wanted)
 
-        def only(batch: pa.RecordBatch, column: str = "rep") -> pa.RecordBatch:
-            return batch.filter(pa.array(sketch.value.holds(batch.column(column).to_numpy().view(np.uint64)), pa.bool_()))
+    def _joined(self, pairs: DataFrame, own: DataFrame, name: str) -> DataFrame:
+        """Pairs with a packed column of both sides, first ``x`` and ``y``; those not in a pair are left behind before the shuffle."""
+        asked = self._among(pairs.select(F.explode(F.array("a", "b")).alias("rep")))
 
-        return only
+        def step(batch: pa.RecordBatch):
+            yield batch.filter(pa.array(asked.value.holds(batch.column("node").to_numpy().view(np.uint64)), pa.bool_()))
 
-    def _verified(self, pairs: DataFrame, filters: DataFrame) -> DataFrame:
-        """Of candidate pairs (a, b) those that pass all further orders and then the comparison of whole sets.
+        own = map_arrow(own.select("node", name), step, f"node LONG, {name} BINARY")
+        both = pairs.join(own.select(F.col("node").alias("a"), F.col(name).alias("x")), "a").join(own.select(F.col("node").alias("b"), F.col(name).alias("y")), "b")
+        return both.select("x", "y", "a", "b")
 
-        Marks and sets are cut down to the ids in the pairs before they are shuffled.
-        """
-        percent, size = self.percent, self.size
-        asked = self._holding(pairs.select(F.explode(F.array("a", "b")).alias("rep")))
-        own = map_arrow(filters, lambda batch: iter([asked(batch)]), "rep LONG, others BINARY")
-        joined = pairs.join(own.select(F.col("rep").alias("a"), F.col("others").alias("oa")), "a").join(own.select(F.col("rep").alias("b"), F.col("others").alias("ob")), "b")
+    def _verified(self, pairs: DataFrame, marks: DataFrame) -> DataFrame:
+        """Of candidate pairs (a, b) those that pass all further orders and then the comparison of whole sets; written."""
+        percent = self.percent
 
         def agree(batch: pa.RecordBatch):
-            ok = [_share_all(x, y) for x, y in zip(batch.column("oa").to_pylist(), batch.column("ob").to_pylist(), strict=True)]
+            ok = [_share_all(x, y) for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-        passed = cut(map_arrow(joined.select("oa", "ob", "a", "b"), agree, "a LONG, b LONG"))
-        left = self._holding(passed.select(F.explode(F.array("a", "b")).alias("rep")))
-
-        def sets(batch: pa.RecordBatch):
-            batch = left(batch, "doc_id")
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), _cells(shingle_sets(batch, size))], ["rep", "tokens"])
-
-        whole = cut(map_arrow(self.rows, sets, "rep LONG, tokens BINARY"))
-        joined = passed.join(whole.select(F.col("rep").alias("a"), F.col("tokens").alias("ta")), "a").join(whole.select(F.col("rep").alias("b"), F.col("tokens").alias("tb")), "b")
+        passed = self._cut(map_arrow(self._joined(pairs, marks, "marks"), agree, "a LONG, b LONG"))
+        wanted = self._among(passed.select(F.explode(F.array("a", "b")).alias("rep")))
+        whole, behind = self._each(lambda s: s.tobytes(), "tokens", wanted)
 
         def compare(batch: pa.RecordBatch):
             ok = []
-            for x, y in zip(batch.column("ta").to_pylist(), batch.column("tb").to_pylist(), strict=True):
+            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 ok.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-        return map_arrow(joined.select("ta", "tb", "a", "b"), compare, "a LONG, b LONG")
+        links = cut(map_arrow(self._joined(passed, whole, "tokens"), compare, "a LONG, b LONG"))
+        self._free(passed, behind)
+        return links
 
-    def groups(self) -> DataFrame:
-        """``doc_id, n_shingles, component_id`` for every row with an id; documents without words stay alone."""
+    def links(self) -> DataFrame:
+        """``a, b``: linked pairs of classes (by ``node``); with ``classes`` they connect all that is linked, though
+        not all pairs within a component are listed."""
         size = self.size
-        table = self.spark.sparkContext.broadcast(frequency_classes(self.rows.select("text"), lambda b: _all(shingle_sets(b, size))))
-        postings = self._postings(table)
-        filters = self._filters(postings, table)
-        # each member of a list with its least and its greatest one
-        ends = postings.groupBy("token").agg(F.min(F.struct("rep", "n", "rest")).alias("lo"), F.max(F.struct("rep", "n", "rest")).alias("hi")).where("lo.rep < hi.rep")
-        star = postings.join(ends, "token").select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("rest").alias("ra"), F.explode(F.array("lo", "hi")).alias("p"))
-        star = cut(self._close(star.select("a", "na", "ra", F.col("p.rep").alias("b"), F.col("p.n").alias("nb"), F.col("p.rest").alias("rb"))))
-        links = cut(self._verified(star, filters))
+        table = self._share(frequency_classes(self.rows.select("text"), lambda b: _all(shingle_sets(b, size))))
+        self.copies, self.copied = self._copied()
+        pairs, open_ = self._lists(self._postings(table))
+        marks, behind = self._marks(pairs, open_, table)
+        links = self._verified(pairs, marks)
         found = cut(components(links))
         # lists that still hold several components: all but the largest against everything outside their own
-        placed = postings.join(found, F.col("rep") == F.col("node"), "left").select("token", "rep", "n", "rest", F.coalesce("component", "rep").alias("component"))
+        placed = open_.join(found, F.col("rep") == F.col("node"), "left").select("token", "rep", "n", "rest", F.coalesce("component", "rep").alias("component"))
         sizes = placed.groupBy("token", "component").agg(F.count("*").alias("many"))
         main = sizes.groupBy("token").agg(F.max_by("component", F.struct("many", "component")).alias("main"), F.count("*").alias("kinds")).where("kinds > 1").select("token", "main")
-        open_ = cut(placed.join(main, "token"))
-        few = open_.where("component <> main").select("token", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("rest").alias("ra"), F.col("component").alias("ca"))
-        all_ = open_.select("token", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("rest").alias("rb"), F.col("component").alias("cb"))
-        crossing = self._close(few.join(all_, (few["token"] == all_["token"]) & (F.col("ca") != F.col("cb")) & self._fits())).join(star, ["a", "b"], "left_anti")
-        more = self._verified(cut(crossing), filters)
-        joined = components(links.union(more))
-        grouped = self.classes().join(joined, F.col("rep") == F.col("node"), "left")
-        return grouped.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
+        left = self._cut(placed.join(main, "token"))
+        few = left.where("component <> main").select("token", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("rest").alias("ra"), F.col("component").alias("ca"))
+        all_ = left.select("token", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("rest").alias("rb"), F.col("component").alias("cb"))
+        crossing = few.join(all_, (few["token"] == all_["token"]) & (F.col("ca") != F.col("cb")) & self._fits())
+        crossing = crossing.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
+        crossing = self._cut(crossing)
+        self._free(open_, left)
+        more = self._verified(crossing, marks)
+        self._free(behind, pairs, crossing, self.copies)
+        self._unshare()
+        return links.union(more)
+
+    def groups(self) -> DataFrame:
+        """``doc, mark, n, rep, node, component, least`` of every row: its component's node, and the least id in it (``NO_ID`` if it has none)."""
+        known = F.when(F.col("rep") != NO_ID, F.col("rep"))
+        found = cut(components(self.links()))
+        named = self.classes.select("node", "rep").distinct().join(found, "node")
+        least = named.groupBy("component").agg(F.coalesce(F.min(known), F.lit(NO_ID)).alias("least"))
+        placed = self.classes.join(found.join(least, "component"), "node", "left")
+        return placed.select("doc", "mark", "n", "rep", "node", F.coalesce("component", "node").alias("component"), F.coalesce("least", "rep").alias("least"))
 
 
 def _all(sets: list[np.ndarray]) -> np.ndarray:
@@ -255,11 +428,32 @@ def _share_all(x: bytes, y: bytes) -> bool:
 
 
 def linked_groups(documents: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
-    """Per document the size of its shingle set and the smallest id it is linked with over any number of links."""
-    return JaccardJoin(documents, percent, size).groups()
+    """Per document the size of its shingle set and the smallest id it is linked with over any number of links.
+
+    NULL and wordless texts are linked with nothing.  Rows without an id are linked as all others, but lend no id:
+    where no linked row has one, ``component_id`` is NULL.  Rows that repeat an id are told apart by their texts.
+    """
+    found = JaccardJoin(documents, percent, size).groups()
+    given = {c: F.when(F.col(c) != NO_ID, F.col(c)) for c in ("doc", "least")}
+    return found.select(given["doc"].alias("doc_id"), F.col("n").alias("n_shingles"), given["least"].alias("component_id"))
 
 
 def keep_one_of_each(documents: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
-    """The documents that stand for their group (its smallest id), and all rows without an id; columns unchanged."""
-    gone = linked_groups(documents, percent, size).where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return documents.join(gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
+    """One document of each group: that with its smallest id, if any has one; columns unchanged.
+
+    Documents without words are in no group and stay, also where they repeat.
+    """
+    found = JaccardJoin(documents, percent, size).groups()
+    rows = cut(found.where("n > 0").select("doc", "mark", "component"))
+    # a row without an id counts only where there is no other
+    order = F.struct(F.col("doc") == NO_ID, "doc", "mark")
+    first = rows.groupBy("component").agg(F.min(order).alias("first"))
+    gone = rows.join(first, "component").where("doc <> first.doc OR mark <> first.mark").select("doc", "mark").distinct()
+    again = rows.groupBy("doc", "mark").agg(F.count("*").alias("many")).where("many > 1").select("doc", "mark")
+    gone, again = (df.select(F.col("doc").alias("__doc"), F.col("mark").alias("__mark")) for df in (cut(gone), cut(again)))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    keyed = documents.withColumns({"__doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "__mark": F.xxhash64(text)})
+    kept = keyed.join(gone, ["__doc", "__mark"], "left_anti")
+    single = kept.join(again, ["__doc", "__mark"], "left_anti")
+    repeated = kept.join(again, ["__doc", "__mark"], "left_semi").dropDuplicates(["__doc", "__mark"])
+    return single.unionByName(repeated).select(*[f"`{c}`" for c in documents.columns])

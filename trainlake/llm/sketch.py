@@ -111,18 +111,24 @@ def frequency_classes(df: DataFrame, tokens_of: Callable[[pa.RecordBatch], np.nd
         for k in range(cells // part):
             own = held[k * part : (k + 1) * part]
             if own.any():
-                at = np.flatnonzero(own)
-                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([at.astype("<u2").tobytes()], pa.binary()), pa.array([own[at].astype("<u4").tobytes()], pa.binary())], ["part", "at", "n"])
+                # most cells hold little, so the counts of a part are sent in as few bytes as they need
+                small = np.minimum(own, 255).astype(np.uint8)
+                large = np.flatnonzero(own >= 255)
+                rest = np.stack([large, own[large]]).astype("<u4")
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([_small(small)], pa.binary()), pa.array([rest.tobytes()], pa.binary())], ["part", "small", "rest"])
 
     def total(batches):
         held: dict[int, np.ndarray] = {}
         for batch in batches:
-            for k, at, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                held.setdefault(k, np.zeros(part, np.int64))[np.frombuffer(at, "<u2")] += np.frombuffer(n, "<u4")
+            for k, small, rest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                n = _large(small, part).astype(np.int64)
+                at, many = np.frombuffer(rest, "<u4").reshape(2, -1)
+                n[at] = many
+                held.setdefault(k, np.zeros(part, np.int64))[:] += n
         for k, n in held.items():
             yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([n.astype("<i8").tobytes()], pa.binary())], ["part", "n"])
 
-    parts = df.mapInArrow(count, "part LONG, at BINARY, n BINARY").repartition(slots(df.sparkSession), "part").mapInArrow(total, "part LONG, n BINARY")
+    parts = df.mapInArrow(count, "part LONG, small BINARY, rest BINARY").repartition(slots(df.sparkSession), "part").mapInArrow(total, "part LONG, n BINARY")
     sums = np.zeros(cells, np.float32)
     for batch in parts.toArrow().to_batches():  # at most 8 bytes a cell
         for k, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -132,6 +138,14 @@ def frequency_classes(df: DataFrame, tokens_of: Callable[[pa.RecordBatch], np.nd
     return np.where(over > 1, 1 + np.log2(np.maximum(over, 1)), 0).astype(np.uint8)
 
 
+def _small(counts: np.ndarray) -> bytes:
+    return pa.compress(counts.tobytes(), codec="zstd", asbytes=True)
+
+
+def _large(packed: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(packed, n, codec="zstd", asbytes=True), np.uint8)
+
+
 def _cell(tokens: np.ndarray) -> np.ndarray:
     return (mixed(tokens, 77) >> np.uint64(64 - LOG_CELLS)).astype(np.int64)
 
