@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from trainlake.llm.common import cut, map_arrow, mixed, release, rolled, scratch, slots, text_bytes, word_bounds, word_hashes
 from trainlake.llm.components import components
-from trainlake.llm.sketch import LOG_WIDTH, class_of, counted, frequency_classes, members
+from trainlake.llm.sketch import class_of, counted, frequency_classes, members
 
 SHINGLE, PERCENT = 5, 75
 #: Orders after the first, used as filters on pairs.
@@ -36,8 +36,8 @@ FURTHER = 2
 BACK = 3
 #: Cells of the tables of counts by which hot lists and classes are found, and rows of one part.
 LOG_HOT, PART = 16, 4096
-#: Size of the filters of classes that are not named by an id.
-LOG_ODD = 22
+#: Sizes of the filters of classes that are not named by an id, and of classes in play.
+LOG_ODD, LOG_NODES = 20, 23
 #: Stands for a missing id.
 NO_ID = -(2**63)
 
@@ -243,7 +243,7 @@ class JaccardJoin:
         """The rows (by id and set) that stand not for their class, or more than once, and their filter."""
         copies = self.classes.where("n > 0").groupBy("doc", "d1").agg(F.count("*").alias("many"), F.first("rep").alias("rep")).where("doc <> rep OR many > 1")
         copies = self._cut(copies.select("doc", "d1", (F.col("doc") != F.col("rep")).alias("copy")))
-        return copies, counted(copies, lambda b: _named(b.column("doc").to_numpy(), b.column("d1").to_numpy()), 1, LOG_WIDTH - 2)
+        return copies, counted(copies, lambda b: _named(b.column("doc").to_numpy(), b.column("d1").to_numpy()), 1, LOG_NODES)
 
     def _each(self, value_of, name: str, wanted=None) -> tuple[DataFrame, DataFrame]:
         """``node, n, <name>``: ``value_of`` the sets of one row per class (of those wanted), and the written table behind it."""
@@ -316,7 +316,7 @@ class JaccardJoin:
 
     def _among(self, nodes: DataFrame):
         """A filter that holds all of ``nodes(rep)``."""
-        return self._share(members(nodes, "rep"))
+        return self._share(members(nodes, "rep", LOG_NODES))
 
     def _marks(self, pairs: DataFrame, open_: DataFrame, table) -> DataFrame:
         """``node, n, marks``: those of the prefixes under further orders, of all classes that may be in a pair."""
@@ -348,8 +348,10 @@ class JaccardJoin:
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
         passed = self._cut(map_arrow(self._joined(pairs, marks, "marks"), agree, "a LONG, b LONG"))
+        self._unshare()
         wanted = self._among(passed.select(F.explode(F.array("a", "b")).alias("rep")))
         whole, behind = self._each(lambda s: s.tobytes(), "tokens", wanted)
+        self._unshare()
 
         def compare(batch: pa.RecordBatch):
             ok = []
@@ -361,6 +363,7 @@ class JaccardJoin:
 
         links = cut(map_arrow(self._joined(passed, whole, "tokens"), compare, "a LONG, b LONG"))
         self._free(passed, behind)
+        self._unshare()
         return links
 
     def links(self) -> DataFrame:
@@ -371,6 +374,7 @@ class JaccardJoin:
         self.copies, self.copied = self._copied()
         pairs, open_ = self._lists(self._postings(table))
         marks, behind = self._marks(pairs, open_, table)
+        self._unshare()
         links = self._verified(pairs, marks)
         found = cut(components(links))
         # lists that still hold several components: all but the largest against everything outside their own
@@ -386,7 +390,6 @@ class JaccardJoin:
         self._free(open_, left)
         more = self._verified(crossing, marks)
         self._free(behind, pairs, crossing, self.copies)
-        self._unshare()
         return links.union(more)
 
     def groups(self) -> DataFrame:

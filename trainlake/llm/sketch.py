@@ -154,6 +154,6 @@ def class_of(tokens: np.ndarray, classes: np.ndarray) -> np.ndarray:
     return classes[_cell(tokens)]
 
 
-def members(df: DataFrame, column: str) -> Sketch:
+def members(df: DataFrame, column: str, log_width: int = LOG_WIDTH) -> Sketch:
     """A filter of the longs in a column: holds all of them, and few others."""
-    return counted(df.select(F.col(column).cast("long").alias("value")), lambda b: b.column("value").drop_null().to_numpy(zero_copy_only=False).view(np.uint64), 1)
+    return counted(df.select(F.col(column).cast("long").alias("value")), lambda b: b.column("value").drop_null().to_numpy(zero_copy_only=False).view(np.uint64), 1, log_width)
