@@ -35,7 +35,7 @@ def test_exact_words_stems_and_words_not_sought():
     lexicon = Lexicon(WORDS)
     assert lexicon.weight("scum!?") == (5.0, False) and lexicon.weight("oaf") == (2.0, False)
     assert lexicon.weight("vequoble") == (BY_STEM * 3.0, False) and lexicon.weight("vequaire") == (3.5, False)
-    assert lexicon.weight("vequ") == (0.0, True)  # a stem needs an ending
+    assert lexicon.weight("vequ") == (0.0, False)  # a stem needs an ending
     assert Lexicon(WORDS, frozenset({"loser"})).misspelled("skum") == []
 
 
@@ -58,7 +58,30 @@ def test_swaps_are_one_edit():
         assert found == {w: distance(word, w) for w in lexicon if distance(word, w) <= most}
         # the filter before the automaton loses none
         for w in found:
-            assert not toxicity._less(word, most).isdisjoint(toxicity._less(w, most))
+            size, letters, pairs = (x[0] for x in toxicity._outlines([word]))
+            own_size, own_letters, own_pairs = (x[0] for x in toxicity._outlines([w]))
+            assert abs(size - own_size) <= most and (letters ^ own_letters).item().bit_count() <= 2 * most
+            assert (pairs & own_pairs).item().bit_count() >= own_pairs.item().bit_count() - 3 * most
+
+
+def test_tokens_are_learned_in_bulk_as_one_by_one():
+    r = random.Random(2)
+    tokens = {"".join(r.choice("scumloserwth") for _ in range(r.randint(0, 11))) for _ in range(3000)} | set(WORDS) | {w[:i] + w[i + 1 :] for w in WORDS for i in range(len(w))} | {"a\0b", "scum\0", "é" * 9, "!!"}
+    together = Lexicon(WORDS)
+    together.learn(tokens)
+    assert len(together.hits) > 10
+    for token in tokens:
+        alone = Lexicon(WORDS).weight(token) if token in together.hits or r.random() < 0.05 else (0.0, False)
+        assert together.hits.get(token, (0.0, False)) == alone
+        assert token in together.hits or not together.misspelled(toxicity.plain(token)) or toxicity.plain(token) in WORDS
+
+
+def test_the_store_of_tokens_is_bounded(monkeypatch):
+    monkeypatch.setattr(Lexicon, "MOST", 10)
+    lexicon = Lexicon(WORDS)
+    for i in range(50):
+        assert lexicon.features(f"word{i} other{i} scum") == [5.0, 0.0, math.log1p(1), 0.0, 0.0]
+    assert len(lexicon.seen) < 20
 
 
 def test_every_hit_counts():

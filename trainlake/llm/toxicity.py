@@ -139,59 +139,120 @@ def _less(word: str, letters: int) -> set[str]:
     return out
 
 
+def _outlines(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Length, and sets of (hashed) letters and of neighbouring letters as bits, of each word."""
+    codes = np.frombuffer("".join(w.replace("\0", "\1") + "\0" for w in words).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    ends = np.flatnonzero(codes == 0)
+    starts = np.r_[0, ends[:-1] + 1][: len(ends)]
+    one = np.uint64(1)
+    letters = np.where(codes > 0, one << (codes % np.uint64(61)), np.uint64(0))
+    pairs = np.zeros(len(codes), np.uint64)
+    inside = (codes[:-1] > 0) & (codes[1:] > 0)
+    pairs[:-1][inside] = one << ((codes[:-1] * np.uint64(31) + codes[1:])[inside] % np.uint64(61))
+    if not len(starts):
+        return starts, letters, pairs
+    return ends - starts, np.bitwise_or.reduceat(letters, starts), np.bitwise_or.reduceat(pairs, starts)
+
+
 class Lexicon:
-    """Weights of entries; ``weight`` of any token, kept for tokens met before (up to a stated number).
+    """Weights of entries; ``learn`` finds those of tokens, which are kept (up to a stated number).
 
     ``sought``: the whole words that are looked for misspelled, by default all.
     """
 
-    MOST = 400_000
+    MOST, CHUNK = 400_000, 4096
 
     def __init__(self, entries: dict[str, float], sought: frozenset[str] | None = None):
         self.entries = entries
         self.sought = frozenset(w for w in entries if not w.endswith("*") and edits_of(w)) if sought is None else sought
         self.trie = Trie(sorted(self.sought))
-        # by number of edits: lengths that neighbours have, and what they have in common with a word
-        self.around = {e: (range(min(map(len, own)) - e, max(map(len, own)) + e + 1), {d for w in own for d in _less(w, e)}) for e in (1, 2) if (own := [w for w in self.sought if edits_of(w) == e])}
-        self.kept: dict[str, tuple[float, bool]] = {}
+        by_edits = {e: own for e in (1, 2) if (own := sorted(w for w in self.sought if edits_of(w) == e))}
+        self.outlines = {e: _outlines(own) for e, own in by_edits.items()}
+        self.less = {e: frozenset().union(*(_less(w, e) for w in own)) for e, own in by_edits.items()}
+        self.stems = tuple(n for n in STEMS if any(e.endswith("*") and len(e) == n + 1 for e in entries))
+        #: tokens met before, and (weight, misspelled) of those with a weight
+        self.seen: set[str] = set()
+        self.hits: dict[str, tuple[float, bool]] = {}
+
+    def perhaps_misspelled(self, words: list[str]) -> list[str]:
+        """Those of the words that may be within the edits of a word sought, by their outlines, then by what is left of both without a few letters.
+
+        An edit changes the length by one, the set of letters by two and takes three neighbourhoods away at most.
+        """
+        out = []
+        for first in range(0, len(words), self.CHUNK):
+            chunk = words[first : first + self.CHUNK]
+            size, letters, pairs = (x[:, None] for x in _outlines(chunk))
+            found = set()
+            for e, (sizes, own_letters, own_pairs) in self.outlines.items():
+                ok = np.abs(size - sizes[None, :]) <= e
+                ok &= np.bitwise_count(letters ^ own_letters[None, :]) <= 2 * e
+                ok &= np.bitwise_count(pairs & own_pairs[None, :]) + np.uint8(3 * e) >= np.bitwise_count(own_pairs)[None, :]
+                found.update(i for i in np.flatnonzero(ok.any(axis=1)).tolist() if i not in found and not self.less[e].isdisjoint(_less(chunk[i], e)))
+            out += [chunk[i] for i in sorted(found)]
+        return out
 
     def misspelled(self, word: str) -> list[str]:
         """The entries of which the word is a misspelling."""
-        most = max((e for e, (sizes, common) in self.around.items() if len(word) in sizes and not common.isdisjoint(_less(word, e))), default=0)
+        most = max((e for e in self.outlines if len(word) + e >= 4 * e), default=0)
         if not most:
             return []
         return [w for w, e in LevenshteinAutomaton(word, most, swaps=True).matches(self.trie) if 0 < e <= edits_of(w)]
 
+    def learn(self, tokens: set[str]) -> None:
+        """See to it that the lower-case tokens are among those ``seen``."""
+        new = tokens - self.seen
+        if not new:
+            return
+        if len(self.seen) >= self.MOST:
+            self.seen, self.hits, new = set(), {}, tokens
+        self.seen |= new
+        open_: dict[str, list[str]] = {}
+        entries, stems = self.entries, self.stems
+        for token in new:
+            word = plain(token)
+            weight = entries.get(word, 0.0)
+            for n in stems:
+                if n < len(word) and (by_stem := BY_STEM * entries.get(word[:n] + "*", 0.0)) > weight:
+                    weight = by_stem
+            if weight:
+                self.hits[token] = (weight, False)
+            else:
+                open_.setdefault(word, []).append(token)
+        for word in self.perhaps_misspelled(list(open_)):
+            if found := self.misspelled(word):
+                weight = max(entries[w] for w in found)
+                self.hits.update((token, (weight, True)) for token in open_[word])
+
     def weight(self, token: str) -> tuple[float, bool]:
         """(weight, misspelled) of a lower-case token; 0 for tokens without an entry."""
-        if (known := self.kept.get(token)) is None:
-            word = plain(token)
-            exact = max([self.entries.get(word, 0.0), *(BY_STEM * self.entries.get(word[:n] + "*", 0.0) for n in STEMS if n < len(word))])
-            known = (exact, False) if exact else (max((self.entries[w] for w in self.misspelled(word)), default=0.0), True)
-            if len(self.kept) >= self.MOST:
-                self.kept.clear()
-            self.kept[token] = known
-        return known
+        self.learn({token})
+        return self.hits.get(token, (0.0, False))
 
     def features(self, text: str) -> list[float]:
-        tokens = text.lower().split()
-        kept, weight = self.kept, self.weight
-        try:
-            hits = [i for i, t in enumerate(tokens) if (kept[t] if t in kept else weight(t))[0]]
-        except KeyError:  # the store was emptied in between
-            hits = [i for i, t in enumerate(tokens) if weight(t)[0]]
-        if not hits:
+        return self.features_of([text])[0]
+
+    def features_of(self, texts: list[str]) -> list[list[float]]:
+        split = [text.lower().split() for text in texts]
+        self.learn(set().union(*split))
+        return [self._features(tokens) for tokens in split]
+
+    def _features(self, tokens: list[str]) -> list[float]:
+        hits = self.hits
+        if hits.keys().isdisjoint(tokens):
             return [0.0] * 5
         abuse: dict[str, float] = {}
         quoted = near = 0.0
-        for i in hits:
-            w, misspelled = weight(tokens[i])
+        for i, token in enumerate(tokens):
+            if token not in hits:
+                continue
+            w, misspelled = hits[token]
             w *= MISSPELLED if misspelled else 1.0
             if _quotation(tokens, i):
                 quoted += w
                 w *= QUOTED
             near += misspelled
-            word = plain(tokens[i])
+            word = plain(token)
             abuse[word] = max(abuse.get(word, 0.0), w)
         each = sorted(abuse.values(), reverse=True)
         return [each[0], sum(each[1:]), math.log1p(len(each)), math.log1p(near), math.log1p(quoted)]
@@ -211,8 +272,11 @@ class Model:
         self.lexicon, self.weights = lexicon, weights
 
     def score(self, text: str) -> float:
-        z = float(self.weights[0] + np.dot(self.weights[1:], self.lexicon.features(text)))
-        return 1 / (1 + math.exp(-max(-35.0, min(35.0, z))))
+        return self.scores([text])[0]
+
+    def scores(self, texts: list[str]) -> list[float]:
+        z = [float(self.weights[0] + np.dot(self.weights[1:], f)) for f in self.lexicon.features_of(texts)]
+        return [1 / (1 + math.exp(-max(-35.0, min(35.0, x)))) for x in z]
 
 
 def _training(documents: DataFrame, labels: DataFrame, most: int) -> DataFrame:
@@ -230,20 +294,21 @@ def _around(tokens: list[str], i: int) -> int:
     return hash_of([*(plain(t) for t in tokens[max(0, i - 1) : i]), "", *(plain(t) for t in tokens[i + 1 : i + 2])])
 
 
-def _counted(rows: DataFrame, entries_of) -> DataFrame:
-    """``term, n, o``: in how many different contexts of toxic and of other texts the terms of each word stand."""
+def _counted(rows: DataFrame, terms_of) -> DataFrame:
+    """``term, n, o``: in how many different contexts of toxic and of other texts the terms of each token stand.
+
+    ``terms_of`` a set of tokens gives the terms of those that have any.
+    """
 
     def step(batch: pa.RecordBatch):
-        known: dict[str, list[str]] = {}
+        split = [text.lower().split() for text in batch.column("text").to_pylist()]
+        terms = terms_of(set().union(*split))
         found: set[tuple[str, int, int]] = set()
-        for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
-            tokens = text.lower().split()
+        for tokens, toxic in zip(split, batch.column("toxic").to_pylist(), strict=True):
             for i, token in enumerate(tokens):
-                if (terms := known.get(token)) is None:
-                    terms = known[token] = entries_of(plain(token))
-                if terms:
+                if token in terms:
                     around = _around(tokens, i)
-                    found.update((t, around, toxic) for t in terms)
+                    found.update((t, around, toxic) for t in terms[token])
         columns = list(zip(*found, strict=True)) if found else ((), (), ())
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.int32()), strict=True)], ["term", "around", "toxic"])
 
@@ -296,7 +361,7 @@ def fit(documents: DataFrame, labels: DataFrame, most: int = MAX_ROWS) -> Model:
     if not (sizes[0, 1] and sizes[0, 0] and sizes[1, 1] and sizes[1, 0]):
         return Model(Lexicon({}), np.array([-35.0, 0, 0, 0, 0, 0]))
     first = rows.where("half = 0")
-    words = cut(_counted(first, lambda word: [word] if word else []))
+    words = cut(_counted(first, lambda tokens: {t: [word] for t in tokens if (word := plain(t))}))
     toxic, other = words.agg(F.sum("n"), F.sum("o")).first()
     if not toxic or not other:
         return Model(Lexicon({}), np.array([-35.0, 0, 0, 0, 0, 0]))
@@ -306,23 +371,19 @@ def fit(documents: DataFrame, labels: DataFrame, most: int = MAX_ROWS) -> Model:
     entries = {t: math.log((n + 0.1) / (o * toxic / other + 0.1)) for t, (n, o) in sorted(found.items()) if not t.endswith("*") or t in stems}
     given = documents.sparkSession.sparkContext.broadcast(entries)
 
-    def neighbours():
-        held: list[Lexicon] = []
-
-        def of(word: str) -> list[str]:
-            if not held:
-                held.append(Lexicon(given.value))
-            return held[0].misspelled(word) if word not in held[0].entries else []
-
-        return of
+    def neighbours(tokens: set[str]) -> dict[str, list[str]]:
+        own = Lexicon(given.value)
+        words = {t: word for t in tokens if (word := plain(t)) not in own.entries}
+        found = {word: terms for word in own.perhaps_misspelled(sorted(set(words.values()))) if (terms := own.misspelled(word))}
+        return {t: found[word] for t, word in words.items() if word in found}
 
-    doubtful = {r["term"] for r in _counted(first, neighbours()).collect() if r["o"] * toxic / other >= r["n"] + 0.5}
+    doubtful = {r["term"] for r in _counted(first, neighbours).collect() if r["o"] * toxic / other >= r["n"] + 0.5}
     lexicon = Lexicon(entries, Lexicon(entries).sought - doubtful)
     learned = documents.sparkSession.sparkContext.broadcast((entries, lexicon.sought))
 
     def step(batch: pa.RecordBatch):
         own = Lexicon(*learned.value)
-        made = np.array([own.features(t) for t in batch.column("text").to_pylist()]).reshape(batch.num_rows, 5)
+        made = np.array(own.features_of(batch.column("text").to_pylist())).reshape(batch.num_rows, 5)
         yield pa.RecordBatch.from_arrays([*(pa.array(made[:, k]) for k in range(5)), batch.column("toxic")], [*(f"f{k}" for k in range(5)), "toxic"])
 
     made = map_arrow(rows.where("half = 1").select("text", "toxic"), step, ", ".join(f"f{k} DOUBLE" for k in range(5)) + ", toxic INT").toArrow()
@@ -352,7 +413,7 @@ def _scored(rows: DataFrame, model: Model, text_of) -> DataFrame:
         own = Model(Lexicon(entries, sought), weights)
         for batch in batches:
             for piece in sliced(batch):
-                made = pa.array([own.score(t or "") for t in text_of(piece).to_pylist()], pa.float64())
+                made = pa.array(own.scores([t or "" for t in text_of(piece).to_pylist()]), pa.float64())
                 yield pa.RecordBatch.from_arrays([*piece.columns, made], [*piece.schema.names, "score"])
 
     return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("score", DoubleType())]))
