@@ -315,6 +315,18 @@ ORACLES = {
     "stream_first_seen": f"""
         select train_no, date_depart, origine, destination, cast(1 as bigint) as n
         from ({_availability()})""",
+    "audited_tables": f"""
+        select dataset from (
+            select 'gares' as dataset, count(*) as n from ({_stations})
+            union all select 'frequentation', count(*) from ({_ridership})
+            union all select 'tgvmax', count(*) from ({duck('availability')}) where cast(date as date) >= date '2999-01-01'
+            union all select 'regularite', count(*) from ({_punctuality}))
+        where n = 0""",
+    "stream_rejects": f"""
+        select reason, count(*) as n from ({_quarantined}) where reason is not null group by all
+        union all select 'stored', count(*) from ({_stations})""",
+    "stream_state": f"""
+        select train_no, date_depart, origine, destination, true as held from ({_availability()})""",
     "lots_compacted": _punctuality,
     "snapshot_partition_read": f"select * from ({_punctuality}) where periode = '1998-07'",
 }

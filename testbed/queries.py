@@ -1,6 +1,6 @@
 """The registered queries: every operator over whole tables."""
 
-from contextlib import contextmanager
+from contextlib import ExitStack, contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,6 +46,7 @@ from trainlake.sinks import append_lot, compact, kafka_messages, text_messages,
 from trainlake.shared import scratch
 from trainlake.sources import read_pages, read_silver, read_static, text_source
 from trainlake.streaming import AVAILABLE_NOW, refine_all, refine_stream, wait_for_all
+from trainlake.streaming.state import ROCKSDB_CONF, remembered_keys
 
 RADIUS_KM = 10.0
 
@@ -401,12 +402,15 @@ STATE_PARTS = 8
 
 @contextmanager
 def _setting(spark: SparkSession, name: str, value: str):
-    before = spark.conf.get(name)
+    before = spark.conf.get(name, None)
     spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
 
 
 def _land(records: DataFrame, base: str) -> list[str]:
@@ -456,6 +460,19 @@ def stream_first_seen(spark, sf_dir):
     return lots.groupBy(*seen.key).agg(F.count(F.lit(1)).alias("n"))
 
 
+def stream_state(spark, sf_dir):
+    """The keys that a finished stream with time-limited dedup remembers on disk, with the parts they are in."""
+    seen = availability(AS_OF, keep="first")
+    settings = {**ROCKSDB_CONF, "spark.sql.shuffle.partitions": str(STATE_PARTS)}
+    with ExitStack() as stack:
+        for name, value in settings.items():
+            stack.enter_context(_setting(spark, name, value))
+        silver = _stream(spark, sf_dir, "availability", seen, mode="append", ttl="2 days")
+        keys = remembered_keys(spark, silver.removesuffix("silver") + "checkpoint", seen.key)
+        right_part = F.col("partition_id").between(0, STATE_PARTS - 1) & (F.col("expires_at") > F.current_timestamp())
+        return keys.select(*seen.key, right_part.alias("held"))
+
+
 def refined_tables(spark, sf_dir):
     """All four feeds refined at once, an empty batch after them; rows of each table, and what the audit says."""
     base = scratch(spark)
@@ -480,6 +497,29 @@ def refined_tables(spark, sf_dir):
     return present.join(written, "dataset")
 
 
+def audited_tables(spark, sf_dir):
+    """The feeds refined on a day after the last departure: the audit names the tables that stayed empty."""
+    base = scratch(spark)
+    views = {"gares": "stations", "frequentation": "ridership", "tgvmax": "availability", "regularite": "punctuality"}
+    datasets = {**DATASETS, "tgvmax": availability("2999-01-01")}
+    for name, view in views.items():
+        write_snapshot(datasets[name].typed(raw(spark, sf_dir, view)), datasets[name], f"{base}/silver")
+    return audit.missing_silver(spark, f"{base}/silver", datasets)
+
+
+def stream_rejects(spark, sf_dir):
+    """Defective station records by reason, from the same stream as the table."""
+    base = scratch(spark)
+    for n, _ in enumerate(_land(raw(spark, sf_dir, "stations"), base)):
+        source = text_source(spark, f"{base}/landed/wave=[0-{n}]")
+        refine_stream(
+            source, STATIONS, f"{base}/silver", f"{base}/checkpoint", trigger=AVAILABLE_NOW, rejects=f"{base}/rejects"
+        ).awaitTermination()
+    kept = read_silver(spark, STATIONS, f"{base}/silver").select(F.lit("stored").alias("reason"))
+    found = spark.read.schema("json_str STRING, reason STRING").parquet(f"{base}/rejects").select("reason")
+    return found.unionByName(kept).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 def lots_compacted(spark, sf_dir):
     """Two lots folded into a partitioned snapshot, a third still on its own."""
     typed = PUNCTUALITY.typed(raw(spark, sf_dir, "punctuality"))
@@ -554,6 +594,9 @@ QUERIES = {
     "stream_snapshot_checked": stream_snapshot_checked,
     "stream_append": stream_append,
     "stream_first_seen": stream_first_seen,
+    "stream_state": stream_state,
+    "audited_tables": audited_tables,
+    "stream_rejects": stream_rejects,
     "lots_compacted": lots_compacted,
     "snapshot_partition_read": snapshot_partition_read,
 }

@@ -112,6 +112,53 @@ def test_streams_hold_no_state_and_parse_once(spark, tmp_path):
     assert text.count("from_json") == 1
 
 
+def test_rejects_come_from_the_same_parse(spark, tmp_path):
+    landed = tmp_path / "landed"
+    landed.mkdir()
+    good = {"codes_uic": "1", "position_geographique": {"lat": 45, "lon": 0}, "ingested_at": "1"}
+    away = {"codes_uic": "2", "position_geographique": {"lat": 5, "lon": 0}}
+    bad_name = {"codes_uic": "3", "nom": "X", "position_geographique": {"lat": "north", "lon": 0}}
+
+    def run():
+        query = refine_stream(
+            text_source(spark, str(landed)), STATIONS, f"{tmp_path}/silver", f"{tmp_path}/checkpoint",
+            trigger=AVAILABLE_NOW, rejects=f"{tmp_path}/rejects/",
+        )
+        query.awaitTermination()
+        return query
+
+    def state():
+        stored = sorted(r.codes_uic for r in read_silver(spark, STATIONS, f"{tmp_path}/silver").collect())
+        rejects = spark.read.schema("json_str STRING, reason STRING").parquet(f"{tmp_path}/rejects").collect()
+        return stored, sorted((r.reason, r.json_str) for r in rejects)
+
+    def replay(batch):
+        """As after a crash between the sinks and the commit of the batch."""
+        for file in (tmp_path / "checkpoint" / "commits").glob(f"*{batch}*"):
+            file.unlink()
+        run()
+
+    (landed / "0.json").write_text("\n".join([json.dumps(good), json.dumps(away), "{torn"]))
+    query = run()
+    assert query._jsq.explainInternal(False).count("from_json") == 1
+    assert sum(p["numInputRows"] for p in query.recentProgress) == 3  # the batch is read once
+    first = ["1"], [("outside_country", json.dumps(away)), ("unreadable", "{torn")]
+    assert state() == first
+    replay(0)
+    assert state() == first
+    (landed / "1.json").write_text("\n".join([json.dumps(bad_name), json.dumps({**good, "codes_uic": "4"})]))
+    run()
+    (landed / "2.json").write_text(json.dumps({**good, "codes_uic": "5"}))
+    run()
+    whole = ["1", "4", "5"], sorted([*first[1], ("bad_field", json.dumps(bad_name))])
+    assert state() == whole
+    for _ in range(2):
+        replay(2)
+    assert state() == whole
+    with pytest.raises(ValueError, match="exclude"):
+        refine_stream(text_source(spark, str(landed)), SEEN, f"{tmp_path}/s", f"{tmp_path}/c", ttl="1 day", rejects="x")
+
+
 def seat(n, stamp):
     return {"date": "2024-01-07", "train_no": str(n), "origine": "A", "destination": "B",
             "od_happy_card": "OUI", "ingested_at": f"{stamp:04d}"}

@@ -92,13 +92,13 @@ def clean(
     return rows.withColumn("processed_at", F.current_timestamp()) if stamp else rows
 
 
-def quarantine(dataset: Dataset, raw: DataFrame) -> DataFrame:
-    """``(json_str, reason)`` of every record that :func:`clean` drops or degrades.
+def assessed(dataset: Dataset, raw: DataFrame) -> DataFrame:
+    """Every record with its silver fields, whether they are kept (as in ``Dataset.typed``), and what is wrong with it.
 
-    The first matching reason counts: ``unreadable`` (nothing could be parsed),
-    ``bad_field`` (a field has the wrong type and was read as NULL),
-    ``overflow:<field>``, ``missing:<column>``, or the name of the broken rule.
-    Rows that are merely out of scope, and extra copies, are not defects.
+    ``json_str``, the fields, ``_kept``, and ``_reason``: NULL, or the first that matches of ``unreadable``
+    (nothing could be parsed), ``bad_field`` (a field has the wrong type and was read as NULL),
+    ``overflow:<field>``, ``missing:<column>``, or the name of the broken rule.  A record may be kept and have a reason.
+    Each record is parsed once.
     """
     wire = f"{dataset.wire}, _corrupt_record STRING"
     parsed = parse_json(raw.select("json_str"), wire, "json_str")
@@ -120,4 +120,16 @@ def quarantine(dataset: Dataset, raw: DataFrame) -> DataFrame:
     broken = {**dataset.rules(), **dataset.checks()}
     reasons += [(name, ~F.coalesce(rule, F.lit(False))) for name, rule in broken.items()]
     reason = F.coalesce(*(F.when(hit, F.lit(name)) for name, hit in reasons))
-    return rows.select("json_str", reason.alias("reason")).where("reason IS NOT NULL")
+    wanted = [F.col(c).isNotNull() for c in dataset.required] + [*dataset.rules().values()]
+    if dataset.scope is not None:
+        wanted.append(dataset.scope())
+    kept = F.coalesce(all_of(wanted), F.lit(False))
+    return rows.select("json_str", *dataset.fields(), kept.alias("_kept"), reason.alias("_reason"))
+
+
+def quarantine(dataset: Dataset, raw: DataFrame) -> DataFrame:
+    """``(json_str, reason)`` of every record that :func:`clean` drops or degrades, as :func:`assessed` finds it.
+
+    Rows that are merely out of scope, and extra copies, are not defects.
+    """
+    return assessed(dataset, raw).where("_reason IS NOT NULL").select("json_str", F.col("_reason").alias("reason"))

@@ -1,10 +1,11 @@
 """Is everything there that should be?"""
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trainlake.dataset import Dataset
 from trainlake.plans.registry import DATASETS
 from trainlake.sources.pages import declared_totals
 from trainlake.sources.tables import has_rows
@@ -23,19 +24,27 @@ def missing_datasets(expected: DataFrame, present: DataFrame, on: str = "dataset
     return expected.select(on).distinct().join(present.select(on).distinct(), on, "left_anti")
 
 
-def audit_silver(
-    spark: SparkSession, base: str, names: Iterable[str] | None = None
-) -> dict[str, bool]:
-    """Check that every expected table has at least one row; raise if one has none.
+def missing_silver(
+    spark: SparkSession, base: str, datasets: Mapping[str, Dataset] = DATASETS
+) -> DataFrame:
+    """``dataset``: the names of the silver tables under ``base`` that have no row.
 
     One row is enough, so each check stops at the first row it finds.
     """
+    expected = spark.createDataFrame([(n,) for n in datasets], "dataset STRING")
+    found = [(n,) for n, d in datasets.items() if has_rows(spark, d, base)]
+    return missing_datasets(expected, spark.createDataFrame(found, "dataset STRING"))
+
+
+def audit_silver(
+    spark: SparkSession, base: str, names: Iterable[str] | None = None
+) -> dict[str, bool]:
+    """Check that every expected table has at least one row; raise if one has none."""
     wanted = sorted(DATASETS if names is None else names)
-    present = {n: has_rows(spark, DATASETS[n], base) for n in wanted}
-    empty = [n for n, there in present.items() if not there]
-    if empty:
-        raise MissingData(f"no rows under {base} for: {', '.join(empty)}")
-    return present
+    missing = missing_silver(spark, base, {n: DATASETS[n] for n in wanted}).collect()
+    if missing:
+        raise MissingData(f"no rows under {base} for: {', '.join(sorted(r.dataset for r in missing))}")
+    return dict.fromkeys(wanted, True)
 
 
 def page_completeness(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
