@@ -230,8 +230,8 @@ def nearest_neighbours(embeddings: DataFrame, queries: Column, k: int = 10, targ
 
 # --- exact top-k by three-phase uniform thresholds ---------------------------------------------
 
-#: Local score lists into which an inner product is split (by components).
-LISTS = 2
+#: Local score lists into which an inner product is split (by components), and entries that each gives at first.
+LISTS, HEADS = 2, 16
 SCALE = 256
 
 
@@ -247,22 +247,24 @@ def _parts(d: int, lists: int) -> list[slice]:
 
 
 class UniformThreshold:
-    """Exact top-k sums of ``lists`` partial scores, by three phases over blocks of rows and queries.
+    """Exact top-k sums of ``lists`` local scores, by three phases.
 
-    1. Every block gathers, for each query, the heads of its local lists and their least scores.
-       The k-th best sum among all heads is a safe floor for the k-th best score.
-    2. The floor above the sum of the least scores, divided by the number of lists, is the uniform
-       cutoff: a row below it in every list cannot reach the floor.  Blocks collect the rows that
-       pass it in some list, with the scores of those lists.
-    3. A second floor comes from what was collected; rows whose upper bound is below it fall out,
-       and the rest get their missing scores.
+    A list is a block of components; its slices of the vectors are in groups of their own, and no group sees
+    the scores of another list.
+
+    1. Every list gives the heads of its local scores for each query.  The scores that the
+       heads lack are fetched from the other lists, for the heads alone.  The k-th best of these sums
+       is a safe floor for the k-th best of all.
+    2. A row that reaches the floor has a share of it, the floor divided by the number of lists, in
+       one list at least.  With that uniform cutoff every list collects the entries at or above it.
+       A score not sent is below the cutoff, which bounds a row's sum; rows bound below the floor fall out.
+    3. What remains lacks some scores: these lists, and no others, are asked for them.
 
     Equal vectors are one row with its ``k + 1`` smallest ids.
     """
 
     def __init__(self, rows: DataFrame, queries: Column, k: int, lists: int = LISTS, scale: int = SCALE):
         self.k, self.lists = k, lists
-        spark = self.spark = rows.sparkSession
 
         def whole(batch: pa.RecordBatch):
             x = np.floor(scale * _matrix(batch.column("x"))) + 0.0
@@ -271,84 +273,105 @@ class UniformThreshold:
         points = cut(map_arrow(rows, whole, "vec_id LONG, x BINARY"))
         ranked = points.withColumn("n", F.row_number().over(Window.partitionBy("x").orderBy("vec_id"))).where(F.col("n") <= k + 1)
         same = cut(ranked.groupBy("x").agg(F.min("vec_id").alias("id"), F.sort_array(F.collect_list("vec_id")).alias("ids")))
-        self.same, self.asked = same.select("id", "x", "ids"), points.where(queries).select(F.col("vec_id").alias("query_id"), F.col("x").alias("q"))
-        n, m = same.count(), self.asked.count()
+        asked = points.where(queries).select(F.col("vec_id").alias("id"), "x")
+        self.ids = same.select("id", "ids", F.size("ids").cast("long").alias("many"))
+        self.slices = cut(self._sliced(same.select("id", "x")))
+        self.asks = cut(self._sliced(asked)).select("list", F.col("id").alias("query_id"), F.col("s").alias("q"))
+        n, m = same.count(), asked.count()
         self.parts, self.turns = max(1, -(-n // BLOCK_ROWS)), max(1, -(-m // BLOCK_QUERIES))
-        self.spark = spark
-
-    def _blocks(self, thresholds: DataFrame | None, step, schema: str) -> DataFrame:
-        """``step(rows, queries)`` for every block of rows with every block of queries."""
-        part = F.pmod(F.xxhash64("id"), F.lit(self.parts))
-        rows = self.same.select(part.alias("part"), F.explode(F.sequence(F.lit(0), F.lit(self.turns - 1))).alias("turn"), "id", "x", F.size("ids").cast("long").alias("many"))
-        asked = self.asked if thresholds is None else self.asked.join(thresholds, "query_id")
-        asked = asked.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(self.parts - 1).cast("long"))).alias("part"), F.pmod(F.xxhash64("query_id"), F.lit(self.turns)).cast("int").alias("turn"), *asked.columns)
-        return rows.groupBy("part", "turn").cogroup(asked.groupBy("part", "turn")).applyInArrow(step, schema)
-
-    def _thresholds(self) -> DataFrame:
-        """Phase 1: ``query_id, floor, least`` (of each list)."""
-        k, lists = self.k, self.lists
 
-        def heads(own: pa.Table, other: pa.Table) -> pa.Table:
-            x, q, ids, many = _matrix(own.column("x")), _matrix(other.column("q")), own.column("id").to_numpy(), own.column("many").to_numpy()
-            out = []
-            if len(x) and len(q):
-                scores = [_products(x[:, p], q[:, p]) for p in _parts(x.shape[1], lists)]
-                total = sum(scores)
-                for j, query in enumerate(other.column("query_id").to_pylist()):
-                    first = np.unique(np.concatenate([_least(ids, -s[:, j], k + 1) for s in scores]))
-                    out.append({"query_id": query, "least": [int(s[:, j].min()) for s in scores], "heads": [{"id": int(ids[i]), "many": int(many[i]), "score": int(total[i, j])} for i in first.tolist()]})
-            head = pa.struct([("id", pa.int64()), ("many", pa.int64()), ("score", pa.int64())])
-            return pa.Table.from_pylist(out, pa.schema([("query_id", pa.int64()), ("least", pa.list_(pa.int64())), ("heads", pa.list_(head))]))
-
-        found = cut(self._blocks(None, heads, "query_id LONG, least ARRAY<LONG>, heads ARRAY<STRUCT<id: LONG, many: LONG, score: LONG>>"))
-        least = found.groupBy("query_id").agg(F.array(*[F.min(F.col("least")[i]) for i in range(lists)]).alias("least"))
-        each = found.select("query_id", F.explode("heads").alias("h")).select("query_id", "h.*")
+    def _sliced(self, rows: DataFrame) -> DataFrame:
+        """``list, id, s``: the components of each list, filled up with zeros to one length."""
+        lists = self.lists
+
+        def step(batch: pa.RecordBatch):
+            x = _matrix(batch.column("x"))
+            width = -(-x.shape[1] // lists)
+            for i, part in enumerate(_parts(x.shape[1], lists)):
+                own = np.zeros((len(x), width))
+                own[:, : part.stop - part.start] = x[:, part]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), i)), batch.column("id"), pa.array([r.tobytes() for r in own], pa.binary())], ["list", "id", "s"])
+
+        return map_arrow(rows, step, "list LONG, id LONG, s BINARY")
+
+    def _blocks(self, asks: DataFrame, step, schema: str) -> DataFrame:
+        """``step(slices, queries)`` for every block of rows with every block of queries of the same list."""
+        part, turn = F.pmod(F.xxhash64("id"), F.lit(self.parts)), F.pmod(F.xxhash64("query_id"), F.lit(self.turns))
+        rows = self.slices.select("list", part.alias("part"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(self.turns - 1).cast("long"))).alias("turn"), "id", "s")
+        asks = asks.select("list", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(self.parts - 1).cast("long"))).alias("part"), turn.alias("turn"), *(c for c in asks.columns if c != "list"))
+        key = ("list", "part", "turn")
+        return rows.groupBy(*key).cogroup(asks.groupBy(*key)).applyInArrow(step, schema)
+
+    def _fetched(self, lacking: DataFrame) -> DataFrame:
+        """``query_id, id, score`` of single entries ``list, query_id, id``."""
+        met = lacking.join(self.slices, ["list", "id"]).join(self.asks, ["list", "query_id"]).select("query_id", "id", "s", "q")
+
+        def step(batch: pa.RecordBatch):
+            x, q = _matrix(batch.column("s")), _matrix(batch.column("q"))
+            bound = float(np.abs(x).max(initial=0)) * float(np.abs(q).max(initial=0)) * x.shape[1]
+            score = (x * q).sum(axis=1).astype(np.int64) if bound < 2**53 else (x.astype(np.int64) * q.astype(np.int64)).sum(axis=1)
+            yield pa.RecordBatch.from_arrays([batch.column("query_id"), batch.column("id"), pa.array(score, pa.int64())], ["query_id", "id", "score"])
+
+        return map_arrow(met, step, "query_id LONG, id LONG, score LONG")
+
+    def _completed(self, sums: DataFrame) -> DataFrame:
+        """``query_id, id, score`` from ``query_id, id, score, sent`` (the lists that are in the score), the others fetched."""
+        lists = F.array(*(F.lit(i).cast("long") for i in range(self.lists)))
+        lacking = sums.select("query_id", "id", F.explode(F.array_except(lists, "sent")).alias("list"))
+        return sums.select("query_id", "id", "score").unionByName(self._fetched(lacking)).groupBy("query_id", "id").agg(F.sum("score").alias("score"))
+
+    def _floors(self) -> DataFrame:
+        """Phase 1: ``query_id, floor``."""
+        heads = max(HEADS, self.k + 1)
+
+        def local(own: pa.Table, asks: pa.Table) -> pa.Table:
+            columns: list[list] = [[], [], []]
+            if own.num_rows and asks.num_rows:
+                ids, scores = own.column("id").to_numpy(), _products(_matrix(own.column("s")), _matrix(asks.column("q")))
+                for j, query in enumerate(asks.column("query_id").to_pylist()):
+                    first = _least(ids, -scores[:, j], heads)
+                    for column, value in zip(columns, (np.full(len(first), query), ids[first], scores[first, j]), strict=True):
+                        column.append(value)
+            flat = [pa.array(np.concatenate(c) if c else np.empty(0, np.int64)) for c in columns]
+            of = pa.array(np.full(len(flat[0]), own.column("list")[0].as_py() if own.num_rows else 0))
+            return pa.table(dict(zip(("list", "query_id", "id", "score"), (of, *flat), strict=True)))
+
+        found = self._blocks(self.asks, local, "list LONG, query_id LONG, id LONG, score LONG")
+        rank = F.row_number().over(Window.partitionBy("list", "query_id").orderBy(F.desc("score"), "id"))
+        first = cut(found.withColumn("n", rank).where(F.col("n") <= heads).drop("n"))
+        sums = first.groupBy("query_id", "id").agg(F.sum("score").alias("score"), F.collect_list("list").alias("sent"))
+        whole = self._completed(sums).join(self.ids, "id")
         # the query's own id may be one of its vector's: so one of them doesn't count
-        at = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
-        top = each.withColumn("n", F.row_number().over(at)).where(F.col("n") <= k + 1).withColumn("reached", F.sum("many").over(at.rowsBetween(Window.unboundedPreceding, 0)))
-        floor = top.where(F.col("reached") >= k + 1).groupBy("query_id").agg(F.max("score").alias("floor"))
-        return cut(least.join(floor, "query_id", "left"))
+        at = Window.partitionBy("query_id").orderBy(F.desc("score"), "id").rowsBetween(Window.unboundedPreceding, 0)
+        reached = whole.withColumn("reached", F.sum("many").over(at)).where(F.col("reached") >= self.k + 1)
+        return cut(reached.groupBy("query_id").agg(F.max("score").alias("floor")))
 
     def best(self) -> DataFrame:
         """``query_id, rank, vec_id, score``: the ``k`` best rows but the query's own, ties to smaller ids."""
         k, lists = self.k, self.lists
-        thresholds = self._thresholds()
-
-        def collect(own: pa.Table, other: pa.Table) -> pa.Table:
-            x, q, ids = _matrix(own.column("x")), _matrix(other.column("q")), own.column("id").to_numpy()
-            columns: list[list] = [[], [], [], []]
-            if len(x) and len(q):
-                scores = [_products(x[:, p], q[:, p]) for p in _parts(x.shape[1], lists)]
-                for j, (query, least, floor) in enumerate(zip(*(other.column(c).to_pylist() for c in ("query_id", "least", "floor")), strict=True)):
-                    over = np.stack([s[:, j] - m for s, m in zip(scores, least, strict=True)])
-                    cutoff = 0 if floor is None else max(0, -((sum(least) - floor) // lists))
-                    sent = over >= cutoff
-                    rows = np.flatnonzero(sent.any(axis=0))
-                    low = np.where(sent, over, 0)[:, rows].sum(axis=0) + sum(least)
-                    high = np.where(sent, over, max(0, cutoff - 1))[:, rows].sum(axis=0) + sum(least)
-                    if floor is not None:
-                        rows, low, high = (v[high >= floor] for v in (rows, low, high))
-                    for column, value in zip(columns, (np.full(len(rows), query), ids[rows], low, high), strict=True):
+        floors = self._floors()
+        cutoff = F.ceil(F.col("floor") / lists).cast("long")
+        asks = self.asks.join(floors.select("query_id", cutoff.alias("cutoff")), "query_id", "left")
+
+        def collect(own: pa.Table, asks: pa.Table) -> pa.Table:
+            columns: list[list] = [[], [], []]
+            if own.num_rows and asks.num_rows:
+                ids, scores = own.column("id").to_numpy(), _products(_matrix(own.column("s")), _matrix(asks.column("q")))
+                for j, (query, cutoff) in enumerate(zip(asks.column("query_id").to_pylist(), asks.column("cutoff").to_pylist(), strict=True)):
+                    rows = np.arange(len(ids)) if cutoff is None else np.flatnonzero(scores[:, j] >= cutoff)
+                    for column, value in zip(columns, (np.full(len(rows), query), ids[rows], scores[rows, j]), strict=True):
                         column.append(value)
-            flat = [pa.array(np.concatenate(c) if c else np.empty(0), pa.int64()) for c in columns]
-            return pa.table(dict(zip(("query_id", "id", "low", "high"), flat, strict=True)))
-
-        entries = cut(self._blocks(thresholds, collect, "query_id LONG, id LONG, low LONG, high LONG"))
-        at = Window.partitionBy("query_id").orderBy(F.desc("low"), "id")
-        sure = entries.withColumn("n", F.row_number().over(at)).where(F.col("n") == k + 1).select("query_id", F.col("low").alias("second"))
-        open_ = entries.join(sure, "query_id", "left").where(F.col("second").isNull() | (F.col("high") >= F.col("second"))).select("query_id", "id")
-        resolved = open_.join(self.same, "id").join(self.asked, "query_id").select("x", "q", "query_id", "ids")
-
-        def resolve(batch: pa.RecordBatch):
-            x, q = _matrix(batch.column("x")), _matrix(batch.column("q"))
-            bound = float(np.abs(x).max(initial=0)) * float(np.abs(q).max(initial=0)) * x.shape[1]
-            score = (x * q).sum(axis=1).astype(np.int64) if bound < 2**53 else (x.astype(np.int64) * q.astype(np.int64)).sum(axis=1)
-            yield pa.RecordBatch.from_arrays([batch.column("query_id"), batch.column("ids"), pa.array(score, pa.int64())], ["query_id", "ids", "score"])
-
-        scored = map_arrow(resolved, resolve, "query_id LONG, ids ARRAY<LONG>, score LONG")
-        each = scored.withColumn("id", F.element_at("ids", 1))
+            flat = [pa.array(np.concatenate(c) if c else np.empty(0, np.int64)) for c in columns]
+            of = pa.array(np.full(len(flat[0]), own.column("list")[0].as_py() if own.num_rows else 0))
+            return pa.table(dict(zip(("list", "query_id", "id", "score"), (of, *flat), strict=True)))
+
+        entries = self._blocks(asks, collect, "list LONG, query_id LONG, id LONG, score LONG")
+        sums = entries.groupBy("query_id", "id").agg(F.sum("score").alias("score"), F.collect_list("list").alias("sent"))
+        bound = F.col("score") + (lists - F.size("sent")) * (cutoff - 1)
+        open_ = sums.join(floors, "query_id", "left").where(F.col("floor").isNull() | (bound >= F.col("floor")))
+        each = self._completed(cut(open_.select("query_id", "id", "score", "sent")))
         each = each.withColumn("n", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))).where(F.col("n") <= k + 1)
-        each = each.select("query_id", "score", F.explode("ids").alias("vec_id")).where("vec_id <> query_id")
+        each = each.join(self.ids, "id").select("query_id", "score", F.explode("ids").alias("vec_id")).where("vec_id <> query_id")
         rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
         return each.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
