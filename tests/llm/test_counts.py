@@ -1,0 +1,62 @@
+"""Tokens by section against a plain count, with sections that touch, overlap, hold one another or are empty."""
+
+import random
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+from trainlake.llm import counts, packing
+
+
+def plain(spans, sections, rule):
+    """Each token in turn: the sections it touches, then the rule."""
+    found, crossing, outside = [0] * len(sections), [0] * len(sections), 0
+    for start, end in spans:
+        touched = [(min(end, b) - max(start, a), i) for i, (a, b) in enumerate(sections) if b > a and min(end, b) > max(start, a)]
+        if not touched:
+            outside += 1
+            continue
+        if rule == "most":
+            owner = min(touched, key=lambda s: (-s[0], s[1]))[1]
+        else:
+            owner = min((i for _, i in touched if sections[i][0] <= start), default=min(i for _, i in touched))
+        found[owner] += 1
+        crossing[owner] += len(touched) > 1
+    return found, crossing, outside
+
+
+@pytest.mark.parametrize("rule", ["most", "first"])
+@pytest.mark.parametrize("seed", range(20))
+def test_attribution(seed, rule):
+    r = random.Random(seed)
+    at, spans = 0, []
+    for _ in range(r.randint(0, 60)):
+        spans.append((at, at + r.randint(1, 6)))
+        at = spans[-1][1]
+    sections = sorted({tuple(sorted((r.randint(0, at + 3), r.randint(0, at + 3)))) for _ in range(r.randint(0, 12))})
+    arrays = [np.array(x, np.int64) for x in ([s for s, _ in spans], [e for _, e in spans], [a for a, _ in sections], [b for _, b in sections])]
+    found, crossing, outside = counts.attribute(*arrays, rule)
+    assert (found.tolist(), crossing.tolist(), outside) == plain(spans, sections, rule)
+    assert sum(found) + outside == len(spans)
+
+
+@pytest.mark.parametrize("rule", ["most", "first"])
+def test_section_counts_equal_a_plain_count(spark, rule):
+    texts = {1: "hello worldwide web\n\nÄöü 日本語 don't stop 🎉🎉", 2: "", 3: None, 4: "a " * 300, 5: "no sections here"}
+    sections = [(1, 0, 10), (1, 3, 8), (1, 3, 8), (1, 8, 8), (1, 9, 40), (1, 25, 20), (1, 12, 14), (2, 0, 5), (3, 0, 1), (4, 100, 301), (4, 0, 1000), (9, 0, 3), (None, 0, 1), (4, None, 7)]
+    df = spark.createDataFrame(list(texts.items()), "doc_id LONG, text STRING")
+    given = spark.createDataFrame(sections, "doc_id LONG, start LONG, end LONG")
+    rows = counts.section_counts(df, given, rule=rule).collect()
+    tokenizer = Tokenizer.from_file(packing.JSON_FILE)
+    for i, text in texts.items():
+        own = sorted({(a, b) for d, a, b in sections if d == i and a is not None and a <= b})
+        found, crossing, outside = plain(tokenizer.encode(text or "").offsets, own, rule)
+        mine = sorted((r for r in rows if r.doc_id == i), key=lambda r: r.section)
+        assert [r.n_tokens for r in mine if r.section == counts.OUTSIDE] == ([outside] if outside else [])
+        assert [(r.start, r.end, r.n_tokens, r.n_crossing) for r in mine if r.section >= 0] == [(*s, n, c) for s, n, c in zip(own, found, crossing, strict=True)]
+
+
+def test_unknown_rules_are_refused():
+    with pytest.raises(ValueError, match="rule"):
+        counts.attribute(*[np.array([0])] * 4, "last")

@@ -3,8 +3,9 @@
 Each token's bytes give its span of characters (a token that holds part of a character spans
 it).  Spans are joined with the sections' intervals; the rule for a token that touches several
 sections is stated: ``"most"`` gives it to the one that holds most of its characters (the
-earlier of equals), ``"first"`` to the one that holds its first character.  A token that
-touches none, as a line end may, counts as ``outside``.
+earlier of equals), ``"first"`` to the one that holds its first character, or else the first it touches.
+Sections may overlap and hold one another; by the same rules a token counts in one of them only, the one that starts
+first (of these, ends first) where the rule leaves a choice.  A token that touches none, as a line end may, counts as ``outside``.
 """
 
 import functools
@@ -45,25 +46,34 @@ def token_spans(text: str, path: str = JSON_FILE) -> tuple[np.ndarray, np.ndarra
 def attribute(starts: np.ndarray, ends: np.ndarray, lows: np.ndarray, highs: np.ndarray, rule: str = "most") -> tuple[np.ndarray, np.ndarray, int]:
     """Tokens by section, how many of them touch other sections too, and tokens outside.
 
-    Sections are sorted and don't overlap; those without characters hold no token.
+    Sections are sorted by start and end; those without characters hold no token.
     """
+    if rule not in ("most", "first"):
+        raise ValueError(f"no rule {rule!r}")
     n, held = len(lows), np.flatnonzero(highs > lows)
     counts, crossing = np.zeros(n, np.int64), np.zeros(n, np.int64)
     if not len(held) or not len(starts):
         return counts, crossing, len(starts)
-    first = np.searchsorted(highs[held], starts, "right")
+    # sections before the first end at or before the token's start, those after the last begin at or after its end
+    first = np.searchsorted(np.maximum.accumulate(highs[held]), starts, "right")
     last = np.searchsorted(lows[held], ends, "left") - 1
     owner = first.copy()
-    many = np.flatnonzero(last > first)
-    if rule == "most":
-        for t in many.tolist():
-            own = held[first[t] : last[t] + 1]
-            owner[t] = first[t] + int(np.argmax(np.minimum(ends[t], highs[own]) - np.maximum(starts[t], lows[own])))
-    elif rule != "first":
-        raise ValueError(f"no rule {rule!r}")
     inside = last >= first
+    crosses = []
+    for t in np.flatnonzero(last > first).tolist():
+        own = held[first[t] : last[t] + 1]
+        shared = np.minimum(ends[t], highs[own]) - np.maximum(starts[t], lows[own])
+        if rule == "most":
+            choice = int(np.argmax(shared))
+        else:
+            begins = (shared > 0) & (lows[own] <= starts[t])
+            choice = int(np.argmax(begins if begins.any() else shared > 0))
+        owner[t] = first[t] + choice
+        inside[t] = shared[choice] > 0
+        if (shared > 0).sum() > 1:
+            crosses.append(t)
     np.add.at(counts, held[owner[inside]], 1)
-    np.add.at(crossing, held[owner[many]], 1)
+    np.add.at(crossing, held[owner[crosses]], 1)
     return counts, crossing, int((~inside).sum())
 
 
@@ -77,8 +87,8 @@ def line_sections(text: str) -> tuple[np.ndarray, np.ndarray]:
 def section_counts(documents: DataFrame, sections: DataFrame | None = None, path: str = JSON_FILE, rule: str = "most") -> DataFrame:
     """``doc_id, section, start, end, n_tokens, n_crossing`` per section, and a row ``OUTSIDE`` where tokens touch none.
 
-    ``sections(doc_id, start, end)`` are joined by id, numbered by start; left out, they are the lines of each
-    text, found without a shuffle.  NULL text counts as empty, repeated rows are counted each.  Of a document
+    ``sections(doc_id, start, end)`` are joined by id, numbered by start and end; repeated ones are one, and those that
+    end before they start, or lack an id or an end, are none.  Left out, sections are the lines of each text, found without a shuffle.  NULL text counts as empty, repeated rows are counted each.  Of a document
     without sections all tokens are outside.
     """
     rows = texts(documents)
