@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -62,12 +63,22 @@ def brute(texts):
     return dict(enumerate(group))
 
 
-@pytest.mark.parametrize(("log_hot", "part", "back"), [(1, 4, 3), (3, 16, 1), (16, 4096, 3)])
-def test_hot_lists_and_classes_in_parts(spark, monkeypatch, log_hot, part, back):
+def test_sketches_never_differ_too_much():
+    r = np.random.default_rng(4)
+    for _ in range(300):
+        a, b = (np.unique(r.integers(0, 2**63, r.integers(1, 200)).astype(np.uint64)) for _ in "ab")
+        both = np.unique(r.integers(0, 2**63, r.integers(0, 300)).astype(np.uint64))
+        x, y = (int.from_bytes(jaccard._sketch(np.union1d(s, both)), "little") for s in (a, b))
+        assert (x ^ y).bit_count() <= len(np.setxor1d(np.union1d(a, both), np.union1d(b, both)))
+
+
+@pytest.mark.parametrize(("log_hot", "part", "back", "long"), [(1, 4, 3, 0), (3, 16, 1, 8), (16, 4096, 3, 32)])
+def test_hot_lists_and_classes_in_parts(spark, monkeypatch, log_hot, part, back, long):
     """A group of near copies, several groups that share a passage, many exact copies, small lists beside hot ones."""
     monkeypatch.setattr(jaccard, "LOG_HOT", log_hot)
     monkeypatch.setattr(jaccard, "PART", part)
     monkeypatch.setattr(jaccard, "BACK", back)
+    monkeypatch.setattr(jaccard, "LONG_LIST", long)
     r, passage, texts = random.Random(1), words(50, 30), []
     for i in range(60):
         w = words(60, 100)
@@ -76,6 +87,8 @@ def test_hot_lists_and_classes_in_parts(spark, monkeypatch, log_hot, part, back)
     for i in range(40):
         texts.append(" ".join(words(100 + i, 10) + passage + words(200 + i, 8)))
         texts.append(" ".join(words(100 + i, 10) + passage + words(200 + i, 7) + [f"z{i}"]))
+    star = words(70, 60)  # copies that differ too much from one another, though not from the first
+    texts += [" ".join([*star[: 5 * (i % 11)], f"v{i}", *star[5 * (i % 11) + 1 :]]) for i in range(44)] + [" ".join(star)]
     texts += [A] * 30 + [" ".join(words(300 + i // 2, 40) + [f"u{i}"]) for i in range(60)]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id LONG, text STRING").repartition(4)
     assert {r.doc_id: r.component_id for r in jaccard.linked_groups(df).collect()} == brute(texts)

@@ -12,7 +12,8 @@ Equal sets are one class from the start.  The list of a prefix token is sorted b
 each member is compared with the ``BACK`` before it and with the first, which are all pairs of most
 lists.  For longer ones, components of these links are then settled, and what
 remains are pairs of *different* components, of which the smaller ones are compared with
-all others of the list.  So a large group of near copies costs its size, not its square,
+all others of the list; where a list is long, only those whose parity sketches allow the similarity.
+So a large group of near copies costs its size, not its square,
 and no link between components is missed.  Lists and classes that are hot by a fixed-size table of
 counts are dealt out in parts.
 
@@ -34,6 +35,8 @@ SHINGLE, PERCENT = 5, 75
 FURTHER = 2
 #: Members of a list that one is compared with besides the first; so lists of up to two more are done with.
 BACK = 3
+#: Rows of a list from which on sketches are compared before pairs are formed, and 64-bit words of a sketch.
+LONG_LIST, SKETCH_WORDS = 32, 8
 #: Cells of the tables of counts by which hot lists and classes are found, and rows of one part.
 LOG_HOT, PART = 16, 4096
 #: Sizes of the filters of classes that are not named by an id, and of classes in play.
@@ -324,10 +327,35 @@ class JaccardJoin:
         wanted = self._among(pairs.select(F.explode(F.array("a", "b")).alias("rep")).union(open_.select("rep")))
 
         def marks(s: np.ndarray) -> bytes:
-            return _marked([_ordered(s, table.value, o)[: _prefix(len(s), percent) - 1 + _more(len(s))] for o in range(1, FURTHER + 1)], len(s))
+            return _marked([_ordered(s, table.value, o)[: _prefix(len(s), percent) - 1 + _more(len(s))] for o in range(1, FURTHER + 1)], s)
 
         return self._each(marks, "marks", wanted)
 
+    def _sketches(self, nodes: DataFrame, marks: DataFrame) -> DataFrame:
+        """``rep, sketch`` (an array of longs) of the nodes, and perhaps some others."""
+        asked = self._among(nodes.select("rep"))
+
+        def step(batch: pa.RecordBatch):
+            batch = batch.filter(pa.array(asked.value.holds(batch.column("node").to_numpy().view(np.uint64)), pa.bool_()))
+            words = [np.frombuffer(b, "<i8", SKETCH_WORDS).tolist() for b in batch.column("marks").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(words, pa.list_(pa.int64()))], ["rep", "sketch"])
+
+        return map_arrow(marks.select("node", "marks"), step, "rep LONG, sketch ARRAY<LONG>")
+
+    def _crossing(self, rows: DataFrame, sketched: bool) -> DataFrame:
+        """Pairs (a, b) of ``rows`` in one list, of different components of which one is not the list's largest, that fit."""
+        few, all_ = (
+            rows.select("token", F.col("rep").alias(x), F.col("n").alias(f"n{x}"), F.col("rest").alias(f"r{x}"), F.col("component").alias(f"c{x}"), "main", *([F.col("sketch").alias(f"s{x}")] if sketched else []))
+            for x in "ab"
+        )
+        meets = (few["token"] == all_["token"]) & (F.col("ca") != F.col("cb")) & self._fits()
+        if sketched:
+            apart = sum((F.bit_count(F.col("sa")[i].bitwiseXOR(F.col("sb")[i])) for i in range(SKETCH_WORDS)), F.lit(0))
+            # of na + nb tokens at most this share may differ
+            meets &= (100 + self.percent) * apart <= (100 - self.percent) * (F.col("na") + F.col("nb"))
+        met = few.where("ca <> main").drop("main").join(all_.drop("main"), meets)
+        return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
     def _joined(self, pairs: DataFrame, own: DataFrame, name: str) -> DataFrame:
         """Pairs with a packed column of both sides, first ``x`` and ``y``; those not in a pair are left behind before the shuffle."""
         asked = self._among(pairs.select(F.explode(F.array("a", "b")).alias("rep")))
@@ -380,14 +408,15 @@ class JaccardJoin:
         # lists that still hold several components: all but the largest against everything outside their own
         placed = open_.join(found, F.col("rep") == F.col("node"), "left").select("token", "rep", "n", "rest", F.coalesce("component", "rep").alias("component"))
         sizes = placed.groupBy("token", "component").agg(F.count("*").alias("many"))
-        main = sizes.groupBy("token").agg(F.max_by("component", F.struct("many", "component")).alias("main"), F.count("*").alias("kinds")).where("kinds > 1").select("token", "main")
-        left = self._cut(placed.join(main, "token"))
-        few = left.where("component <> main").select("token", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("rest").alias("ra"), F.col("component").alias("ca"))
-        all_ = left.select("token", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("rest").alias("rb"), F.col("component").alias("cb"))
-        crossing = few.join(all_, (few["token"] == all_["token"]) & (F.col("ca") != F.col("cb")) & self._fits())
-        crossing = crossing.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
+        main = sizes.groupBy("token").agg(F.max_by("component", F.struct("many", "component")).alias("main"), F.count("*").alias("kinds"), F.sum("many").alias("length"))
+        left = self._cut(placed.join(main.where("kinds > 1").drop("kinds"), "token"))
+        long = left.where(F.col("length") > LONG_LIST)
+        sketched = self._cut(long.join(self._sketches(long, marks), "rep"))
+        self._unshare()
+        crossing = self._crossing(left.where(F.col("length") <= LONG_LIST), False).union(self._crossing(sketched, True))
+        crossing = crossing.distinct().join(pairs, ["a", "b"], "left_anti")
         crossing = self._cut(crossing)
-        self._free(open_, left)
+        self._free(open_, left, sketched)
         more = self._verified(crossing, marks)
         self._free(behind, pairs, crossing, self.copies)
         return links.union(more)
@@ -406,12 +435,22 @@ def _all(sets: list[np.ndarray]) -> np.ndarray:
     return np.concatenate(sets) if sets else np.empty(0, np.uint64)
 
 
-def _marked(prefixes: list[np.ndarray], n: int) -> bytes:
-    """How many tokens a set of ``n`` asks for, then for each order the number of tokens and their 16-bit marks.
+def _sketch(tokens: np.ndarray) -> bytes:
+    """Parities of the numbers of tokens in as many cells as there are bits.
+
+    Where two sketches differ, the sets do, each difference in one cell at most.
+    """
+    bits = 64 * SKETCH_WORDS
+    odd = np.bincount((mixed(tokens, 500) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def _marked(prefixes: list[np.ndarray], tokens: np.ndarray) -> bytes:
+    """The set's sketch, how many tokens it asks for, then for each order the number of tokens and their 16-bit marks.
 
     Tokens may share a mark, so marks in common are never too few.
     """
-    out = [np.array([_more(n)], "<u4").tobytes()]
+    out = [_sketch(tokens), np.array([_more(len(tokens))], "<u4").tobytes()]
     for order, tokens in enumerate(prefixes):
         out += [np.array([len(tokens)], "<u4").tobytes(), (mixed(tokens, 400 + order) >> np.uint64(48)).astype("<u2").tobytes()]
     return b"".join(out)
@@ -419,8 +458,8 @@ def _marked(prefixes: list[np.ndarray], n: int) -> bytes:
 
 def _share_all(x: bytes, y: bytes) -> bool:
     """Whether two sets share enough marks under every further order."""
-    needed = min(int.from_bytes(x[:4], "little"), int.from_bytes(y[:4], "little"))
-    i = j = 4
+    i = j = 8 * SKETCH_WORDS + 4
+    needed = min(int.from_bytes(x[i - 4 : i], "little"), int.from_bytes(y[j - 4 : j], "little"))
     while i < len(x):
         m, n = int.from_bytes(x[i : i + 4], "little"), int.from_bytes(y[j : j + 4], "little")
         a, b = np.frombuffer(x, "<u2", m, i + 4), np.frombuffer(y, "<u2", n, j + 4)
