@@ -122,7 +122,7 @@ class LevenshteinAutomaton:
 
 def plain(token: str) -> str:
     """A lower-case token without the marks at its ends."""
-    return _EDGE.sub("", token)
+    return token if token[:1].isalnum() and token[-1:].isalnum() else _EDGE.sub("", token)
 
 
 def edits_of(word: str) -> int:
@@ -154,6 +154,13 @@ def _outlines(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return ends - starts, np.bitwise_or.reduceat(letters, starts), np.bitwise_or.reduceat(pairs, starts)
 
 
+def _letters(words: list[str]) -> np.ndarray:
+    """How often each (hashed) letter is in each word."""
+    codes = np.frombuffer("".join(w.replace("\0", "\1") + "\0" for w in words).encode("utf-32-le"), np.uint32)
+    row = np.cumsum(codes == 0) - (codes == 0)
+    return np.bincount(row * 32 + codes % 32, codes > 0, minlength=32 * len(words)).reshape(len(words), 32).astype(np.int16)
+
+
 class Lexicon:
     """Weights of entries; ``learn`` finds those of tokens, which are kept (up to a stated number).
 
@@ -168,8 +175,10 @@ class Lexicon:
         self.trie = Trie(sorted(self.sought))
         by_edits = {e: own for e in (1, 2) if (own := sorted(w for w in self.sought if edits_of(w) == e))}
         self.outlines = {e: _outlines(own) for e, own in by_edits.items()}
+        self.letters = {e: _letters(own) for e, own in by_edits.items()}
         self.less = {e: frozenset().union(*(_less(w, e) for w in own)) for e, own in by_edits.items()}
         self.stems = tuple(n for n in STEMS if any(e.endswith("*") and len(e) == n + 1 for e in entries))
+        self.starts = {e[: STEMS[0]] for e in entries if e.endswith("*")}
         #: tokens met before, and (weight, misspelled) of those with a weight
         self.seen: set[str] = set()
         self.hits: dict[str, tuple[float, bool]] = {}
@@ -177,7 +186,7 @@ class Lexicon:
     def perhaps_misspelled(self, words: list[str]) -> list[str]:
         """Those of the words that may be within the edits of a word sought, by their outlines, then by what is left of both without a few letters.
 
-        An edit changes the length by one, the set of letters by two and takes three neighbourhoods away at most.
+        An edit changes the length by one, the letters by two and takes three neighbourhoods away at most.
         """
         out = []
         for first in range(0, len(words), self.CHUNK):
@@ -188,7 +197,12 @@ class Lexicon:
                 ok = np.abs(size - sizes[None, :]) <= e
                 ok &= np.bitwise_count(letters ^ own_letters[None, :]) <= 2 * e
                 ok &= np.bitwise_count(pairs & own_pairs[None, :]) + np.uint8(3 * e) >= np.bitwise_count(own_pairs)[None, :]
-                found.update(i for i in np.flatnonzero(ok.any(axis=1)).tolist() if i not in found and not self.less[e].isdisjoint(_less(chunk[i], e)))
+                i, w = np.nonzero(ok)
+                if len(i):
+                    near, at = np.unique(i, return_inverse=True)
+                    own = _letters([chunk[k] for k in near.tolist()])
+                    close = i[np.abs(own[at] - self.letters[e][w]).sum(axis=1) <= 2 * e]
+                    found.update(k for k in np.unique(close).tolist() if k not in found and not self.less[e].isdisjoint(_less(chunk[k], e)))
             out += [chunk[i] for i in sorted(found)]
         return out
 
@@ -208,13 +222,15 @@ class Lexicon:
             self.seen, self.hits, new = set(), {}, tokens
         self.seen |= new
         open_: dict[str, list[str]] = {}
-        entries, stems = self.entries, self.stems
+        entries, stems, shortest = self.entries, self.stems, STEMS[0]
+        starts = self.starts
         for token in new:
             word = plain(token)
             weight = entries.get(word, 0.0)
-            for n in stems:
-                if n < len(word) and (by_stem := BY_STEM * entries.get(word[:n] + "*", 0.0)) > weight:
-                    weight = by_stem
+            if word[:shortest] in starts:
+                for n in stems:
+                    if n < len(word) and (by_stem := BY_STEM * entries.get(word[:n] + "*", 0.0)) > weight:
+                        weight = by_stem
             if weight:
                 self.hits[token] = (weight, False)
             else:
