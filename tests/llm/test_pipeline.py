@@ -19,7 +19,7 @@ def corpus(spark):
     given = {r.doc_id: r.text for r in texts.collect()}
     toxic = {i for i in given if i % 5 == 0}
     given |= {1000 + i: given[i] for i in (1, 2, 3)}
-    given |= {1010: " ".join([*given[4].split()[:-1], "other"]), 1020: f"{PASSAGE} {given[6]}", 1021: f"{given[7]}\n{PASSAGE}", 1030: f"{given[8]} mail {MAIL} now"}
+    given |= {1010: " ".join([*given[4].split()[:-1], "other"]), 1020: f"{PASSAGE} {given[6]}", 1021: f"{given[7]}\n{PASSAGE}", 1030: " ".join(reversed(given[8].split())) + f" mail {MAIL} now"}
     given |= {1040: None, 1041: "", 1050: " ".join(given[i] for i in range(11, 600) if i % 5)}
     return given, toxic, labels
 
