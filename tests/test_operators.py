@@ -188,6 +188,19 @@ def test_within_km_plans_an_equi_join(spark, plan):
             assert "SortMergeJoin" in text or "HashJoin" in text
 
 
+def test_within_km_never_gathers_the_copies_on_the_driver(spark, plan, tmp_path):
+    """Files that look small enough for a broadcast: points read from them are copied ninefold first."""
+    left, right = scattered(spark, random.Random(2), (44, 45), (0, 1), 20)
+    right.write.parquet(f"{tmp_path}/points")
+    stored = spark.read.parquet(f"{tmp_path}/points")
+    for how in ("inner", "left_semi"):
+        found = within_km(left, stored, 30.0, ("lat", "lon"), how=how)
+        assert "SortMergeJoin" in plan(found) and "BroadcastHashJoin" not in plan(found)
+        rows = found.collect()
+        assert rows and "Broadcast" not in plan(found)
+        assert sorted(rows) == sorted(within_km(left, right, 30.0, ("lat", "lon"), how=how).collect())
+
+
 def test_a_crowded_cell_is_split(spark):
     """A third of the points in one cell: the adaptive skew join divides them."""
     left = spark.range(0, 60_000, 1, 8).select(

@@ -53,10 +53,11 @@ def within_km(
     without a position have none.
 
     An equi-join on grid cells with the distance as residual condition, so it is
-    a hash or sort-merge join, never a product.  Only ``right`` is copied into
-    the neighbouring cells: put the smaller table there.  No broadcast is forced;
-    Spark broadcasts by its own size check, and a crowded cell is split by the
-    adaptive skew join.
+    a sort-merge join, never a product.  Only ``right`` is copied into the
+    neighbouring cells: put the smaller table there.  The copies are never
+    broadcast: Spark's size check sees the files of ``right``, compressed and
+    before the copying, and would gather on the driver what is hundreds of times
+    as large.  A crowded cell is split by the adaptive skew join.
     """
     if how not in ("inner", "left_semi"):
         raise ValueError(f"how must be 'inner' or 'left_semi', not {how!r}")
@@ -90,7 +91,7 @@ def within_km(
         & (F.abs(lat1 - lat2) <= grid.height)
         & (distance <= radius_km)
     )
-    joined = a.join(b, near, how)
+    joined = a.join(b.hint("merge"), near, how)
     if how == "left_semi":
         return joined.drop("_band", "_cell")
     return joined.withColumn("distance_km", distance).drop("_band", "_cell", "_band2", "_cell2")
