@@ -13,6 +13,8 @@ from pyspark.sql.types import StructType
 
 #: Text characters per slice of an Arrow batch; bounds the memory of vectorised steps.
 SLICE_BYTES = 4 << 20
+#: Text whose words are hashed at a time: the arrays for that take forty times as much.
+PIECE_BYTES = 1 << 18
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -136,7 +138,22 @@ def word_bounds(raw: np.ndarray, offsets: np.ndarray, gaps: np.ndarray = _SPACE)
 
 
 def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0, lower: bool = False) -> np.ndarray:
-    """A 64-bit hash of each word's bytes: a polynomial over the bytes, mixed with the length."""
+    """A 64-bit hash of each word's bytes: a polynomial over the bytes, mixed with the length.
+
+    It doesn't depend on where a word stands, so the words (in order) are hashed by pieces of the text.
+    """
+    out, done = np.empty(len(starts), np.uint64), 0
+    while done < len(starts):
+        at = int(starts[done])
+        # the words that start within the piece, the last of them whole
+        upto = int(np.searchsorted(starts, at + PIECE_BYTES))
+        here = slice(done, upto)
+        out[here] = _hashed(raw[at : int(ends[upto - 1])], starts[here] - at, ends[here] - at, which, lower)
+        done = upto
+    return out
+
+
+def _hashed(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int, lower: bool) -> np.ndarray:
     base = BASES[which]
     values = (_LOWER[raw] if lower else raw).astype(np.uint64)
     values += np.uint64(1)

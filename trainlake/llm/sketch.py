@@ -126,24 +126,27 @@ def frequency_classes(df: DataFrame, tokens_of: Callable[[pa.RecordBatch], np.nd
                 n[at] = many
                 held.setdefault(k, np.zeros(part, np.int64))[:] += n
         for k, n in held.items():
-            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([n.astype("<i8").tobytes()], pa.binary())], ["part", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([_small(n.astype("<f4"))], pa.binary())], ["part", "n"])
 
     parts = df.mapInArrow(count, "part LONG, small BINARY, rest BINARY").repartition(slots(df.sparkSession), "part").mapInArrow(total, "part LONG, n BINARY")
     sums = np.zeros(cells, np.float32)
-    for batch in parts.toArrow().to_batches():  # at most 8 bytes a cell
-        for k, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            sums[k * part : (k + 1) * part] = np.frombuffer(n, "<i8")
+    for batch in parts.toArrow().to_batches():  # at most 4 bytes a cell, and far fewer as they are packed
+        for k, n in zip(*batch.columns, strict=True):
+            sums[k.as_py() * part : (k.as_py() + 1) * part] = _large(n.as_py(), part, "<f4")
     usual = max(float(np.median(sums)), 1.0)
-    over = (sums - usual) / (5 * np.sqrt(usual) + 2)
-    return np.where(over > 1, 1 + np.log2(np.maximum(over, 1)), 0).astype(np.uint8)
+    classes = np.empty(cells, np.uint8)
+    for at in range(0, cells, part):  # in pieces: the driver has little room
+        over = (sums[at : at + part] - usual) / (5 * np.sqrt(usual) + 2)
+        classes[at : at + part] = np.where(over > 1, 1 + np.log2(np.maximum(over, 1)), 0).astype(np.uint8)
+    return classes
 
 
 def _small(counts: np.ndarray) -> bytes:
     return pa.compress(counts.tobytes(), codec="zstd", asbytes=True)
 
 
-def _large(packed: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(pa.decompress(packed, n, codec="zstd", asbytes=True), np.uint8)
+def _large(packed: bytes, n: int, kind: str = "u1") -> np.ndarray:
+    return np.frombuffer(pa.decompress(packed, n * np.dtype(kind).itemsize, codec="zstd", asbytes=True), kind)
 
 
 def _cell(tokens: np.ndarray) -> np.ndarray:
