@@ -107,3 +107,33 @@ def test_tables_are_given_back(spark, monkeypatch):
     df = table(spark, [(i, close(A, 1 + i % 3)) for i in range(20)] + [(50, B), (51, close(B))])
     assert jaccard.linked_groups(df).select(F.count_distinct("component_id")).first()[0] == 2
     assert len(written) > 8 and all(spark.read.parquet(p).count() == 0 for p in written)
+
+
+def test_stragglers_are_not_compared_with_a_whole_group(spark, monkeypatch):
+    """Copies of one text that differ about as much as they may: most are linked at once, the others to many of these."""
+    compared = []
+    real = jaccard.JaccardJoin._verified
+
+    def verified(self, pairs, marks):
+        compared.append(pairs.count())
+        return real(self, pairs, marks)
+
+    monkeypatch.setattr(jaccard.JaccardJoin, "_verified", verified)
+    r, base, texts = random.Random(3), words(90, 300), []
+    for i in range(400):
+        w = list(base)
+        for k in r.sample(range(300), r.choice([3, 4, 5, 6])):
+            w[k] = f"q{i}x{k}"
+        texts.append(" ".join(w))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id LONG, text STRING").repartition(4)
+    assert {r.doc_id: r.component_id for r in jaccard.linked_groups(df).collect()} == brute(texts)
+    assert sum(compared[1:]) < 2 * len(texts)
+
+
+def test_sketches_are_compared_before_sets_are_sent():
+    r = np.random.default_rng(5)
+    a, b = (np.unique(r.integers(0, 2**63, 300).astype(np.uint64)) for _ in "ab")
+    close = np.union1d(a[20:], b[:20])
+    x, y, z = (jaccard._marked([], s) for s in (a, b, close))
+    assert jaccard._near(x, z, 75) and not jaccard._near(x, y, 75)
+    assert int.from_bytes(x[jaccard.HEAD - 4 : jaccard.HEAD], "little") == len(a) and len(x) == jaccard.HEAD

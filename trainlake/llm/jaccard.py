@@ -12,7 +12,8 @@ Equal sets are one class from the start.  The list of a prefix token is sorted b
 each member is compared with the ``BACK`` before it and with the first, which are all pairs of most
 lists.  For longer ones, components of these links are then settled, and what
 remains are pairs of *different* components, of which the smaller ones are compared with
-all others of the list; where a list is long, only those whose parity sketches allow the similarity.
+all others of the list; where a list is long, only those whose parity sketches allow the similarity, and
+with a few drawn rows of it first, as one link of the many that a straggler has with a large group will do.
 So a large group of near copies costs its size, not its square,
 and no link between components is missed.  Lists and classes that are hot by a fixed-size table of
 counts are dealt out in parts.
@@ -23,7 +24,7 @@ has it too, by its 64-bit digest.  Tables and filters that have served are given
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trainlake.llm.common import cut, map_arrow, mixed, release, rolled, scratch, slots, text_bytes, word_bounds, word_hashes
@@ -37,6 +38,10 @@ FURTHER = 2
 BACK = 3
 #: Rows of a list from which on sketches are compared before pairs are formed, and 64-bit words of a sketch.
 LONG_LIST, SKETCH_WORDS = 32, 8
+#: Bytes of a sketch and the size of its set.
+HEAD = 8 * SKETCH_WORDS + 4
+#: Rows drawn of a long list's largest component, and of its others, that all of its rows are compared with first.
+DRAWN = 16
 #: Cells of the tables of counts by which hot lists and classes are found, and rows of one part.
 LOG_HOT, PART = 16, 4096
 #: Sizes of the filters of classes that are not named by an id, and of classes in play.
@@ -342,11 +347,29 @@ class JaccardJoin:
 
         return map_arrow(marks.select("node", "marks"), step, "rep LONG, sketch ARRAY<LONG>")
 
-    def _crossing(self, rows: DataFrame, sketched: bool) -> DataFrame:
-        """Pairs (a, b) of ``rows`` in one list, of different components of which one is not the list's largest, that fit."""
+    def _unsettled(self, open_: DataFrame, links: DataFrame) -> DataFrame:
+        """``token, rep, n, rest, component, main, length`` of the lists that still hold several components; ``main`` is the largest."""
+        found = cut(components(links))
+        placed = open_.join(found, F.col("rep") == F.col("node"), "left").select("token", "rep", "n", "rest", F.coalesce("component", "rep").alias("component"))
+        sizes = placed.groupBy("token", "component").agg(F.count("*").alias("many"))
+        main = sizes.groupBy("token").agg(F.max_by("component", F.struct("many", "component")).alias("main"), F.count("*").alias("kinds"), F.sum("many").alias("length"))
+        return self._cut(placed.join(main.where("kinds > 1").drop("kinds"), "token"))
+
+    def _long(self, left: DataFrame, marks: DataFrame) -> DataFrame:
+        """The rows of long lists with their sketches."""
+        long = left.where(F.col("length") > LONG_LIST)
+        return self._cut(long.join(self._sketches(long, marks), "rep"))
+
+    def _drawn(self, rows: DataFrame) -> DataFrame:
+        """A few rows of each list's largest component and a few of the others, by a hash that is the same in all lists."""
+        order = Window.partitionBy("token", F.col("component") == F.col("main")).orderBy(F.xxhash64("rep"), "rep")
+        return rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= DRAWN).drop("place")
+
+    def _crossing(self, rows: DataFrame, sketched: bool, others: DataFrame | None = None) -> DataFrame:
+        """Pairs (a, b) of ``rows`` and ``others`` (or ``rows``) in one list, of different components of which one is not the list's largest, that fit."""
         few, all_ = (
-            rows.select("token", F.col("rep").alias(x), F.col("n").alias(f"n{x}"), F.col("rest").alias(f"r{x}"), F.col("component").alias(f"c{x}"), "main", *([F.col("sketch").alias(f"s{x}")] if sketched else []))
-            for x in "ab"
+            side.select("token", F.col("rep").alias(x), F.col("n").alias(f"n{x}"), F.col("rest").alias(f"r{x}"), F.col("component").alias(f"c{x}"), "main", *([F.col("sketch").alias(f"s{x}")] if sketched else []))
+            for x, side in zip("ab", (rows, rows if others is None else others), strict=True)
         )
         meets = (few["token"] == all_["token"]) & (F.col("ca") != F.col("cb")) & self._fits()
         if sketched:
@@ -357,25 +380,34 @@ class JaccardJoin:
         return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
     def _joined(self, pairs: DataFrame, own: DataFrame, name: str) -> DataFrame:
-        """Pairs with a packed column of both sides, first ``x`` and ``y``; those not in a pair are left behind before the shuffle."""
-        asked = self._among(pairs.select(F.explode(F.array("a", "b")).alias("rep")))
+        """Pairs with a packed column of both sides, first ``x`` and ``y``; those that are not at this end of a pair are left behind before the shuffle."""
 
-        def step(batch: pa.RecordBatch):
-            yield batch.filter(pa.array(asked.value.holds(batch.column("node").to_numpy().view(np.uint64)), pa.bool_()))
+        def side(end: str, value: str) -> DataFrame:
+            asked = self._share(members(pairs, end, LOG_NODES))
+
+            def step(batch: pa.RecordBatch):
+                yield batch.filter(pa.array(asked.value.holds(batch.column("node").to_numpy().view(np.uint64)), pa.bool_()))
+
+            rows = map_arrow(own.select("node", name), step, f"node LONG, {name} BINARY")
+            return rows.select(F.col("node").alias(end), F.col(name).alias(value))
 
-        own = map_arrow(own.select("node", name), step, f"node LONG, {name} BINARY")
-        both = pairs.join(own.select(F.col("node").alias("a"), F.col(name).alias("x")), "a").join(own.select(F.col("node").alias("b"), F.col(name).alias("y")), "b")
-        return both.select("x", "y", "a", "b")
+        return pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select("x", "y", "a", "b")
 
     def _verified(self, pairs: DataFrame, marks: DataFrame) -> DataFrame:
-        """Of candidate pairs (a, b) those that pass all further orders and then the comparison of whole sets; written."""
+        """Of candidate pairs (a, b) those that pass the sketches, then all further orders and then the comparison of whole sets; written."""
         percent = self.percent
 
+        def near(batch: pa.RecordBatch):
+            ok = [_near(x, y, percent) for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
         def agree(batch: pa.RecordBatch):
             ok = [_share_all(x, y) for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-        passed = self._cut(map_arrow(self._joined(pairs, marks, "marks"), agree, "a LONG, b LONG"))
+        heads = marks.select("node", F.substring("marks", 1, HEAD).alias("head"))
+        alike = self._cut(map_arrow(self._joined(pairs, heads, "head"), near, "a LONG, b LONG"))
+        passed = self._cut(map_arrow(self._joined(alike, marks, "marks"), agree, "a LONG, b LONG"))
         self._unshare()
         wanted = self._among(passed.select(F.explode(F.array("a", "b")).alias("rep")))
         whole, behind = self._each(lambda s: s.tobytes(), "tokens", wanted)
@@ -390,7 +422,7 @@ class JaccardJoin:
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
         links = cut(map_arrow(self._joined(passed, whole, "tokens"), compare, "a LONG, b LONG"))
-        self._free(passed, behind)
+        self._free(alike, passed, behind)
         self._unshare()
         return links
 
@@ -404,21 +436,22 @@ class JaccardJoin:
         marks, behind = self._marks(pairs, open_, table)
         self._unshare()
         links = self._verified(pairs, marks)
-        found = cut(components(links))
+        # what a few rows of each long list tell, before all pairs are formed of what is left
+        left = self._unsettled(open_, links)
+        rows = self._long(left, marks)
+        self._unshare()
+        drawn = self._cut(self._crossing(rows, True, self._drawn(rows)).distinct().join(pairs, ["a", "b"], "left_anti"))
+        links = cut(links.union(self._verified(drawn, marks)))
+        self._free(left, rows)
         # lists that still hold several components: all but the largest against everything outside their own
-        placed = open_.join(found, F.col("rep") == F.col("node"), "left").select("token", "rep", "n", "rest", F.coalesce("component", "rep").alias("component"))
-        sizes = placed.groupBy("token", "component").agg(F.count("*").alias("many"))
-        main = sizes.groupBy("token").agg(F.max_by("component", F.struct("many", "component")).alias("main"), F.count("*").alias("kinds"), F.sum("many").alias("length"))
-        left = self._cut(placed.join(main.where("kinds > 1").drop("kinds"), "token"))
-        long = left.where(F.col("length") > LONG_LIST)
-        sketched = self._cut(long.join(self._sketches(long, marks), "rep"))
+        left = self._unsettled(open_, links)
+        rows = self._long(left, marks)
         self._unshare()
-        crossing = self._crossing(left.where(F.col("length") <= LONG_LIST), False).union(self._crossing(sketched, True))
-        crossing = crossing.distinct().join(pairs, ["a", "b"], "left_anti")
-        crossing = self._cut(crossing)
-        self._free(open_, left, sketched)
+        crossing = self._crossing(left.where(F.col("length") <= LONG_LIST), False).union(self._crossing(rows, True)).distinct()
+        crossing = self._cut(crossing.join(pairs.union(drawn), ["a", "b"], "left_anti"))
+        self._free(open_, left, rows)
         more = self._verified(crossing, marks)
-        self._free(behind, pairs, crossing, self.copies)
+        self._free(behind, pairs, drawn, crossing, self.copies)
         return links.union(more)
 
     def groups(self) -> DataFrame:
@@ -446,20 +479,28 @@ def _sketch(tokens: np.ndarray) -> bytes:
 
 
 def _marked(prefixes: list[np.ndarray], tokens: np.ndarray) -> bytes:
-    """The set's sketch, how many tokens it asks for, then for each order the number of tokens and their 16-bit marks.
+    """The set's sketch, its size, then for each order the number of tokens and their 16-bit marks.
 
     Tokens may share a mark, so marks in common are never too few.
     """
-    out = [_sketch(tokens), np.array([_more(len(tokens))], "<u4").tobytes()]
+    out = [_sketch(tokens), np.array([len(tokens)], "<u4").tobytes()]
     for order, tokens in enumerate(prefixes):
         out += [np.array([len(tokens)], "<u4").tobytes(), (mixed(tokens, 400 + order) >> np.uint64(48)).astype("<u2").tobytes()]
     return b"".join(out)
 
 
+def _near(x: bytes, y: bytes, percent: int) -> bool:
+    """Whether the sketches of two sets allow the similarity: of all their tokens at most this share may differ."""
+    at = HEAD - 4
+    apart = (int.from_bytes(x[:at], "little") ^ int.from_bytes(y[:at], "little")).bit_count()
+    sizes = int.from_bytes(x[at:HEAD], "little") + int.from_bytes(y[at:HEAD], "little")
+    return (100 + percent) * apart <= (100 - percent) * sizes
+
+
 def _share_all(x: bytes, y: bytes) -> bool:
     """Whether two sets share enough marks under every further order."""
-    i = j = 8 * SKETCH_WORDS + 4
-    needed = min(int.from_bytes(x[i - 4 : i], "little"), int.from_bytes(y[j - 4 : j], "little"))
+    i = j = HEAD
+    needed = _more(min(int.from_bytes(x[i - 4 : i], "little"), int.from_bytes(y[j - 4 : j], "little")))
     while i < len(x):
         m, n = int.from_bytes(x[i : i + 4], "little"), int.from_bytes(y[j : j + 4], "little")
         a, b = np.frombuffer(x, "<u2", m, i + 4), np.frombuffer(y, "<u2", n, j + 4)
