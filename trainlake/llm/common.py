@@ -13,6 +13,9 @@ from pyspark.sql.types import StructType
 
 #: Text characters per slice of an Arrow batch; bounds the memory of vectorised steps.
 SLICE_BYTES = 4 << 20
+#: Data from which on Spark closes an Arrow batch, a little less than a slice; by itself it goes by 10,000 rows,
+#: of which it keeps several copies outside its heap, and the Python worker another.
+BATCH_BYTES = SLICE_BYTES - SLICE_BYTES // 16
 #: Text whose words are hashed at a time: the arrays for that take forty times as much.
 PIECE_BYTES = 1 << 18
 
@@ -45,8 +48,12 @@ def cut(df: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def release(df: DataFrame, path: str) -> None:
-    """Empty a table that ``cut`` has written, once nothing is left that could read it again."""
-    df.sparkSession.createDataFrame([], df.schema).write.mode("overwrite").parquet(path)
+    """Empty a table that ``cut`` has written, once nothing is left that could read it again.
+
+    Not by rows from the driver, which start further Python workers.
+    """
+    none = df.sparkSession.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema])
+    none.write.mode("overwrite").parquet(path)
 
 
 def slots(spark: SparkSession) -> int:
@@ -54,6 +61,16 @@ def slots(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Have the session send Arrow batches of ``BATCH_BYTES`` (or one row), unless it states a size of its own.
+
+    Spark looks the size up when it runs a plan, so it stays set.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def map_arrow(df: DataFrame, step: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: StructType | str) -> DataFrame:
     """``step`` over slices of Arrow batches of at most ``SLICE_BYTES`` of data (or one row)."""
 
@@ -62,6 +79,7 @@ def map_arrow(df: DataFrame, step: Callable[[pa.RecordBatch], Iterator[pa.Record
             for piece in sliced(batch):
                 yield from step(piece)
 
+    small_batches(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 

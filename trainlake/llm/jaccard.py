@@ -380,7 +380,10 @@ class JaccardJoin:
         return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
     def _joined(self, pairs: DataFrame, own: DataFrame, name: str) -> DataFrame:
-        """Pairs with a packed column of both sides, first ``x`` and ``y``; those that are not at this end of a pair are left behind before the shuffle."""
+        """Pairs with a packed column of both sides, first ``x`` and ``y``; those that are not at this end of a pair are left behind before the shuffle.
+
+        Few pairs are not broadcast: a task would then run this filter and the comparison that follows at once, in two Python workers.
+        """
 
         def side(end: str, value: str) -> DataFrame:
             asked = self._share(members(pairs, end, LOG_NODES))
@@ -391,7 +394,7 @@ class JaccardJoin:
             rows = map_arrow(own.select("node", name), step, f"node LONG, {name} BINARY")
             return rows.select(F.col("node").alias(end), F.col(name).alias(value))
 
-        return pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select("x", "y", "a", "b")
+        return pairs.join(side("a", "x").hint("merge"), "a").join(side("b", "y").hint("merge"), "b").select("x", "y", "a", "b")
 
     def _verified(self, pairs: DataFrame, marks: DataFrame) -> DataFrame:
         """Of candidate pairs (a, b) those that pass the sketches, then all further orders and then the comparison of whole sets; written."""

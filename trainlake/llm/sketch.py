@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trainlake.llm.common import map_arrow, mixed, slots
+from trainlake.llm.common import map_arrow, mixed, slots, small_batches
 
 ROWS, LOG_WIDTH, LOG_STRIPE = 2, 26, 16
 
@@ -128,6 +128,7 @@ def frequency_classes(df: DataFrame, tokens_of: Callable[[pa.RecordBatch], np.nd
         for k, n in held.items():
             yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([_small(n.astype("<f4"))], pa.binary())], ["part", "n"])
 
+    small_batches(df.sparkSession)
     parts = df.mapInArrow(count, "part LONG, small BINARY, rest BINARY").repartition(slots(df.sparkSession), "part").mapInArrow(total, "part LONG, n BINARY")
     sums = np.zeros(cells, np.float32)
     for batch in parts.toArrow().to_batches():  # at most 4 bytes a cell, and far fewer as they are packed

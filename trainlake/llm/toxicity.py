@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from trainlake.llm.common import cut, map_arrow, sliced, texts
+from trainlake.llm.common import cut, map_arrow, sliced, small_batches, texts
 
 #: Most labelled rows used for fitting (drawn by a hash of the id).
 MAX_ROWS = 20_000
@@ -432,6 +432,7 @@ def _scored(rows: DataFrame, model: Model, text_of) -> DataFrame:
                 made = pa.array(own.scores([t or "" for t in text_of(piece).to_pylist()]), pa.float64())
                 yield pa.RecordBatch.from_arrays([*piece.columns, made], [*piece.schema.names, "score"])
 
+    small_batches(rows.sparkSession)
     return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("score", DoubleType())]))
 
 
