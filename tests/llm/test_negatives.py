@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from trainlake.llm import negatives
+from trainlake.llm import common, negatives
 
 
 @pytest.mark.parametrize(("axes", "bits"), [(1, 4), (2, 4), (3, 3), (4, 2)])
@@ -94,6 +94,37 @@ def test_zones_choose_the_blocks(spark):
     assert miner.read["positives"] < 0.2 * pairs and miner.read["negatives"] < 0.8 * pairs
 
 
+def test_no_table_is_broadcast_for_its_small_file(table, plan, monkeypatch):
+    """Copies of bundles and packed columns weigh far more in memory than in files, so no join goes by the files' size."""
+    df, whole = table
+    plans = []
+
+    def cut(rows):
+        plans.append(plan(rows))
+        return common.cut(rows)
+
+    monkeypatch.setattr(negatives, "cut", cut)
+    mined = negatives.hard_negatives(df, F.col("vec_id") % 10 == 0, block_rows=16, bundle_anchors=7)
+    plans.append(plan(mined))
+    assert sum("SortMergeJoin" in p for p in plans) > 6
+    assert not any("Broadcast" in p for p in plans)
+    assert found(mined) == brute(whole, 10)
+
+
+def test_blocks_and_bundles_are_full_however_many_parts(spark, table):
+    """The number of asks goes by the rows, not by the square of the session's parts."""
+    df, whole = table
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    try:
+        miner = negatives.HardNegatives(negatives.labelled_vectors(df), F.col("vec_id") % 10 == 0)
+        assert miner.blocks.count() <= 2 and miner.bundles.count() == 1
+        assert found(miner.mined()) == brute(whole, 10)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert miner.read["positives"] + miner.read["negatives"] <= 4
+
+
 def test_empty_tables(spark):
     schema = "vec_id LONG, embedding ARRAY<FLOAT>, label INT"
     for rows in ([], [(1, [1.0, 2.0], 1)], [(100, [1.0, 2.0], 1)], [(100, None, 1)]):

@@ -20,6 +20,8 @@ Rows without id, label or vector, and vectors holding NULL or non-finite compone
 of repeated ids the least (vector, label) counts; of vectors of different lengths those of the
 commonest length count (the longer of equals).  Equal vectors of one label are one row with its
 smallest ids, as many as any result can need, so a group of copies costs one row.
+
+The tables of asks, bundles and blocks are joined by sorted shuffles whatever their files weigh (see ``_met``).
 """
 
 import math
@@ -38,6 +40,8 @@ SCALE = 256
 MAX_SAMPLE, AXES, BITS = 20_000, 8, 8
 #: Rows of a block, blocks of a zone pack, anchors of a bundle.
 BLOCK_ROWS, PACK_BLOCKS, BUNDLE_ANCHORS = 512, 64, 512
+#: Blocks or bundles of a part, if there are not more than the session's parts can hold.
+PART_GROUPS = 4
 _NONE = np.iinfo(np.int64).min
 
 
@@ -152,14 +156,17 @@ class HardNegatives:
         most = max(negatives, positives + 1)
         ranked = points.withColumn("n", F.row_number().over(Window.partitionBy("x", "label").orderBy("vec_id"))).where(F.col("n") <= most)
         same = cut(ranked.groupBy("x", "label").agg(F.min("vec_id").alias("id"), F.sort_array(F.collect_list("vec_id")).alias("ids")))
-        self.blocks = cut(self._along_curve(same, "id LONG, label LONG, x BINARY, ids ARRAY<LONG>", _block, "block LONG, n LONG, id BINARY, label BINARY, many BINARY, ids BINARY, x BINARY, low BINARY, high BINARY", block_rows))
+        self.blocks = cut(self._along_curve(same, n, "id LONG, label LONG, x BINARY, ids ARRAY<LONG>", _block, "block LONG, n LONG, id BINARY, label BINARY, many BINARY, ids BINARY, x BINARY, low BINARY, high BINARY", block_rows))
         home = _unpacked(self.blocks, "block", "id").select("block", F.col("id").alias("home_id"))
-        own = points.where(anchors).join(same.select("x", "label", F.col("id").alias("home_id")), ["x", "label"]).join(home, "home_id")
-        self.bundles = cut(self._along_curve(own.select("vec_id", "label", "x", "block"), "vec_id LONG, label LONG, x BINARY, block LONG", _bundle, "bundle LONG, anchor BINARY, label BINARY, home BINARY, q BINARY", bundle_anchors))
+        own = _met(_met(points.where(anchors), same.select("x", "label", F.col("id").alias("home_id")), ["x", "label"]), home, "home_id")
+        self.bundles = cut(self._along_curve(own.select("vec_id", "label", "x", "block"), points.where(anchors).count(), "vec_id LONG, label LONG, x BINARY, block LONG", _bundle, "bundle LONG, anchor BINARY, label BINARY, home BINARY, q BINARY", bundle_anchors))
         self.packs = cut(self._packed_zones())
 
-    def _along_curve(self, rows: DataFrame, schema: str, made, out: str, size: int) -> DataFrame:
-        """``made`` of each ``size`` consecutive rows in curve order; equal places are dealt by a hash, so none is too many for a part."""
+    def _along_curve(self, rows: DataFrame, most: int, schema: str, made, out: str, size: int) -> DataFrame:
+        """``made`` of each ``size`` consecutive rows (``most`` at most) in curve order; equal places are dealt by a hash, so none is too many for a part.
+
+        A part holds some ``PART_GROUPS`` groups: shorter ones, for the sake of more parts, would be as many more asks.
+        """
         axes, names = self.axes, [f.split()[0] for f in schema.split(", ")]
 
         def place(batch: pa.RecordBatch):
@@ -179,7 +186,8 @@ class HardNegatives:
 
         first = names[0]
         keyed = map_arrow(rows.select(*names), place, f"{schema}, key LONG").withColumn("spread", F.xxhash64(first))
-        ordered = keyed.repartitionByRange(slots(self.spark), "key", "spread").sortWithinPartitions("key", "spread").select(*names)
+        parts = min(slots(self.spark), max(1, math.ceil(most / (size * PART_GROUPS))))
+        ordered = keyed.repartitionByRange(parts, "key", "spread").sortWithinPartitions("key", "spread").select(*names)
         return ordered.mapInArrow(group, out)
 
     def _packed_zones(self) -> DataFrame:
@@ -201,11 +209,16 @@ class HardNegatives:
         salt = F.pmod(F.monotonically_increasing_id(), F.lit(slots(self.spark))).alias("salt")
         return zones.mapInArrow(group, "blocks BINARY, low BINARY, high BINARY, kinds BINARY, labels BINARY").select(salt, "*")
 
+    def _met_packs(self, state: DataFrame) -> DataFrame:
+        """Each bundle with each pack: a copy of the bundles for each salt that occurs."""
+        salts = [r["salt"] for r in self.packs.select("salt").distinct().collect()]  # no more than a shuffle's parts
+        copies = state.select(F.explode(F.lit(salts).cast("array<long>")).alias("salt"), "*")
+        return _met(copies, self.packs, "salt").drop("salt")
+
     def _asks(self, state: DataFrame, wanted, name: str) -> DataFrame:
         """``bundle, block, who``: the anchors (by number) of each bundle that must read a block, as ``wanted`` decides on zones."""
         axes = self.axes
-        salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slots(self.spark) - 1).cast("long"))).alias("salt")
-        met = self.packs.join(state.select(salts, "*"), "salt").drop("salt")
+        met = self._met_packs(state)
 
         def choose(batch: pa.RecordBatch):
             out = ([], [], [])
@@ -248,7 +261,7 @@ class HardNegatives:
     def _read(self, asks: DataFrame, state: DataFrame, look, schema: str) -> DataFrame:
         """``look(state row, anchors, block, scores)`` of every anchor with every block it asked for."""
         blocks = self.blocks.select("block", "n", F.col("id").alias("ids_"), F.col("label").alias("labels_"), "many", "ids", "x")
-        met = asks.join(state, "bundle").join(blocks, "block")
+        met = _met(_met(asks, state, "bundle"), blocks, "block")
 
         def step(batch: pa.RecordBatch):
             for i in range(batch.num_rows):
@@ -327,7 +340,7 @@ class HardNegatives:
         best = _best(negatives, ["bundle", "who", "w"], m).withColumnRenamed("id", "negative_id").withColumnRenamed("score", "negative_score")
         pairs = positives.select("bundle", "who", (F.col("rank") - 1).cast("long").alias("w"), F.col("id").alias("positive_id"), F.col("score").alias("positive_score"))
         names = _unpacked(self.bundles, "bundle", "anchor").withColumnRenamed("anchor", "anchor_id")
-        rows = best.join(pairs, ["bundle", "who", "w"]).join(names, ["bundle", "who"])
+        rows = _met(best, _met(pairs, names, ["bundle", "who"]), ["bundle", "who", "w"])
         return rows.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
 
     def _with(self, bundles: DataFrame, values: DataFrame, name: str, each: int = 1, default: int = _NONE) -> DataFrame:
@@ -344,7 +357,7 @@ class HardNegatives:
                 made.append(column.tobytes())
             yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), pa.array(made, pa.binary())], [*(f.name for f in kept), name])
 
-        return map_arrow(bundles.join(held, "bundle", "left"), pack, StructType([*kept, StructField(name, BinaryType())]))
+        return map_arrow(_met(bundles, held, "bundle", "left"), pack, StructType([*kept, StructField(name, BinaryType())]))
 
     def _windows(self, positives: DataFrame) -> DataFrame:
         """The bundles with the last and first score of each positive's window; a missing positive's is empty."""
@@ -373,6 +386,15 @@ class _Block:
         return self._ids[self._ends[r - 1] if r else 0 : self._ends[r]].tolist()
 
 
+def _met(rows: DataFrame, others: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    """A join by sorted shuffles, with few ``others`` a key.
+
+    Packed columns that repeat weigh next to nothing in a file, and copies made on the way nothing at all; Spark goes
+    by the files' size, so it would have the driver hold and broadcast tables of hundreds of times that.
+    """
+    return rows.join(others.hint("merge"), on, how)
+
+
 def _unpacked(rows: DataFrame, key: str, column: str) -> DataFrame:
     """``key, who, column``: the longs of a packed column, numbered from 0."""
 
