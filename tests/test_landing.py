@@ -3,6 +3,7 @@ import os
 
 from testbed import queries
 from trainlake.sources import text_batch
+from trainlake.streaming import refine_stream
 
 
 def _files(top):
@@ -25,3 +26,28 @@ def test_landed_records_are_packed_and_whole(spark, tmp_path, monkeypatch):
     for part in (records, records.limit(0), records):
         queries._landing(part).text(feed)
     assert sorted(r.json_str for r in text_batch(spark, feed).collect()) == sorted(texts * 2)
+
+
+def test_state_of_first_seen_is_on_disk_and_bounded_in_memory(spark, tmp_path, monkeypatch):
+    """The store a query was started with stands in its checkpoint; the session's settings are as before afterwards."""
+    prefix = "spark.sql.streaming.stateStore."
+    names = [f"{prefix}providerClass", f"{prefix}rocksdb.boundedMemoryUsage", f"{prefix}rocksdb.maxMemoryUsageMB", "spark.sql.shuffle.partitions"]
+    before, started = [spark.conf.get(n, None) for n in names], []
+
+    def refine(*args, **options):
+        started.append([spark.conf.get(n, None) for n in names])
+        return refine_stream(*args, **options)
+
+    record = {"date": "1999-01-01", "train_no": "1", "origine": "A", "destination": "B", "ingested_at": "1"}
+    texts = [json.dumps({**record, "train_no": str(n % 7), "ingested_at": str(n)}) for n in range(50)]
+    landed = spark.createDataFrame([(t,) for t in texts], "json_str STRING")
+    monkeypatch.setattr(queries, "scratch", lambda _: str(tmp_path))
+    monkeypatch.setattr(queries, "raw", lambda *_: landed)
+    monkeypatch.setattr(queries, "refine_stream", refine)
+    found = queries.stream_first_seen(spark, "")
+    assert sorted((r.train_no, r.n) for r in found.collect()) == [(str(n), 1) for n in range(7)]
+    assert len(started) == queries.WAVES
+    assert all("RocksDB" in s[0] and s[1] == "true" and 0 < int(s[2]) <= 512 for s in started)
+    offsets = tmp_path / "checkpoint" / "offsets"
+    assert all("RocksDBStateStoreProvider" in (offsets / f).read_text() for f in os.listdir(offsets) if f.isdigit())
+    assert [spark.conf.get(n, None) for n in names] == before
